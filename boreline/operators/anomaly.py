@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import is_design
 from ..functions.display import ANOMALY_KINDS
 from ..functions.numbers import UNIT, units
+from ..session import stored
 from .islands import long_run, neighbours
 from .ordered import SLOT_SECONDS, drop_halo, in_slot, with_halo
 
@@ -191,10 +192,9 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
     )
     line = in_slot(STAGE, TIME)
     near = with_halo(rows, STAGE, TIME, before=1, slot_seconds=slot_seconds)
-    near = drop_halo(near.withColumn("_joined", F.coalesce(F.lag("_design").over(line), F.lit(False)))).where("_design").drop("_design")
-    haloed = with_halo(near, STAGE, TIME, before=most + 1, slot_seconds=slot_seconds)
-    for n in GRID_ROLLING:
-        haloed = haloed.withColumn(f"_pressure_{n}", _rolling_delta("_p", n, line)).withColumn(f"_rate_{n}", _rolling_delta("_r", n, line))
+    joined = F.coalesce(F.lag("_design").over(line), F.lit(False))
+    design = stored(drop_halo(near.withColumn("_joined", joined)).where("_design").drop("_design"), "design-rows")
+    haloed = with_halo(design, STAGE, TIME, before=most + 1, slot_seconds=slot_seconds)
 
     def reached(delta: Column, kind: str) -> Column:
         """How many thresholds of the kind a delta passes."""
@@ -202,15 +202,17 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
         passed = (delta * sign - grid.start * UNIT + grid.step * UNIT) / (grid.step * UNIT)
         return F.when(delta.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(len(grid)), F.floor(passed)))).otherwise(0).cast("int")
 
-    intervals = []
-    for kind in steps:
-        for n in GRID_ROLLING:
-            delta = F.col(f"_{kind}_{n}")
-            haloed = haloed.withColumn(f"_{kind}_now_{n}", reached(delta, kind)).withColumn(
-                f"_{kind}_was_{n}", F.when(F.col("_joined"), reached(F.lag(delta).over(line), kind)).otherwise(0)
-            )
-            now, was = F.col(f"_{kind}_now_{n}"), F.col(f"_{kind}_was_{n}")
-            intervals.append(F.when(now > was, F.struct(F.lit(n).alias("rolling_points"), F.lit(kind).alias("threshold_type"), (was + 1).alias("low"), (now + 1).alias("high"))))
+    families = [(kind, n) for kind in steps for n in GRID_ROLLING]
+    source = {"pressure": "_p", "rate": "_r"}
+    haloed = haloed.withColumns({f"_{k}_{n}": reached(_rolling_delta(source[k], n, line), k) for k, n in families})
+    haloed = haloed.withColumns({f"_was_{k}_{n}": F.when(F.col("_joined"), F.lag(f"_{k}_{n}").over(line)).otherwise(0) for k, n in families})
+    intervals = [
+        F.when(
+            F.col(f"_{k}_{n}") > F.col(f"_was_{k}_{n}"),
+            F.struct(F.lit(n).alias("rolling_points"), F.lit(k).alias("threshold_type"), (F.col(f"_was_{k}_{n}") + 1).alias("low"), (F.col(f"_{k}_{n}") + 1).alias("high")),
+        )
+        for k, n in families
+    ]
     started = drop_halo(haloed).select(*STAGE, F.explode(F.array_compact(F.array(*intervals))).alias("_i")).select(*STAGE, "_i.*")
     ends = started.select(
         *STAGE, "rolling_points", "threshold_type",
@@ -219,8 +221,8 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
     group = [*STAGE, "rolling_points", "threshold_type"]
     changes = ends.groupBy(*group, F.col("_e.at").alias("at")).agg(F.sum("_e.d").alias("d"))
     profile = changes.groupBy(*group).agg(F.collect_list(F.struct("at", "d")).alias("_changes"))
-    families = F.explode(F.array(*[F.struct(F.lit(n).alias("rolling_points"), F.lit(k).alias("threshold_type")) for k in steps for n in GRID_ROLLING]))
-    base = stages.withColumn("_f", families).select(*stages.columns, "_f.*")
+    family = F.explode(F.array(*[F.struct(F.lit(n).alias("rolling_points"), F.lit(k).alias("threshold_type")) for k, n in families]))
+    base = stages.withColumn("_f", family).select(*stages.columns, "_f.*")
     value = F.when(F.col("threshold_type") == "pressure", F.array(*[F.lit(float(v)) for v in GRID_PRESSURE])).otherwise(F.array(*[F.lit(float(v)) for v in GRID_RATE]))
     placed = base.join(profile, group, "left").select("*", F.posexplode(value).alias("_pos", "threshold_value"))
     count = F.coalesce(
