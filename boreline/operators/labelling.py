@@ -6,7 +6,7 @@ rows, hands them over and collects one label per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,21 +52,41 @@ def label_stages(df: DataFrame, labeller: Labeller, context_rows: int, ts: str =
     A stage is handed over in time slots, each with ``context_rows`` rows of
     the stage before and after it, so a very long stage is labelled by many
     tasks. The labeller returns one label per row it is given; labels of
-    context rows are discarded.
+    context rows are discarded. Spark sorts the rows of a task, so slots reach
+    Python in order, many to an Arrow batch.
     """
     haloed = with_halo(df.drop("substage"), STAGE, ts, before=context_rows, after=context_rows, slot_seconds=slot_seconds)
     schema = T.StructType([*[f for f in haloed.schema.fields if f.name not in (HALO, SLOT)], T.StructField("substage", T.StringType())])
     names = [f.name for f in schema.fields]
-
-    def call(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(ts, kind="stable").reset_index(drop=True)
-        labels = pd.Series(labeller(rows)).reset_index(drop=True)
-        if len(labels) != len(rows):
-            raise ValueError("a labeller must return one label per row")
-        rows["substage"] = labels.astype(object).where(labels.notna(), "NA").astype(str)
+    group = [*STAGE, SLOT]
+
+    def labelled(rows: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
+        parts = []
+        for start, end in zip(starts, [*starts[1:], len(rows)]):
+            part = rows.iloc[start:end].reset_index(drop=True)
+            labels = pd.Series(labeller(part))
+            if len(labels) != len(part):
+                raise ValueError("a labeller must return one label per row")
+            parts.append(labels)
+        labels = pd.concat(parts, ignore_index=True)
+        rows = rows.assign(substage=labels.astype(object).where(labels.notna(), "NA").astype(str).to_numpy())
         return rows.loc[rows[HALO] == 0, names]
 
-    return haloed.groupBy(*STAGE, SLOT).applyInPandas(call, schema)
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None  # the last slot may go on in the next batch
+        for batch in batches:
+            if batch.empty:
+                continue
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            changed = (rows[group] != rows[group].shift()).any(axis=1)
+            starts = changed.to_numpy().nonzero()[0].tolist()
+            if len(starts) > 1:
+                yield labelled(rows.iloc[: starts[-1]], starts[:-1])
+            held = rows.iloc[starts[-1] :].reset_index(drop=True)
+        if held is not None:
+            yield labelled(held, [0])
+
+    return haloed.repartition(*group).sortWithinPartitions(*group, ts).mapInPandas(call, schema)
 
 
 def restart_positions(labels: DataFrame, markers: DataFrame, ts: str = TIME) -> DataFrame:

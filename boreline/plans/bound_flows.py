@@ -22,6 +22,8 @@ from .bound import (
 )
 from .oracle import label_view, r, sql, staged, windows
 
+HOOK_SLOT = 30 * 86_400.0  # about 70 readings of a well; production slots hold an hour
+
 BATCH_WINDOW = ["name", "stage_num_td", "stage_start_ts", "stage_end_ts", "sample_count"]
 
 # The stage index after the second batch, by the rules of the repair flow.
@@ -124,7 +126,7 @@ def design_labeller(rows: pd.DataFrame) -> pd.Series:
 SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage
 FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p FROM long)"""))
 def _(spark, d):
-    return flows.label_rows(tv.staged(spark, d, LONG_GAP_SECONDS), trend_labeller, 1, SLOT).select("name", "stage_num_td", "datetime_fmt", "substage")
+    return flows.label_rows(tv.staged(spark, d, LONG_GAP_SECONDS), trend_labeller, 1, HOOK_SLOT).select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
 MARKER_CASE = "CASE WHEN press_mainline >= 800 THEN 'MID_TRIAL' WHEN press_mainline >= 600 THEN 'MID' WHEN press_mainline >= 400 THEN 'LOW' WHEN press_mainline >= 200 THEN 'PRE' ELSE 'PRE_LOW' END"
@@ -152,9 +154,9 @@ LONG_ROWS = "(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry,
 @bound("two_pass_labels", sql("long", "SELECT * FROM two", _two_pass_sql(LONG_ROWS)))
 def _(spark, d):
     rows = tv.staged(spark, d, LONG_GAP_SECONDS)
-    markers = stored(flows.label_rows(rows, marker_labeller, 0, SLOT), "markers")
+    markers = stored(flows.label_rows(rows, marker_labeller, 0, HOOK_SLOT), "markers")
     ready = rows.select("name", "stage_num_td", F.col("record_ts").alias("datetime_fmt"), "rate_slurry", "press_mainline")
-    return labelling.two_pass_labels(ready, markers, design_labeller, 0, slot_seconds=SLOT).select("name", "stage_num_td", "datetime_fmt", "substage")
+    return labelling.two_pass_labels(ready, markers, design_labeller, 0, slot_seconds=HOOK_SLOT).select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
 # --- flows -----------------------------------------------------------------
@@ -168,7 +170,7 @@ afr AS (SELECT t.name, a.stage_num_td, t.record_ts AS datetime_fmt, t.rate_slurr
 @bound("live_stage_flow", sql("stg", "SELECT * FROM two", *REPAIR, AFTER_ROWS, _two_pass_sql("afr")))
 def _(spark, d):
     rows = tv.readings(spark, d)
-    out = flows.live_stage_flow(tv.first_batch(rows), tv.second_batch(rows), _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller, 0, SLOT)
+    out = flows.live_stage_flow(tv.first_batch(rows), tv.second_batch(rows), _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller, 0, HOOK_SLOT)
     return out["labels"].select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
@@ -214,7 +216,7 @@ UNION ALL SELECT o.name, o.record_ts, 'old', 'bronze-v2' FROM tel o LEFT JOIN (S
 def _(spark, d):
     rows = tv.readings(spark, d)
     previous = rows.select("name", F.col("record_ts").alias("datetime_fmt"), F.lit("old").alias("substage"), F.lit("bronze-v2").alias("algorithm_version"))
-    out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, trend_labeller, 1, slot_seconds=SLOT)
+    out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, trend_labeller, 1, slot_seconds=HOOK_SLOT)
     return out.select("name", "datetime_fmt", "substage", "algorithm_version")
 
 

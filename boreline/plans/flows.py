@@ -51,20 +51,29 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
     repair = stored(placed.where(F.col("matches") != 1).select("name").distinct(), "repair-wells")
     late = placed.join(repair, "name", "left_anti").withColumn("stage_num_td", F.col("matched_value")).drop("matches", "matched_value")
     normal = split.where(~F.col("is_late")).drop("is_late").join(repair, "name", "left_anti")
-    assigned = stages.assign_stages(normal, gap_seconds, prior=state).unionByName(late)
+    assigned = stored(stages.assign_stages(normal, gap_seconds, prior=state).unionByName(late), "assigned")
     touched = assigned.select(*STAGE).distinct()
 
     known = windows.join(touched, STAGE, "left_semi").select(*STAGE, "stage_start_ts", "stage_end_ts")
     before = _rows_in(stored_rows, known)
     rebuilt = stages.windows_of_assigned(before.unionByName(assigned, allowMissingColumns=True).distinct())
-    every = _readings(stored_rows).unionByName(_readings(batch)).distinct()
-    repaired = stages.stage_windows(every.join(repair, "name", "left_semi"), gap_seconds)
     kept = windows.join(repair, "name", "left_anti").join(touched, STAGE, "left_anti")
-    out = kept.unionByName(rebuilt, allowMissingColumns=True).unionByName(repaired, allowMissingColumns=True)
+    out = kept.unionByName(rebuilt, allowMissingColumns=True)
+    if not repair.isEmpty():
+        every = _readings(stored_rows).unionByName(_readings(batch)).join(repair, "name", "left_semi").distinct()
+        out = out.unionByName(stages.stage_windows(every, gap_seconds), allowMissingColumns=True)
     return {"windows": out, "repair_wells": repair, "assigned": assigned}
 
 
 def _rows_in(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """Readings inside the windows.
+
+    The windows' overall range is looked up first and filtered on as literals,
+    so the scan of the history skips files and row groups outside it.
+    """
+    lo, hi = windows.agg(F.min("stage_start_ts"), F.max("stage_end_ts")).first()
+    if lo is not None:
+        rows = rows.where(F.col("record_ts").between(reads.time_literal(lo), reads.time_literal(hi)))
     return interval_join(_readings(rows), windows, "record_ts", "stage_start_ts", "stage_end_ts").drop("stage_start_ts", "stage_end_ts")
 
 

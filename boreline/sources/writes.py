@@ -39,10 +39,14 @@ def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str], order: list[s
 def upsert_folder(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str, order: list[str] | None = None) -> None:
     """Upsert into a folder partitioned by ``partition``, which must follow from the key.
 
-    Untouched partitions are skipped at the scan by the semi join on the
-    partition column.
+    The range of touched partitions is looked up first (one row), so the old
+    table is read from that range of folders only; the semi join then narrows
+    it to the touched ones.
     """
-    old = read_or_empty(spark, path, new.schema)
+    lo, hi = new.agg(F.min(partition), F.max(partition)).first()
+    if lo is None:
+        return
+    old = read_or_empty(spark, path, new.schema).where(F.col(partition).between(F.lit(lo), F.lit(hi)))
     touched = old.join(new.select(partition).distinct(), partition, "left_semi")
     overwrite_partitions(upsert_by_key(touched, new, keys, order), path, partition)
 
