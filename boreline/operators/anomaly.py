@@ -177,9 +177,9 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
 
     A row starts a run for the thresholds its delta has reached and the delta
     of the row just before it had not. So each design row is turned into at
-    most one interval of threshold numbers per width and measure, the interval
-    ends are counted before the shuffle, and the counts per threshold are the
-    running sum of those ends. Rows are never multiplied by the grid.
+    most one interval of threshold numbers per width and measure, and the
+    intervals that hold a threshold are counted, partly before the shuffle.
+    Rows are never multiplied by the thresholds.
     """
     steps = {
         "pressure": (GRID_PRESSURE, 1),
@@ -214,22 +214,15 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
         for k, n in families
     ]
     started = drop_halo(haloed).select(*STAGE, F.explode(F.array_compact(F.array(*intervals))).alias("_i")).select(*STAGE, "_i.*")
-    ends = started.select(
-        *STAGE, "rolling_points", "threshold_type",
-        F.explode(F.array(F.struct(F.col("low").alias("at"), F.lit(1).alias("d")), F.struct(F.col("high").alias("at"), F.lit(-1).alias("d")))).alias("_e"),
-    )
     group = [*STAGE, "rolling_points", "threshold_type"]
-    changes = ends.groupBy(*group, F.col("_e.at").alias("at")).agg(F.sum("_e.d").alias("d"))
-    profile = changes.groupBy(*group).agg(F.collect_list(F.struct("at", "d")).alias("_changes"))
+    most_steps = max(len(GRID_PRESSURE), len(GRID_RATE))
+    runs = [F.sum(((F.col("low") <= k) & (F.col("high") > k)).cast("int")) for k in range(1, most_steps + 1)]
+    profile = started.groupBy(*group).agg(F.array(*runs).alias("_runs"))
     family = F.explode(F.array(*[F.struct(F.lit(n).alias("rolling_points"), F.lit(k).alias("threshold_type")) for k, n in families]))
     base = stages.withColumn("_f", family).select(*stages.columns, "_f.*")
     value = F.when(F.col("threshold_type") == "pressure", F.array(*[F.lit(float(v)) for v in GRID_PRESSURE])).otherwise(F.array(*[F.lit(float(v)) for v in GRID_RATE]))
     placed = base.join(profile, group, "left").select("*", F.posexplode(value).alias("_pos", "threshold_value"))
-    count = F.coalesce(
-        F.aggregate(F.filter("_changes", lambda c: c["at"] <= F.col("_pos") + 1), F.lit(0).cast("bigint"), lambda total, c: total + c["d"]),
-        F.lit(0),
-    )
-    return placed.withColumn("segment_count", count.cast("bigint")).drop("_changes", "_pos")
+    return placed.withColumn("segment_count", F.coalesce(F.get("_runs", F.col("_pos")), F.lit(0)).cast("bigint")).drop("_runs", "_pos")
 
 
 def trigger_counts(stages: DataFrame, grid: DataFrame, summary: DataFrame, pressure: float, rate: float, rolling_points: int) -> DataFrame:

@@ -64,16 +64,19 @@ def overlap_counts(windows: DataFrame, group: str, ident: str, start: str, end:
     of the rows.
     """
     w = windows.select(group, ident, F.col(start).alias("_s"), F.col(end).alias("_e")).where(F.col("_s") <= F.col("_e"))
-    point = F.when(F.col("_s") == F.col("_e"), 1).otherwise(0)
-    starts = w.groupBy(group, F.col("_s").alias("_t")).agg(F.count(F.lit(1)).alias("_ns"), F.lit(0).cast("bigint").alias("_ne"), F.sum(point).alias("_np"))
-    ends = w.groupBy(group, F.col("_e").alias("_t")).agg(F.lit(0).cast("bigint").alias("_ns"), F.count(F.lit(1)).alias("_ne"), F.lit(0).cast("bigint").alias("_np"))
-    times = starts.unionByName(ends).groupBy(group, "_t").agg(F.sum("_ns").alias("_ns"), F.sum("_ne").alias("_ne"), F.sum("_np").alias("_np"))
-    line = prefix_sums(times.withColumn(SLOT, slot("_t", slot_seconds)), [group], ["_t"], {"_cs": F.col("_ns"), "_ce": F.col("_ne")}, SLOT)
-    at_end = line.select(group, F.col("_t").alias("_e"), (F.col("_cs") - F.col("_ns")).alias("_started"))
-    at_start = line.select(group, F.col("_t").alias("_s"), F.col("_ce").alias("_ended"), F.col("_np").alias("_points"))
     lone = F.col("_s") == F.col("_e")
-    met = F.col("_started") - F.col("_ended") + F.when(lone, F.col("_points")).otherwise(F.lit(-1))
-    return w.join(at_end, [group, "_e"]).join(at_start, [group, "_s"]).select(group, ident, met.cast("bigint").alias("overlap_count"))
+    ends = F.explode(F.array(
+        F.struct(F.col("_s").alias("_t"), F.lit(1).alias("_ns"), F.lit(0).alias("_ne"), F.when(lone, 1).otherwise(0).alias("_np")),
+        F.struct(F.col("_e").alias("_t"), F.lit(0).alias("_ns"), F.lit(1).alias("_ne"), F.lit(0).alias("_np")),
+    ))
+    marks = w.select(group, ident, lone.alias("_lone"), ends.alias("_m")).select(group, ident, "_lone", "_m.*")
+    times = marks.groupBy(group, "_t").agg(F.sum("_ns").alias("_started_at"), F.sum("_ne").alias("_ended_at"), F.sum("_np").alias("_points"))
+    line = prefix_sums(times.withColumn(SLOT, slot("_t", slot_seconds)), [group], ["_t"], {"_cs": F.col("_started_at"), "_ce": F.col("_ended_at")}, SLOT)
+    seen = marks.join(line.select(group, "_t", (F.col("_cs") - F.col("_started_at")).alias("_before"), "_ce", "_points"), [group, "_t"])
+    at_end, at_start = F.col("_ne") == 1, F.col("_ns") == 1
+    own = F.when(F.col("_lone"), F.col("_points")).otherwise(F.lit(-1))
+    met = F.when(at_end, F.col("_before")).otherwise(0) + F.when(at_start, own - F.col("_ce")).otherwise(0)
+    return seen.groupBy(group, ident).agg(F.sum(met).cast("bigint").alias("overlap_count"))
 
 
 def overlapping(windows: DataFrame, start: str, end: str, from_time, to_time) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.clean import as_col
 from ..session import stored
 from .anomaly import STAGE, TIME
 from .ordered import HALO, SLOT, SLOT_SECONDS, exact_median, with_halo
@@ -29,14 +28,17 @@ Labeller = Callable[[pd.DataFrame], pd.Series]
 def design_medians(markers: DataFrame) -> DataFrame:
     """Median rate and pressure of a stage's design-marker rows; only finite values above zero count."""
     rows = markers.where(F.col("substage").isin(DESIGN_MARKERS))
-
-    def usable(median: DataFrame, value: str) -> DataFrame:
-        v = as_col(value)
-        return median.select(*STAGE, F.when((v > 0) & (v < float("inf")), v).alias(value))
-
-    rate = usable(exact_median(rows, STAGE, "rate_slurry", "inferred_design_rate"), "inferred_design_rate")
-    pressure = usable(exact_median(rows, STAGE, "press_mainline", "inferred_pressure", width=50.0), "inferred_pressure")
-    return rate.join(pressure, STAGE, "full")
+    values = F.explode(F.array(
+        F.struct(F.lit("rate").alias("measure"), F.col("rate_slurry").alias("value")),
+        F.struct(F.lit("pressure").alias("measure"), F.col("press_mainline").alias("value")),
+    ))
+    long = rows.select(*STAGE, values.alias("_v")).select(*STAGE, "_v.*")
+    medians = exact_median(long, [*STAGE, "measure"], "value", "median", width=5.0)
+    usable = F.when((F.col("median") > 0) & (F.col("median") < float("inf")), F.col("median"))
+    return medians.groupBy(*STAGE).agg(
+        F.max(F.when(F.col("measure") == "rate", usable)).alias("inferred_design_rate"),
+        F.max(F.when(F.col("measure") == "pressure", usable)).alias("inferred_pressure"),
+    )
 
 
 def sampling_step(df: DataFrame, ts: str = "record_ts", slot_seconds: float = SLOT_SECONDS) -> DataFrame:

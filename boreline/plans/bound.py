@@ -23,7 +23,7 @@ from .oracle import marker_view, r, sql, staged, text, windows
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-SLOT = 86_400.0  # slot width for the sparse test readings
+SLOT = 864_000.0  # slot width for the sparse test readings: some 25 of a well
 FIRST = "\nt1 AS (SELECT * FROM tel WHERE event_id % 10 < 8)", staged("t1", GAP_SECONDS, "s1"), windows("s1", "w1")
 LIMITS = Limits(pressure=200.0, rate=5.0, rolling_points=2, max_gap_seconds=86_400.0, shutdown_rate=20.0, shutdown_rows=2, sweep_rows=1)
 
@@ -631,7 +631,8 @@ def _(spark, d):
 
 
 def _events(spark, d):
-    flagged = anomaly.row_anomalies(tv.labels(spark, d), LIMITS, SLOT).where(F.col("anomaly").isNotNull())
+    labels = stored(tv.labels(spark, d), "labels")
+    flagged = anomaly.row_anomalies(labels, LIMITS, SLOT).where(F.col("anomaly").isNotNull())
     return islands.event_segments(flagged, LIMITS.max_gap_seconds, run_id="run", slot_seconds=SLOT)
 
 
@@ -696,7 +697,7 @@ grid AS (SELECT w.name, w.stage_num_td, CAST(rp AS INTEGER) AS rolling_points, g
 
 
 def _grid(spark, d) -> DataFrame:
-    return anomaly.threshold_grid(tv.labels(spark, d), tv.stage_index(spark, d, with_site=False, gap=LONG_GAP_SECONDS).select("name", "stage_num_td"), SLOT)
+    return anomaly.threshold_grid(stored(tv.labels(spark, d), "labels"), tv.stage_index(spark, d, with_site=False, gap=LONG_GAP_SECONDS).select("name", "stage_num_td"), SLOT)
 
 
 @bound("threshold_grid", sql("lab lwin", "SELECT * FROM grid", GRID_SQL))
@@ -866,7 +867,11 @@ PARTS_VIEWS = (DESIGN_SQL, ANOM_SQL, EVENT_SQL, STEP_SQL, PARTS_SQL)
 
 
 def _parts(spark, d) -> DataFrame:
-    return scores.quality_parts(tv.labels(spark, d), labelling.design_medians(tv.marker_labels(spark, d)), _events(spark, d), SLOT)
+    labels = stored(tv.labels(spark, d), "labels")
+    markers = stored(tv.marker_labels(spark, d), "markers")
+    flagged = anomaly.row_anomalies(labels, LIMITS, SLOT).where(F.col("anomaly").isNotNull())
+    events = islands.event_segments(flagged, LIMITS.max_gap_seconds, run_id="run", slot_seconds=SLOT)
+    return scores.quality_parts(labels, labelling.design_medians(markers), events, SLOT)
 
 
 @bound("quality_parts", sql("lab mark", "SELECT name, stage_num_td, anomaly_count, substages_present, " + ", ".join(f"{r(c, 5)} AS {c}" for c in PART_VALUES) + " FROM parts", *PARTS_VIEWS))

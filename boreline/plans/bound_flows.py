@@ -287,7 +287,7 @@ def _(spark, d):
 @bound("score_flow", sql("lab mark wells", "SELECT name, stage_num_td, top_driver, (SELECT COUNT(*) FROM sc) AS population_size, " + ", ".join(f"{r(c)} AS {c}" for c in SCORE_VALUES) + " FROM sc", *SCORE_VIEWS))
 def _(spark, d):
     sources = flows.stage_sources(tv.stage_index(spark, d, gap=LONG_GAP_SECONDS))
-    out = flows.score_flow(tv.labels(spark, d), tv.marker_labels(spark, d), _events(spark, d), sources, slot_seconds=SLOT)["scores"]
+    out = flows.score_flow(stored(tv.labels(spark, d), "labels"), stored(tv.marker_labels(spark, d), "markers"), _events(spark, d), sources, slot_seconds=SLOT)["scores"]
     return out.select("name", "stage_num_td", "top_driver", "population_size", *[shown(c) for c in SCORE_VALUES])
 
 

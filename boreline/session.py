@@ -24,7 +24,7 @@ def build_session(app: str = "boreline", master: str | None = None, shuffle_part
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return use_utc(builder.getOrCreate())
