@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import blank_to, is_design, normal_label
 from ..functions.display import REQUIRED_SUBSTAGES, SCORE_PARTS, band_color
 from ..functions.numbers import round_half_up
+from ..session import stored
 from .anomaly import STAGE, TIME
 from .islands import label_islands
 from .labelling import sampling_step
@@ -86,7 +87,8 @@ def percent_ranks(population: DataFrame, keys: list[str], parts: dict[str, bool]
         *keys, F.explode(F.array(*[F.struct(F.lit(p).alias("part"), F.round(F.col(p).cast("double"), 9).alias("value")) for p in parts])).alias("_p")
     ).select(*keys, "_p.*").where(F.col("value").isNotNull())
     counts = long.groupBy("part", "value").agg(F.count(F.lit(1)).alias("_n"))
-    cuts = counts.groupBy("part").agg(F.percentile_approx("value", [i / slots for i in range(1, slots)], 1000).alias("_cuts"))
+    # stored, because an approximate quantile may differ between two evaluations
+    cuts = stored(counts.groupBy("part").agg(F.percentile_approx("value", [i / slots for i in range(1, slots)], 1000).alias("_cuts")), "cuts")
     placed = counts.join(F.broadcast(cuts), "part").withColumn(SLOT, F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
     ranked = prefix_sums(placed, ["part"], ["value"], {"_cum": F.col("_n")}, SLOT, totals=True)
     better_below = F.col("_cum") - F.col("_n")

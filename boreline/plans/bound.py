@@ -1089,3 +1089,100 @@ SELECT name AS well_name, CAST(stage_num_td AS VARCHAR) AS stage_num, {r('compos
   WHEN 'substage_coherence' THEN 'Substage Coherence' ELSE 'Achievable Telemetry' END AS top_driver, anomaly_count, substages_present FROM sc""", *SCORE_VIEWS))
 def _(spark, d):
     return show(reports.score_ranking(_scored(spark, d)), "well_name", "stage_num", "composite_score", "top_driver", "anomaly_count", "substages_present", rounded=("composite_score",))
+
+
+@bound("well_time_bounds", sql("wells", "SELECT name AS well_name, first_record_ts AS start_time, last_record_ts AS end_time FROM wells"))
+def _(spark, d):
+    return reports.well_time_bounds(rollup.well_index(tv.telemetry(spark, d)))
+
+
+@bound("pad_time_bounds", sql("wells", """
+SELECT COALESCE(NULLIF(fleet_name, ''), 'Unknown') AS fleet_name, pad_name, MIN(first_record_ts) AS start_time, MAX(last_record_ts) AS end_time FROM wells GROUP BY 1, 2"""))
+def _(spark, d):
+    return reports.pad_time_bounds(rollup.well_index(tv.telemetry(spark, d)))
+
+
+@bound("well_relative_bounds", sql("wells", "SELECT name, GREATEST(first_ts, last_ts - INTERVAL 12 HOUR) AS start_time, last_ts AS end_time FROM wells"))
+def _(spark, d):
+    return reports.well_relative_bounds(rollup.well_index(tv.telemetry(spark, d)), "previous_12h")
+
+
+@bound("well_options", sql("wells", """
+SELECT name AS label, name AS value, well_family, fleet_name, pad_name, well_id, api_num, first_record_ts, last_record_ts, first_created_ts, last_created_ts, sample_count,
+       COALESCE(NULLIF(fleet_name, ''), 'Unknown') AS fleet_name_option, COALESCE(NULLIF(pad_name, ''), 'Unknown') AS pad_name_option FROM wells"""))
+def _(spark, d):
+    return reports.well_options(rollup.well_index(tv.telemetry(spark, d)))
+
+
+@bound("stage_options", sql("win", "SELECT name, stage_num_td AS label, stage_num_td AS value, stage_start_ts, stage_end_ts, sample_count FROM win"))
+def _(spark, d):
+    return reports.stage_options(tv.stage_index(spark, d, with_site=False))
+
+
+ORDINAL_LABELS = """(SELECT l.name, o.ordinal AS stage_num_td, l.datetime_fmt, l.substage AS substage_label FROM lab l JOIN (SELECT name, ordinal_confirmed AS ordinal, MIN(datetime_fmt) AS s, MAX(datetime_fmt) AS e
+  FROM ord WHERE ordinal_confirmed > 0 GROUP BY 1, 2) o ON o.name = l.name AND l.datetime_fmt BETWEEN o.s AND o.e WHERE l.substage <> 'NA')"""
+
+
+@bound("ordinal_label_windows", sql("stg lab", "SELECT *, '#5F8FD6' AS color FROM (" + _islands_sql(ORDINAL_LABELS, "name, stage_num_td", "datetime_fmt", "substage_label") + ")", SMARK, ORDINAL_SQL))
+def _(spark, d):
+    windows_ = ordinals.marker_ordinals(tv.marker_labels(spark, d, GAP_SECONDS)).where(F.col("ordinal_confirmed") > 0).groupBy("name", F.col("ordinal_confirmed").alias("ordinal")).agg(
+        F.min("datetime_fmt").alias("stage_start_ts"), F.max("datetime_fmt").alias("stage_end_ts"))
+    return reports.label_windows_in(tv.labels(spark, d), windows_, "ordinal", phases=True, slot_seconds=SLOT)
+
+
+BREAK_SQL = f"""
+SELECT w.name || ':stage_break:' || {text('stage_end_ts + INTERVAL 1 MILLISECOND')}, w.name, stage_end_ts + INTERVAL 1 MILLISECOND, NULL, NULL, NULL, NULL, NULL, 0
+FROM win w JOIN bnd b ON b.name = w.name AND w.stage_end_ts >= b.f AND w.stage_end_ts < b.t"""
+
+
+@bound("pad_chart_raw", sql("stg win", f"""
+SELECT t.name || ':' || {text('t.record_ts')} AS telemetry_point_id, t.name AS well_name, t.record_ts AS "timestamp", CAST(w.stage_num_td AS DOUBLE) AS stage_num,
+       t.rate_slurry, t.press_mainline, t.prop_conc_target AS selected_concentration, CAST(NULL AS DOUBLE) AS context_anchor, CAST(1 AS BIGINT) AS records_in_bucket
+FROM tel t JOIN bnd b ON b.name = t.name AND t.record_ts BETWEEN b.f AND b.t
+LEFT JOIN win w ON w.name = t.name AND t.record_ts BETWEEN w.stage_start_ts AND w.stage_end_ts
+UNION ALL {ANCHOR_SQL} UNION ALL {BREAK_SQL}""", BOUNDS_SQL))
+def _(spark, d):
+    w = tv.stage_index(spark, d, with_site=False)
+    return reports.pad_chart(tv.readings(spark, d), w, _bounds(w), 720, "target", requested="raw").select(*reports.CHART)
+
+
+@bound("segmentation_rollup_chart", sql("win hidx", f"""
+SELECT t.name || ':' || {text('t.bucket_ts')} AS telemetry_point_id, t.name AS well_name, t.bucket_ts AS "timestamp", rate_slurry_avg AS rate_slurry, press_mainline_avg AS press_mainline,
+       prop_conc_inline_avg AS selected_concentration, CAST(NULL AS DOUBLE) AS context_anchor, records_in_bucket FROM roll t JOIN bnd b ON b.name = t.name AND t.bucket_ts >= b.f AND t.bucket_ts < b.t
+UNION ALL SELECT x.name || ':line_break:' || {text('x.ts + INTERVAL 1 MILLISECOND')}, x.name, x.ts + INTERVAL 1 MILLISECOND, NULL, NULL, NULL, NULL, 0
+FROM (SELECT name, stage_end_ts AS ts FROM win UNION SELECT name, stage_end_ts FROM hidx) x JOIN bnd b ON b.name = x.name AND x.ts >= b.f AND x.ts < b.t
+UNION ALL SELECT name || ':context_start:' || {text('f')}, name, f, NULL, NULL, NULL, 0.0, 0 FROM bnd UNION ALL SELECT name || ':context_end:' || {text('t')}, name, t, NULL, NULL, NULL, 0.0, 0 FROM bnd""",
+    BOUNDS_SQL, "\nroll AS (" + _rollup_sql("tel") + ")"))
+def _(spark, d):
+    w = tv.stage_index(spark, d, with_site=False)
+    given = rollup.history_stage_index(tv.history(spark, d))
+    out = reports.segmentation_chart(tv.readings(spark, d), rollup.tumbling_rollup(tv.telemetry(spark, d), BUCKET_SECONDS), w, given, _bounds(w), 720, "inline", use_rollup=True)
+    return show(out, *[c for c in reports.CHART if c != "stage_num"], rounded=("rate_slurry", "press_mainline", "selected_concentration"))
+
+
+@bound("phase_chart", sql("lab lwin", """
+SELECT t.name AS well_name, CAST(w.stage_num_td AS DOUBLE) AS stage_num, t.record_ts AS ts, NULLIF(l.substage, 'NA') AS substage_label, t.rate_slurry, CAST(NULL AS DOUBLE) AS design_rate, CAST(NULL AS DOUBLE) AS context_anchor
+FROM lwin w JOIN tel t ON t.name = w.name AND t.record_ts BETWEEN w.stage_start_ts AND w.stage_end_ts LEFT JOIN lab l ON l.name = t.name AND l.stage_num_td = w.stage_num_td AND l.datetime_fmt = t.record_ts
+UNION ALL SELECT name, NULL, stage_start_ts, NULL, NULL, NULL, 0.0 FROM lwin UNION ALL SELECT name, NULL, stage_end_ts, NULL, NULL, NULL, 0.0 FROM lwin"""))
+def _(spark, d):
+    out = reports.label_chart(tv.readings(spark, d), tv.labels(spark, d), tv.stage_index(spark, d, with_site=False, gap=LONG_GAP_SECONDS), 0, with_design=False)
+    return out.select("well_name", "stage_num", "ts", "substage_label", "rate_slurry", "design_rate", "context_anchor")
+
+
+@bound("pad_annotation_table", sql("lab ann lay", f"""
+SELECT a.annotation_id, a.layer_id, a.name AS well_name, 'stage_start' AS substage_name, start_time, end_time, 'window' AS annotation_type, true AS can_edit, CAST(NULL AS VARCHAR) AS color
+FROM ann a JOIN lay l ON l.layer_id = a.layer_id AND l.owner_email = 'user3' WHERE status = 'active' AND start_time <= TIMESTAMP '{RANGE[1]}' AND end_time >= TIMESTAMP '{RANGE[0]}'
+UNION ALL SELECT {ISLE_ID}, 'system:model:platinum_substage_labels', name, substage, start_ts, end_ts, CASE WHEN substage IN ('stage_start', 'stage_end') THEN 'point' ELSE 'window' END, false, {PAD_COLOR}
+FROM isle2 WHERE start_ts < end_ts OR substage IN ('stage_start', 'stage_end')""",
+    "\nisle2 AS (" + _islands_sql(f"(SELECT * FROM lab WHERE substage <> 'NA' AND datetime_fmt BETWEEN TIMESTAMP '{RANGE[0]}' AND TIMESTAMP '{RANGE[1]}')", "name, stage_num_td", "datetime_fmt", "substage") + ")"))
+def _(spark, d):
+    out = reports.annotation_table(tv.annotations(spark, d), tv.layers(spark, d), tv.labels(spark, d), "user3", *RANGE, own_layers_only=True, pad=True, slot_seconds=SLOT)
+    return out.select("annotation_id", "layer_id", "well_name", "substage_name", "start_time", "end_time", "annotation_type", "can_edit", "color")
+
+
+@bound("layer_annotation_table", sql("ann lay", f"""
+SELECT a.annotation_id, a.layer_id, a.name AS well_name, start_time, end_time, COALESCE(is_editable AND owner_email = 'user3', false) AS can_edit FROM ann a LEFT JOIN lay l ON l.layer_id = a.layer_id
+WHERE status = 'active' AND a.layer_id = '3-MEDIUM' AND start_time <= TIMESTAMP '{RANGE[1]}' AND end_time >= TIMESTAMP '{RANGE[0]}'"""))
+def _(spark, d):
+    out = reports.annotation_table(tv.annotations(spark, d), tv.layers(spark, d), tv.labels(spark, d), "user3", *RANGE, layer="3-MEDIUM", slot_seconds=SLOT)
+    return out.select("annotation_id", "layer_id", "well_name", "start_time", "end_time", "can_edit")

@@ -311,8 +311,8 @@ def _(spark, d):
     resent = tv.first_batch(rows).where(F.col("event_type") == "view").withColumn("rate_slurry", F.col("rate_slurry") + 1)
     first, second = tv.first_batch(rows).select(*FEED), tv.second_batch(rows).unionByName(resent).select(*FEED)
     root = work_path(spark, "ingest")
-    _feed(spark, first, [first, second], lambda s: live.ingest(s, root))
-    return live.merged_rows(spark, root, first.schema, ["record_ts", "name"]).select("record_ts", "name", "id", "rate_slurry")
+    _feed(spark, first, [first, second], lambda s: live.ingest(s, root, ["record_ts", "name"], ["id"]))
+    return live.merged_rows(spark, root, first.schema).select("record_ts", "name", "id", "rate_slurry")
 
 
 @bound("stream_sessions", sql("stg", "SELECT id, name, record_ts, stage_num_td FROM stg"))

@@ -97,9 +97,9 @@ def live_stage_flow(
     """
     step = apply_batch(stored_rows, batch, windows, gap_seconds)
     after = stored(step["windows"], "windows")
-    stages.check_no_overlaps(after)
     same = ["stage_start_ts", "stage_end_ts", "sample_count"]
     changed = after.join(windows.select(*STAGE, *same), [*STAGE, *same], "left_anti")
+    stages.check_no_overlaps(after.join(changed.select("name").distinct(), "name", "left_semi"))
     every = _readings(stored_rows).unionByName(_readings(batch))
     rows = stored(affected_rows(every, changed), "affected")
     markers = stored(label_rows(rows, marker, context_rows, slot_seconds), "markers")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import ALL, UNKNOWN, blank_to
-from ..functions.numbers import MICROS, micros, slot_start
+from ..functions.numbers import MICROS, micros, slot, slot_start
+from ..operators.ordered import SLOT, prefix_sums
 
 # How far back each mode reads, in hours.
 MODE_HOURS = {"live": 6, "incremental": 72, "historical": None, "rebuild": None}
@@ -56,9 +57,25 @@ def incremental_scan(df: DataFrame, after: datetime | str | None, limit: int | N
         rows = rows.where(F.col("created_ts") >= time_literal(after))
     if limit is None:
         return rows
+    end = _batch_end(rows, limit)
+    if end is not None:
+        rows = rows.where(F.col("created_ts") < time_literal(end))
     return rows.orderBy("created_ts", "record_ts", "name").limit(limit)
 
 
+def _batch_end(rows: DataFrame, limit: int) -> datetime | None:
+    """Time by which ``limit`` rows were created, found on counts per minute.
+
+    Without it every task of a large scan would hand ``limit`` rows to the one
+    task that merges them.
+    """
+    minutes = rows.groupBy(slot_start("created_ts", 60).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    days = minutes.withColumn(SLOT, slot("minute", 86_400))
+    counted = prefix_sums(days, [], ["minute"], {"so_far": F.col("n")}, SLOT)
+    full = counted.where(F.col("so_far") >= limit).agg(F.min("minute")).first()[0]
+    return None if full is None else full + timedelta(minutes=1)
+
+
 def source_bounds(df: DataFrame, *by: str) -> DataFrame:
     """First and last event time of each scope that has rows."""
     timed = df.where(F.col("record_ts").isNotNull())
@@ -110,11 +127,6 @@ def mode_bounded_read(df: DataFrame, mode: str, now: datetime, ts: str = "record
     return df.where(F.col(ts) >= time_literal(now - timedelta(hours=hours)))
 
 
-def last_time(df: DataFrame, ts: str = "record_ts") -> datetime | None:
-    """Newest event time; one value on the driver."""
-    return df.agg(F.max(ts)).first()[0]
-
-
 def key_list(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "name string")
 

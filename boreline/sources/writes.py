@@ -26,8 +26,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Replace exactly the partitions that ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    """Replace exactly the partitions that ``df`` has rows for.
+
+    The rebalance hint lets AQE split a partition that is too large for one
+    writer and gather the small ones.
+    """
+    df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 State that must outlive a batch is a small table kept per batch number below
 the job's folder: batch N reads the state of the batch before it and writes its
-own. Output folders are per batch as well, so a batch that is replayed after a
-failure overwrites its own files and nothing is counted twice.
+own. Outputs are keyed upserts or folders per batch, so a batch that is replayed
+after a failure overwrites its own rows and nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clean import blank_to
 from ..operators import stages
-from ..operators.joins import latest_per_key
 from ..sources.catalog import MEASURE_COLUMNS
-from ..sources.writes import read_or_empty
+from ..sources.writes import read_or_empty, upsert_folder
 
+BUCKET_KEY = ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"]
 STATE = "name string, last_record_ts timestamp_ntz, last_stage bigint"
 
 
@@ -31,25 +31,34 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, files_per_ba
 
 
 def _drain(stream: DataFrame, checkpoint: str, handle, mode: str = "append", every: str | None = None) -> StreamingQuery:
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
+    def once(batch: DataFrame, number: int) -> None:
+        batch.persist()  # a handler runs several jobs over its batch
+        try:
+            handle(batch, number)
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(once)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def ingest(stream: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
-    """Keep every batch of the feed; ``merged_rows`` reads the upserted table."""
+def ingest(stream: DataFrame, root: str, keys: list[str], order: list[str], day_format: str = "yyyy-MM-dd", every: str | None = None) -> StreamingQuery:
+    """Upsert every batch into the merged readings, which are stored by day.
+
+    Only the days a batch touches are rewritten; a finer ``day_format`` makes
+    those folders smaller. Among rows of one key the newest batch wins, and
+    within a batch the last by ``order``; replaying a batch changes nothing.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         keyed = batch.where(F.col("name").isNotNull() & F.col("record_ts").isNotNull())
-        keyed.write.mode("overwrite").parquet(f"{root}/readings/batch={number}")
+        upsert_folder(batch.sparkSession, f"{root}/readings", keyed.withColumn("day", F.date_format("record_ts", day_format)), keys, "day", order)
 
     return _drain(stream, f"{root}/checkpoint", handle, every=every)
 
 
-def merged_rows(spark: SparkSession, root: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """One row per key over all batches; the newest batch wins."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
-    rows = read_or_empty(spark, f"{root}/readings", with_batch)
-    return latest_per_key(rows, keys, ["batch"]).drop("batch")
+def merged_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    return read_or_empty(spark, f"{root}/readings", T.StructType([*schema.fields, T.StructField("day", T.StringType())])).drop("day")
 
 
 def _batch_state(spark: SparkSession, root: str, number: int) -> DataFrame:
@@ -86,7 +95,7 @@ def sessions(stream: DataFrame, root: str, gap_seconds: float, every: str | None
 def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int, every: str | None = None) -> StreamingQuery:
     """Time buckets kept current: count and avg, min, max of each measure.
 
-    Buckets older than the watermark are closed. Each batch writes only the
+    Buckets older than the watermark are closed. Each batch upserts only the
     buckets it changed.
     """
     timed = stream.withColumn("_t", F.col("record_ts").cast("timestamp")).withWatermark("_t", f"{late_seconds} seconds")
@@ -100,14 +109,10 @@ def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int,
     shaped = buckets.select(F.lit(bucket_seconds).alias("bucket_seconds"), F.col("_w.start").cast("timestamp_ntz").alias("bucket_ts"), "*").drop("_w")
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/buckets/batch={number}")
+        upsert_folder(batch.sparkSession, f"{root}/buckets", batch.withColumn("day", F.date_format("bucket_ts", "yyyy-MM-dd")), BUCKET_KEY, "day")
 
     return _drain(shaped, f"{root}/checkpoint", handle, mode="update", every=every)
 
 
 def current_buckets(spark: SparkSession, root: str) -> DataFrame:
-    """Newest state of every bucket."""
-    rows = spark.read.option("mergeSchema", "false").parquet(f"{root}/buckets")
-    return latest_per_key(rows, ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"], ["batch"]).drop("batch")
-
-
+    return spark.read.parquet(f"{root}/buckets").drop("day")

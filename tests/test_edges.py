@@ -145,6 +145,13 @@ def test_filters_that_are_not_set_leave_no_trace(spark):
     assert reads.optional_filters(df, stage=2).count() == 0
 
 
+def test_limited_scan_takes_the_oldest_rows(spark):
+    df = readings(spark, *[("a", 30 * i) for i in range(40)], ("b", 45))
+    got = [r["record_ts"] for r in reads.incremental_scan(df, at(60), 5).collect()]
+    assert got == [at(60), at(90), at(120), at(150), at(180)]
+    assert reads.incremental_scan(df, None, 1000).count() == 41
+
+
 def test_an_empty_replacement_deletes_nothing(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "name string, v int")
     assert writes.replace_entity(old, old.where("v > 5")).count() == 2
