@@ -170,16 +170,23 @@ def split_late(batch: DataFrame, state: DataFrame) -> DataFrame:
     return batch.join(known, "name", "left").withColumn("is_late", late).drop("last_record_ts")
 
 
-def overlap_violations(windows: DataFrame) -> DataFrame:
+def overlap_violations(windows: DataFrame, slot_seconds: float = 86_400.0) -> DataFrame:
     """Windows that start at or before the latest end of the windows before them.
 
-    The running maximum finds overlaps with any earlier window. The input is
-    an index of stages, small next to the readings it was built from.
+    The running maximum finds overlaps with any earlier window. It runs inside
+    slots of start times, on top of the maximum of the slots before.
     """
-    line = Window.partitionBy("name").orderBy("stage_start_ts", "stage_num_td").rowsBetween(Window.unboundedPreceding, -1)
+    timed = windows.where(F.col("stage_start_ts").isNotNull() & F.col("stage_end_ts").isNotNull()).select(
+        "name", "stage_num_td", "stage_start_ts", "stage_end_ts", slot("stage_start_ts", slot_seconds).alias(SLOT)
+    )
+    slots = timed.groupBy("name", SLOT).agg(F.max("stage_end_ts").alias("_slot_end"))
+    line = Window.partitionBy("name").orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = slots.select("name", SLOT, F.max("_slot_end").over(line).alias("_earlier"))
+    inside = Window.partitionBy("name", SLOT).orderBy("stage_start_ts", "stage_num_td").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        windows.where(F.col("stage_start_ts").isNotNull() & F.col("stage_end_ts").isNotNull())
-        .withColumn("latest_end_before", F.max("stage_end_ts").over(line))
+        timed.withColumn("_inside", F.max("stage_end_ts").over(inside))
+        .join(earlier, ["name", SLOT])
+        .withColumn("latest_end_before", F.greatest("_inside", "_earlier"))
         .where(F.col("stage_start_ts") <= F.col("latest_end_before"))
         .select("name", "stage_num_td", "stage_start_ts", "latest_end_before")
     )

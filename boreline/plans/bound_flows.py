@@ -209,13 +209,13 @@ def _(spark, d):
 
 
 @bound("row_label_flow", sql("tel", """
-SELECT name, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage, 'bronze-v2' AS algorithm_version
+SELECT name, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage, 'rows-v2' AS algorithm_version
 FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p FROM rst)
-UNION ALL SELECT o.name, o.record_ts, 'old', 'bronze-v2' FROM tel o LEFT JOIN (SELECT name, MIN(record_ts) AS since FROM recent GROUP BY name) x ON x.name = o.name WHERE since IS NULL OR o.record_ts < since""",
+UNION ALL SELECT o.name, o.record_ts, 'old', 'rows-v2' FROM tel o LEFT JOIN (SELECT name, MIN(record_ts) AS since FROM recent GROUP BY name) x ON x.name = o.name WHERE since IS NULL OR o.record_ts < since""",
     "\nrecent AS (SELECT * FROM tel WHERE record_ts >= TIMESTAMP '2024-01-28')", staged("recent", GAP_SECONDS, "rst")))
 def _(spark, d):
     rows = tv.readings(spark, d)
-    previous = rows.select("name", F.col("record_ts").alias("datetime_fmt"), F.lit("old").alias("substage"), F.lit("bronze-v2").alias("algorithm_version"))
+    previous = rows.select("name", F.col("record_ts").alias("datetime_fmt"), F.lit("old").alias("substage"), F.lit("rows-v2").alias("algorithm_version"))
     out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, trend_labeller, 1, slot_seconds=HOOK_SLOT)
     return out.select("name", "datetime_fmt", "substage", "algorithm_version")
 

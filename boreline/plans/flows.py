@@ -47,8 +47,8 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
     """
     state = stages.session_state(windows)
     split = stages.split_late(_readings(batch), state)
-    placed = windows_holding(split.where("is_late").drop("is_late"), windows, "record_ts", "stage_start_ts", "stage_end_ts", "stage_num_td")
-    repair = stored(placed.where(F.col("matches") != 1).select("name").distinct(), "repair-wells")
+    placed = stored(windows_holding(split.where("is_late").drop("is_late"), windows, "record_ts", "stage_start_ts", "stage_end_ts", "stage_num_td"), "late-rows")
+    repair = placed.where(F.col("matches") != 1).select("name").distinct()
     late = placed.join(repair, "name", "left_anti").withColumn("stage_num_td", F.col("matched_value")).drop("matches", "matched_value")
     normal = split.where(~F.col("is_late")).drop("is_late").join(repair, "name", "left_anti")
     assigned = stored(stages.assign_stages(normal, gap_seconds, prior=state).unionByName(late), "assigned")
@@ -157,7 +157,7 @@ def rollup_flow(rows: DataFrame, previous: DataFrame | None, bucket_seconds: int
 
 def row_label_flow(
     rows: DataFrame, previous: DataFrame | None, mode: str, now: datetime, gap_seconds: float,
-    labeller: Labeller, context_rows: int, version: str = "bronze-v2", slot_seconds: float = SLOT_SECONDS,
+    labeller: Labeller, context_rows: int, version: str = "rows-v2", slot_seconds: float = SLOT_SECONDS,
 ) -> DataFrame:
     """Second-generation row labels of the look-back; older labels of a well stay."""
     bounded = reads.mode_bounded_read(rows, mode, now)
@@ -169,7 +169,7 @@ def row_label_flow(
     return fresh if previous is None else writes.replace_entity_range(previous, fresh, TIME)
 
 
-def ordinal_flow(markers: DataFrame, telemetry: DataFrame, version: str = "copper-v1") -> dict[str, DataFrame]:
+def ordinal_flow(markers: DataFrame, telemetry: DataFrame, version: str = "ordinals-v1") -> dict[str, DataFrame]:
     """Row ordinals in three forms, and the stage windows of each form; the layer is part of the key."""
     rows = stored(ordinals.marker_ordinals(markers), "ordinals")
     layers = [ordinals.ordinal_windows(rows, telemetry, layer) for layer in ordinals.LAYERS]
