@@ -5,10 +5,12 @@ from __future__ import annotations
 import duckdb
 import pytest
 
+import boreline.plans.bound_flows  # noqa: F401  (adds the flows and streams)
 from __spark_entry__ import entry, oracle_sql, queries
+from boreline.plans.bound import ORACLE, QUERIES
 from check import TABLES, rows_of, same_kind
 
-SQL = oracle_sql()
+SQL = dict(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,8 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(SQL) <= set(oracle_sql()) and set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
@@ -31,7 +34,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, duck, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     mine = rows_of(df.collect(), [df.columns.index(c) for c in columns])
     cur = duck.execute(SQL[name])
