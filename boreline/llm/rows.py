@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -45,3 +46,11 @@ def map_rows(df: DataFrame, schema: StructType | str, make: Callable[[], Callabl
 def text_of(column: str = "text") -> Column:
     """A null text counts as an empty one."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def drop_stored(spark: SparkSession, df: DataFrame) -> None:
+    """Delete a table written by ``stored`` that nothing will read again."""
+    for file in df.inputFiles()[:1]:
+        folder = re.match(r"(.*/boreline/(?:[^/]+/)*[^/]+-[0-9a-f]{32})/", file)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder[1])
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
