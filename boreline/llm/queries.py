@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreline.llm import bpe
+from boreline.llm import bpe, minhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op5_minhash": minhash.op5_minhash,
 }
 
 ORACLE: dict[str, str] = {}
