@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreline.llm import bpe, minhash, toxicity
+from boreline.llm import bpe, decontam, fingerprint, linededup, minhash, substring, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_minhash": minhash.op5_minhash,
+    "op6_fingerprints": fingerprint.op6_fingerprints,
+    "op7_substring": substring.op7_substring,
+    "op8_decontamination": decontam.op8_decontamination,
+    "op9_linededup": linededup.op9_linededup,
+    "op10_urlfilter": urlfilter.op10_urlfilter,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_linededup": linededup.ORACLE,
+    "op10_urlfilter": urlfilter.ORACLE,
+}

@@ -18,6 +18,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ MAX_TERMS = 2000
 #: A term must be in so many toxic documents of the sample, and so many times likelier there than in others.
 MIN_SHARE, MIN_DOCS, MIN_ODDS = 0.01, 4, 12.0
 STEM = range(3, 9)
+LEVELS = range(3)
 #: Terms of at least so many letters may be hit with one edit.
 FUZZY_LETTERS = 5
 #: Words on each side of a hit that are its context.
@@ -123,22 +125,25 @@ class Finder(dict):
 @dataclass
 class Model:
     terms: list[tuple[str, bool]]
-    exact: list[float]
+    exact: list[list[float]]
     fuzzy: list[float]
     weights: list[float] = field(default_factory=list)
 
     def features(self, n_words: int, hits: list[tuple[int, int, bool]]) -> list[float]:
-        direct: dict[int, float] = {}
-        quoted: dict[int, float] = {}
-        times = 0.0
+        direct: Counter = Counter()
+        quoted: Counter = Counter()
+        near: dict[int, float] = {}
         for term, edits, in_quotes in hits:
-            weight = self.fuzzy[term] if edits else self.exact[term]
-            if weight > 0:
-                into = quoted if in_quotes else direct
-                into[term] = max(weight, into.get(term, 0.0))
-                times += 0.25 if in_quotes else 1.0
+            if not edits:
+                (quoted if in_quotes else direct)[term] += 1
+            elif self.fuzzy[term] > 0:
+                near[term] = max(near.get(term, 0.0), self.fuzzy[term] * (0.25 if in_quotes else 1.0))
         n = max(1, n_words)
-        return [1.0, sum(direct.values()), sum(quoted.values()), math.log1p(times), math.log1p(1000 * times / n), math.log1p(n) / 10]
+        meant = {t: w for t, c in direct.items() if (w := self.exact[t][level_of(c, n)]) > 0}
+        said = {t: w for t, c in quoted.items() if t not in meant and (w := self.exact[t][level_of(c, n)]) > 0}
+        off = sum(w for t, w in near.items() if t not in meant and t not in said)
+        times = sum(c for t, c in direct.items() if t in meant)
+        return [1.0, sum(meant.values()), sum(said.values()), off, math.log1p(1000 * times / n)]
 
     def score(self, n_words: int, hits: list[tuple[int, int, bool]]) -> float:
         z = sum(w * x for w, x in zip(self.weights, self.features(n_words, hits), strict=True))
@@ -146,7 +151,7 @@ class Model:
 
 
 #: What the sums of hits are worth before any document is seen: a quoted one a quarter.
-PRIOR = np.array([-3.0, 0.6, 0.15, 0.5, 0.2, 0.0])
+PRIOR = np.array([-4.0, 0.6, 0.15, 0.4, 0.3])
 
 
 def held_out(key: Column) -> Column:
@@ -160,32 +165,50 @@ def labelled_sample(labels: DataFrame, key: str, label: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def level_of(times: int, n_words: int) -> int:
+    """How much a document uses a term: 0 once or rarely, 1 repeatedly, 2 repeatedly in one of a hundred words."""
+    if times < 2 or 1000 * times < 3 * n_words:
+        return 0
+    return 2 if 100 * times >= n_words else 1
+
+
 def _term_counts(sample: DataFrame) -> DataFrame:
-    """In how many toxic and other documents each word and stem is; counted within a task first."""
+    """How many toxic and other documents use each word and stem, at each level at least; counted within a task first."""
+    names = [f"{kind}{k}" for kind in ("other", "toxic") for k in LEVELS]
 
     def run(batches):
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        counts: dict[tuple[str, bool], list[int]] = {}
 
         def flush():
-            names = list(counts[0].keys() | counts[1].keys())
-            for start in range(0, len(names), 50_000):
-                part = names[start : start + 50_000]
-                columns = [pa.array([t for t, _ in part]), pa.array([s for _, s in part]), pa.array([counts[1][n] for n in part], pa.int64()), pa.array([counts[0][n] for n in part], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["term", "stem", "toxic", "other"])
-            for c in counts.values():
-                c.clear()
+            terms = list(counts)
+            for start in range(0, len(terms), 50_000):
+                part = terms[start : start + 50_000]
+                columns = [pa.array([t for t, _ in part]), pa.array([s for _, s in part])]
+                columns += [pa.array([counts[t][k] for t in part], pa.int64()) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays(columns, names=["term", "stem", *names])
+            counts.clear()
 
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(WORDS.findall(text.lower()))
-                counts[label].update((w, False) for w in words if len(w) >= STEM[0])
-                counts[label].update({(w[:k], True) for w in words for k in STEM if len(w) > k})
-                if len(counts[0]) + len(counts[1]) > 400_000:
+                words = Counter(WORDS.findall(text.lower()))
+                n = words.total()
+                uses: Counter = Counter()
+                for word, times in words.items():
+                    if len(word) >= STEM[0]:
+                        uses[word, False] += times
+                    for k in STEM:
+                        if len(word) > k:
+                            uses[word[:k], True] += times
+                for term, times in uses.items():
+                    row = counts.setdefault(term, [0] * len(names))
+                    for k in range(level_of(times, n) + 1):
+                        row[len(LEVELS) * label + k] += 1
+                if len(counts) > 400_000:
                     yield from flush()
         yield from flush()
 
-    parts = sample.select("text", "label").mapInArrow(run, "term string, stem boolean, toxic bigint, other bigint")
-    return parts.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    parts = sample.select("text", "label").mapInArrow(run, "term string, stem boolean, " + ", ".join(f"{n} bigint" for n in names))
+    return parts.groupBy("term", "stem").agg(*(F.sum(n).alias(n) for n in names))
 
 
 def _odds(toxic: float, other: float, n_toxic: int, n_other: int) -> float:
@@ -195,12 +218,11 @@ def _odds(toxic: float, other: float, n_toxic: int, n_other: int) -> float:
 def _distinct_terms(rows: list) -> list:
     """Of nested stems the longest that covers as much, then the shortest of those left."""
     stems = {r.term: r for r in rows if r.stem}
-    longest = {t for t, r in stems.items() if not any(o.startswith(t) and len(o) == len(t) + 1 and q.toxic >= 0.9 * r.toxic and q.other <= r.other for o, q in stems.items())}
-
-    def covered(term: str, stem: bool) -> bool:
-        return any(term[:k] in longest for k in STEM if k < len(term) and (k < len(term) or stem))
-
-    return [r for r in rows if (not r.stem or r.term in longest) and not covered(r.term, r.stem)]
+    narrowed = {o[:-1] for o, q in stems.items() if (r := stems.get(o[:-1])) and q.toxic0 >= 0.9 * r.toxic0 and q.best >= 0.9 * r.best}
+    whole = {r.term: r for r in rows if not r.stem}
+    narrowed |= {t for t, r in stems.items() if any(w.startswith(t) and q.toxic0 >= 0.9 * r.toxic0 for w, q in whole.items())}
+    left = stems.keys() - narrowed
+    return [r for r in rows if (r.term in left or not r.stem) and not any(r.term[:k] in left for k in STEM if k < len(r.term))]
 
 
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
@@ -211,12 +233,15 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_other:
         return Model([], [], [], PRIOR.tolist())
-    share = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("other") + 0.5) / (n_other + 1))
     least = max(MIN_DOCS, math.ceil(MIN_SHARE * n_toxic))
-    best = _term_counts(sample).where((F.col("toxic") >= least) & (share >= MIN_ODDS)).orderBy(F.col("toxic") * F.log(share), "term", "stem", ascending=[False, True, True]).limit(MAX_TERMS)
+    worth = []
+    for k in LEVELS:
+        ratio = (F.col(f"toxic{k}") + 0.5) / (n_toxic + 1) / ((F.col(f"other{k}") + 0.5) / (n_other + 1))
+        worth.append(F.when((F.col(f"toxic{k}") >= least) & (ratio >= MIN_ODDS), F.col(f"toxic{k}") * F.log(ratio)).otherwise(0.0))
+    best = _term_counts(sample).withColumn("best", F.greatest(*worth)).where("best > 0").orderBy("best", "term", "stem", ascending=[False, True, True]).limit(MAX_TERMS)
     rows = _distinct_terms(best.collect())
     terms = [(r.term, r.stem) for r in rows]
-    exact = [_odds(r.toxic, r.other, n_toxic, n_other) for r in rows]
+    exact = [list(accumulate((_odds(r[f"toxic{k}"], r[f"other{k}"], n_toxic, n_other) for k in LEVELS), max)) for r in rows]
 
     seen = _hits(sample, terms, "label").collect()
     parsed = [(r.label, r.n_words, list(zip(r.terms, r.edits, r.quoted, strict=True))) for r in seen]
@@ -225,9 +250,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         whole = {t for t, e, _ in hits if not e}
         near[value].update({t for t, e, _ in hits if e} - whole)
     fuzzy = []
-    for t, weight in enumerate(exact):
+    for t, weights in enumerate(exact):
         known = near[0][t] + near[1][t]
-        fuzzy.append(max(0.0, min(0.7 * weight, _odds(near[1][t], near[0][t], n_toxic, n_other)) if known else 0.7 * weight))
+        least_odds = _odds(near[1][t], near[0][t], n_toxic, n_other)
+        fuzzy.append(max(0.0, min(0.7 * weights[0], least_odds) if known else 0.7 * weights[0]))
     model = Model(terms, exact, fuzzy)
     x = np.array([model.features(n, hits) for _, n, hits in parsed])
     y = np.array([value for value, _, _ in parsed], float)
