@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreline.llm import bpe, decontam, fingerprint, linededup, minhash, substring, toxicity, urlfilter
+from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, substring, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_licenses": licenses.op4_licenses,
     "op5_minhash": minhash.op5_minhash,
     "op6_fingerprints": fingerprint.op6_fingerprints,
     "op7_substring": substring.op7_substring,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_licenses": licenses.ORACLE,
     "op9_linededup": linededup.ORACLE,
     "op10_urlfilter": urlfilter.ORACLE,
 }

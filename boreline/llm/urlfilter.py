@@ -127,20 +127,20 @@ WITH parts AS (
   FROM pages),
 times AS (SELECT event_id, min(ts) AS ts FROM events GROUP BY 1),
 fetched AS (
-  SELECT p.page_id, p.host, p.path, coalesce(t.ts, (SELECT max(ts) FROM events)) AS at
+  SELECT p.page_id, p.host, p.path, coalesce(t.ts, (SELECT max(ts) FROM events)) AS moment
   FROM parts p LEFT JOIN times t ON p.page_id = t.event_id),
 log AS (
-  SELECT CASE WHEN event_type = 'click' THEN host || '/' || split_part(path, '/', 2) || '/' ELSE host END AS target, e.ts AS at, max(event_type IN ('error', 'click')) AS listed
+  SELECT CASE WHEN event_type = 'click' THEN host || '/' || split_part(path, '/', 2) || '/' ELSE host END AS target, e.ts AS moment, max(event_type IN ('error', 'click')) AS listed
   FROM events e JOIN parts p ON e.user_id = p.page_id WHERE host <> '' GROUP BY 1, 2),
-valid AS (SELECT target, listed, at AS valid_from, lead(at) OVER (PARTITION BY target ORDER BY at) AS valid_to FROM log),
+valid AS (SELECT target, listed, moment AS valid_from, lead(moment) OVER (PARTITION BY target ORDER BY moment) AS valid_to FROM log),
 steps AS (SELECT *, string_split(path, '/') AS s, string_split(host, '.') AS l FROM fetched WHERE host <> ''),
 asked AS (
-  SELECT page_id, at, host || array_to_string(s[1:k + 1], '/') || CASE WHEN len(s) > k + 1 THEN '/' ELSE '' END AS target, 3 - k AS rank FROM steps, (VALUES (1), (2), (3)) AS v(k) WHERE len(s) > k
-  UNION ALL SELECT page_id, at, host, 3 FROM steps
-  UNION ALL SELECT page_id, at, array_to_string(l[k + 1:], '.'), 3 + k FROM steps, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(l) >= k + 2),
+  SELECT page_id, moment, host || array_to_string(s[1:k + 1], '/') || CASE WHEN len(s) > k + 1 THEN '/' ELSE '' END AS target, 3 - k AS rank FROM steps, (VALUES (1), (2), (3)) AS v(k) WHERE len(s) > k
+  UNION ALL SELECT page_id, moment, host, 3 FROM steps
+  UNION ALL SELECT page_id, moment, array_to_string(l[k + 1:], '.'), 3 + k FROM steps, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(l) >= k + 2),
 hits AS (
   SELECT a.page_id, a.target, a.rank, v.valid_from FROM asked a JOIN valid v ON a.target = v.target
-  WHERE v.listed AND a.at >= v.valid_from AND (v.valid_to IS NULL OR a.at < v.valid_to)),
+  WHERE v.listed AND a.moment >= v.valid_from AND (v.valid_to IS NULL OR a.moment < v.valid_to)),
 best AS (SELECT page_id, arg_min(target, rank) AS matched, arg_min(valid_from, rank) AS listed_since, count(DISTINCT target) AS active FROM hits GROUP BY 1)
 SELECT DISTINCT p.page_id, b.page_id IS NOT NULL AS blocked, b.matched, b.listed_since, coalesce(b.active, 0) AS active
 FROM pages p LEFT JOIN best b ON p.page_id = b.page_id
