@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, substring, toxicity, urlfilter
+from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, substring, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
+    "op2_warc": warc.op2_warc,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_licenses": licenses.op4_licenses,
     "op5_minhash": minhash.op5_minhash,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc": warc.ORACLE,
     "op4_licenses": licenses.ORACLE,
     "op9_linededup": linededup.ORACLE,
     "op10_urlfilter": urlfilter.ORACLE,

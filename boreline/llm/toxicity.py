@@ -18,9 +18,11 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,18 @@ class Trie:
             for letter in term:
                 node = node.setdefault(letter, {})
             node[1 if stem else 0] = number
+        # With one edit at most, a word has the first half of the term at its start, or the second one place off at most.
+        self.heads: dict[int, set[str]] = {}
+        self.tails: dict[tuple[int, int], set[str]] = {}
+        for k, (term, _) in enumerate(terms):
+            half = len(term) // 2
+            self.heads.setdefault(half, set()).add(term[:half])
+            if self.fuzzy[k]:
+                for start in (half - 1, half, half + 1):
+                    self.tails.setdefault((start, start + len(term) - half), set()).add(term[half:])
+
+    def possible(self, word: str) -> bool:
+        return any(word[:n] in starts for n, starts in self.heads.items()) or any(word[a:b] in parts for (a, b), parts in self.tails.items())
 
     def hits(self, word: str) -> list[tuple[int, int]]:
         """(term, edits) of all terms within one edit of the word, or of a start of it."""
@@ -100,7 +114,7 @@ class Finder(dict):
         self.trie = trie
 
     def __missing__(self, word: str) -> list[tuple[int, int]]:
-        hits = self.trie.hits(word)
+        hits = self.trie.hits(word) if self.trie.possible(word) else []
         if len(self) < CACHE_ENTRIES:
             self[word] = hits
         return hits
@@ -122,6 +136,12 @@ class Finder(dict):
         return len(words), out
 
 
+@lru_cache(maxsize=2)
+def finder_of(terms: tuple[tuple[str, bool], ...]) -> Finder:
+    """One per Python worker, which serves many tasks."""
+    return Finder(Trie(list(terms)))
+
+
 @dataclass
 class Model:
     terms: list[tuple[str, bool]]
@@ -276,7 +296,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, pull: float = 2.0) -> np.ndarray:
 
 def _hits(df: DataFrame, terms: list[tuple[str, bool]], carry: str) -> DataFrame:
     def make():
-        finder = Finder(Trie(terms))
+        finder = finder_of(tuple(terms))
 
         def work(carried, texts):
             found = [finder.read(t) for t in texts]
@@ -295,7 +315,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     """
 
     def make():
-        finder = Finder(Trie(model.terms))
+        finder = finder_of(tuple(model.terms))
 
         def work(keys, texts):
             found = [finder.read(t) for t in texts]
@@ -307,6 +327,17 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     return map_rows(df.select(F.col(key), text_of(text)), f"`{key}` {kind}, score double, n_hits bigint", make)
 
 
+def score_column(model: Model, text: Column) -> Column:
+    """The score as a column, for filters that keep whole rows."""
+
+    @F.pandas_udf("double")
+    def scores(texts: pd.Series) -> pd.Series:
+        finder = finder_of(tuple(model.terms))
+        return pd.Series([model.score(*finder.read(t)) for t in texts], dtype="float64")
+
+    return scores(F.coalesce(text, F.lit("")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     out = score(docs, fit(docs, labels))
