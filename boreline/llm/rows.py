@@ -43,6 +43,14 @@ def map_rows(df: DataFrame, schema: StructType | str, make: Callable[[], Callabl
     return df.mapInArrow(run, out)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: str = "text") -> Column:
     """A null text counts as an empty one."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boreline.llm.rows import drop_stored, map_rows, text_of
+from boreline.llm.rows import drop_stored, fresh, map_rows, text_of
 from boreline.session import stored
 
 #: Words of a line, and of a sentence within a line, at least.
@@ -98,11 +98,12 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def without_passages(df: DataFrame, removed: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the removed spans cut out of their texts; the spans of a document are cut in one go."""
-    spans = removed.groupBy(key).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    name = fresh(df, "spans")
+    spans = removed.groupBy(key).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name))
     step = F.aggregate(
-        "_spans",
+        name,
         F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
         lambda state, s: F.struct(F.concat(state["out"], F.substring(F.col(text), state["at"].cast("int") + 1, F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))).alias("out"), F.greatest(s["end"], state["at"]).alias("at")),
         lambda state: F.concat(state["out"], F.substring(F.col(text), state["at"].cast("int") + 1, F.length(text))),
     )
-    return df.join(spans, key, "left").withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(step)).select(*df.columns)
+    return df.join(spans, key, "left").withColumn(text, F.when(F.col(name).isNull(), F.col(text)).otherwise(step)).select(*df.columns)

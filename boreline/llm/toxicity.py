@@ -249,6 +249,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     """Learn lexicon, weights and model from the labelled documents outside the held-out fold."""
     chosen = labelled_sample(labels.select(key, label), key, label)
     sample = df.select(F.col(key), text_of(text).alias("text")).join(F.broadcast(chosen), key).select(key, "text", "label")
+    # Copies of one document say no more than it does; which of them stays makes no difference.
+    sample = sample.dropDuplicates(["text", "label"])
     sizes = dict(sample.groupBy("label").count().collect())
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_other:
