@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boreline.llm import bpe, decontam, linededup, minhash, toxicity
+from boreline.llm.rows import fresh
 from boreline.session import stored
 
 
@@ -31,8 +32,9 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group, and all without an id."""
     kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(stored(kept, "kept"), "doc_id", "left_semi").withColumn("_copy", F.xxhash64("text"))
-    named = named.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id", "_copy").orderBy("source", "lang"))).where("_copy = 1")
+    copy = fresh(docs, "copy")
+    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang"))
+    named = docs.join(stored(kept, "kept"), "doc_id", "left_semi").withColumn(copy, first).where(F.col(copy) == 1)
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null").select(*docs.columns))
 
 
