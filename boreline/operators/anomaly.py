@@ -225,8 +225,18 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
     return placed.withColumn("segment_count", F.coalesce(F.get("_runs", F.col("_pos")), F.lit(0)).cast("bigint")).drop("_runs", "_pos")
 
 
-def trigger_counts(stages: DataFrame, grid: DataFrame, summary: DataFrame, pressure: float, rate: float, rolling_points: int) -> DataFrame:
-    """Grid counts at the chosen thresholds beside the recorded shutdowns, zero where absent."""
+def trigger_counts(stages: DataFrame, grid: DataFrame, summary: DataFrame, pressure: float, rate: float, rolling_points: int, manifest: DataFrame | None = None) -> DataFrame:
+    """Grid counts at the chosen thresholds beside the recorded shutdowns, zero where absent.
+
+    ``manifest`` names the current ``source_signature`` of each stage; rows of
+    the grid or summary that were made from another one are left out.
+    """
+    if manifest is not None:
+        current = manifest.where(F.col("status") == "active") if "status" in manifest.columns else manifest
+        current = current.select(*STAGE, "source_signature").distinct()
+        grid = grid.join(current, [*STAGE, "source_signature"], "left_semi")
+        if "source_signature" in summary.columns:
+            summary = summary.join(current, [*STAGE, "source_signature"], "left_semi")
     chosen = grid.where(
         (F.col("rolling_points") == rolling_points)
         & (((F.col("threshold_type") == "pressure") & (F.col("threshold_value") == float(pressure))) | ((F.col("threshold_type") == "rate") & (F.col("threshold_value") == float(rate))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,8 +79,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], newest: boo
 
 
 def keep_last(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Union of old and new rows; a new row replaces the old one of its key."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new, allowMissingColumns=True)
+    """Union of old and new rows; a new row replaces the old one of its key. Nulls of a key are equal."""
+    fresh = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return old.join(fresh, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def first_last(df: DataFrame, keys: list[str], value: str) -> DataFrame:

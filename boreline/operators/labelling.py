@@ -44,20 +44,26 @@ def design_medians(markers: DataFrame) -> DataFrame:
 def sampling_step(df: DataFrame, ts: str = "record_ts", slot_seconds: float = SLOT_SECONDS) -> DataFrame:
     """Median seconds between the rows of a stage; 1.0 where a stage has one row."""
     gaps = sampling_gaps(df, STAGE, ts, slot_seconds)
-    steps = exact_median(gaps, STAGE, "gap_seconds", "_step")
+    steps = exact_median(gaps, STAGE, "gap_seconds", "_step", width=0.001)  # jittered gaps all differ, by less than a second
     return df.select(*STAGE).distinct().join(steps, STAGE, "left").select(*STAGE, F.coalesce("_step", F.lit(1.0)).alias("sampling_step"))
 
 
-def label_stages(df: DataFrame, labeller: Labeller, context_rows: int, ts: str = TIME, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+def label_stages(df: DataFrame, labeller: Labeller, context_rows: int = 0, ts: str = TIME, slot_seconds: float | None = None) -> DataFrame:
     """Call ``labeller`` on sorted rows and add its labels as ``substage``; null becomes ``NA``.
 
-    A stage is handed over in time slots, each with ``context_rows`` rows of
-    the stage before and after it, so a very long stage is labelled by many
-    tasks. The labeller returns one label per row it is given; labels of
-    context rows are discarded. Spark sorts the rows of a task, so slots reach
-    Python in order, many to an Arrow batch.
+    By default it is called once for each stage, with all of its rows. A
+    labeller that is declared local, one whose label of a row depends on
+    ``context_rows`` rows on either side only, may be given ``slot_seconds``:
+    a stage is then handed over in time slots, each with those rows around it,
+    so a very long stage is labelled by many tasks. The labeller returns one
+    label per row it is given; labels of context rows are discarded. Spark
+    sorts the rows of a task, so stages reach Python in order, many to an
+    Arrow batch.
     """
-    haloed = with_halo(df.drop("substage"), STAGE, ts, before=context_rows, after=context_rows, slot_seconds=slot_seconds)
+    if slot_seconds is None:
+        haloed = df.drop("substage").withColumn(SLOT, F.lit(0)).withColumn(HALO, F.lit(0))
+    else:
+        haloed = with_halo(df.drop("substage"), STAGE, ts, before=context_rows, after=context_rows, slot_seconds=slot_seconds)
     schema = T.StructType([*[f for f in haloed.schema.fields if f.name not in (HALO, SLOT)], T.StructField("substage", T.StringType())])
     names = [f.name for f in schema.fields]
     group = [*STAGE, SLOT]
@@ -75,18 +81,23 @@ def label_stages(df: DataFrame, labeller: Labeller, context_rows: int, ts: str =
         return rows.loc[rows[HALO] == 0, names]
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None  # the last slot may go on in the next batch
+        held: list[pd.DataFrame] = []  # the parts of the last group, which may go on in the next batch
         for batch in batches:
             if batch.empty:
                 continue
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            changed = (rows[group] != rows[group].shift()).any(axis=1)
-            starts = changed.to_numpy().nonzero()[0].tolist()
+            changed = (batch[group] != batch[group].shift()).any(axis=1).to_numpy()
+            changed[0] = not held or (held[-1][group].iloc[-1] != batch[group].iloc[0]).any()
+            starts = changed.nonzero()[0].tolist()
+            if starts and held:
+                held.append(batch.iloc[: starts[0]])
+                yield labelled(pd.concat(held, ignore_index=True), [0])
+                held = []
             if len(starts) > 1:
-                yield labelled(rows.iloc[: starts[-1]], starts[:-1])
-            held = rows.iloc[starts[-1] :].reset_index(drop=True)
-        if held is not None:
-            yield labelled(held, [0])
+                first = starts[0]
+                yield labelled(batch.iloc[first : starts[-1]].reset_index(drop=True), [s - first for s in starts[:-1]])
+            held.append(batch.iloc[starts[-1] if starts else 0 :])
+        if held:
+            yield labelled(pd.concat(held, ignore_index=True), [0])
 
     return haloed.repartition(*group).sortWithinPartitions(*group, ts).mapInPandas(call, schema)
 
@@ -113,7 +124,7 @@ def restart_positions(labels: DataFrame, markers: DataFrame, ts: str = TIME) ->
     )
 
 
-def two_pass_labels(rows: DataFrame, markers: DataFrame, labeller: Labeller, context_rows: int, ts: str = TIME, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+def two_pass_labels(rows: DataFrame, markers: DataFrame, labeller: Labeller, context_rows: int = 0, ts: str = TIME, slot_seconds: float | None = None) -> DataFrame:
     """Label with design values, look for restarts, label again from there.
 
     ``rows`` carries the stage's readings. Each row gets its stage's medians as

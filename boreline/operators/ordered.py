@@ -102,12 +102,12 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str, width: float = 1.0) -> DataFrame:
-    """Exact median per entity.
+    """Exact median per entity; nulls and NaN do not count.
 
     Equal values are counted before the shuffle; the distinct values are cut
     into slots ``width`` wide, so no task holds all values of an entity.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn(SLOT, F.floor(F.col(value) / F.lit(width)))
     ranked = prefix_sums(counts, keys, [value], {"_cum": F.col("_n")}, SLOT, totals=True)
     low = F.floor((F.col("_cum_total") + 1) / 2)

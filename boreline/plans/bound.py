@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,6 +73,20 @@ def _(spark, d):
     return reads.incremental_scan(tv.readings(spark, d), "2024-01-16", 200_000).select("created_ts", "record_ts", "name", "id")
 
 
+@bound("incremental_pages", sql("tel", "SELECT minute AS created_ts, record_ts, name, id FROM (SELECT *, date_trunc('day', created_ts) AS minute FROM tel WHERE created_ts IS NOT NULL)"))
+def _(spark, d):
+    """All rows through pages of a seventh, with many rows on one creation time."""
+    rows = tv.readings(spark, d).withColumn("created_ts", F.date_trunc("day", "created_ts").cast("timestamp_ntz")).select("created_ts", "record_ts", "name", "id")
+    size, after, pages = rows.count() // 7 + 1, None, []
+    while True:
+        page = stored(reads.incremental_scan(rows, after, size), "page")
+        after = reads.next_cursor(page)
+        if after is None:
+            break
+        pages.append(page)
+    return functools.reduce(DataFrame.unionByName, pages)
+
+
 @bound("upsert_by_key", sql("tel", """
 SELECT name, record_ts, id, CASE WHEN event_id % 10 >= 8 THEN rate_slurry WHEN event_type = 'view' THEN rate_slurry + 1 ELSE rate_slurry END AS rate_slurry FROM tel"""))
 def _(spark, d):
@@ -94,19 +109,38 @@ def _(spark, d):
     return writes.replace_entity(old, fresh.join(asia, "name", "left_semi")).select("name", "stage_num_td", "stage_start_ts", "sample_count")
 
 
-@bound("backfill_chunks", sql("tel", f"""
+CHUNK_SQL = sql("tel", f"""
 SELECT fleet_name, CAST(row_number() OVER (PARTITION BY fleet_name ORDER BY chunk_start) - 1 AS BIGINT) AS chunk_no, chunk_start,
        LEAST(chunk_start + INTERVAL 24 HOUR, hi) AS chunk_end
 FROM (SELECT fleet_name, hi, unnest(generate_series(lo, hi - INTERVAL 1 MICROSECOND, INTERVAL 24 HOUR)) AS chunk_start
       FROM (SELECT CASE WHEN fleet_name = '' THEN 'Unknown' ELSE fleet_name END AS fleet_name,
                    time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, MIN(record_ts), TIMESTAMP '1970-01-01') AS lo,
                    time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, MAX(record_ts), TIMESTAMP '1970-01-01') + INTERVAL {BUCKET_SECONDS} SECOND AS hi
-            FROM tel GROUP BY 1))"""))
+            FROM tel GROUP BY 1))""")
+
+
+@bound("backfill_chunks", CHUNK_SQL)
 def _(spark, d):
     rows = tv.telemetry(spark, d).withColumn("fleet_name", blank_to("fleet_name"))
     return reads.backfill_chunks(reads.source_bounds(rows, "fleet_name"), 24, BUCKET_SECONDS)
 
 
+@bound("backfill_pages", CHUNK_SQL)
+def _(spark, d):
+    """The chunks of every fleet, five to a page, each page from where the one before stopped."""
+    rows = tv.telemetry(spark, d).withColumn("fleet_name", blank_to("fleet_name"))
+    bounds = stored(reads.source_bounds(rows, "fleet_name"), "bounds")
+    cursor, pages = None, []
+    while True:
+        page = stored(reads.backfill_chunks(bounds, 24, BUCKET_SECONDS, 5, cursor), "chunks")
+        if page.isEmpty():
+            break
+        done = page.groupBy("fleet_name").agg(F.max("resume_at").alias("resume_at"))
+        cursor = stored(done if cursor is None else writes.upsert_by_key(cursor, done, ["fleet_name"]), "cursor")
+        pages.append(page.withColumn("chunk_no", F.col("chunk_no") + 5 * len(pages)).drop("resume_at"))
+    return functools.reduce(DataFrame.unionByName, pages)
+
+
 @bound("source_bounds", sql("tel", "SELECT pad_name, MIN(record_ts) AS start_time, MAX(record_ts) AS end_time FROM tel GROUP BY pad_name"))
 def _(spark, d):
     return reads.source_bounds(tv.telemetry(spark, d), "pad_name")
@@ -187,12 +221,12 @@ def _(spark, d):
 
 
 def _bounds(w: DataFrame) -> DataFrame:
-    """Range of each well's second stage, so the context has rows on both sides."""
-    return w.where(F.col("stage_num_td") == 2).select("name", F.col("stage_start_ts").alias("start_time"), F.col("stage_end_ts").alias("end_time"))
+    """The range of every stage; a chart shows each with its context."""
+    return w.select("name", F.col("stage_start_ts").alias("start_time"), F.col("stage_end_ts").alias("end_time"))
 
 
 BOUNDS_SQL = """
-bnd AS (SELECT name, stage_start_ts - INTERVAL 720 MINUTE AS f, stage_end_ts + INTERVAL 720 MINUTE AS t FROM win WHERE stage_num_td = 2)"""
+bnd AS (SELECT name, stage_start_ts - INTERVAL 720 MINUTE AS f, stage_end_ts + INTERVAL 720 MINUTE AS t FROM win)"""
 ANCHOR_SQL = f"""
 SELECT name || ':context_start:' || {text('f')}, name, f, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 0.0, CAST(0 AS BIGINT) FROM bnd
 UNION ALL SELECT name || ':context_end:' || {text('t')}, name, t, NULL, NULL, NULL, NULL, 0.0, 0 FROM bnd"""
@@ -723,6 +757,16 @@ def _(spark, d):
     return _triggers(spark, d)
 
 
+@bound("trigger_counts_current", sql("lab lwin", "SELECT * FROM trig", *TRIGGER_SQL))
+def _(spark, d):
+    """Grids of an earlier source lie beside the current ones and must not count."""
+    now = _grid(spark, d).withColumn("source_signature", F.lit("now"))
+    stale = now.withColumn("segment_count", F.col("segment_count") + 3).withColumn("source_signature", F.lit("before"))
+    index = tv.stage_index(spark, d, with_site=False, gap=LONG_GAP_SECONDS)
+    manifest = index.select("name", "stage_num_td", F.lit("now").alias("source_signature"), F.lit("active").alias("status"))
+    return anomaly.trigger_counts(index, now.unionByName(stale), _summary(spark, d).withColumn("source_signature", F.lit("now")), 200, 5, 1, manifest)
+
+
 @bound("trigger_summary", sql("lab lwin", """
 SELECT CAST(SUM(triggered_segments) AS BIGINT) AS total_triggered_segments, CAST(SUM(pressure_surge_segments) AS BIGINT) AS pressure_surge_segments,
        CAST(SUM(pump_rate_drop_segments) AS BIGINT) AS pump_rate_drop_segments, CAST(SUM(mid_stage_shutdown_segments) AS BIGINT) AS mid_stage_shutdown_segments,
@@ -950,7 +994,7 @@ def _(spark, d):
     return reports.stage_time_bounds(tv.stage_index(spark, d, with_site=False))
 
 
-@bound("work_batch", sql("win", "SELECT name, stage_num_td, true AS has_more FROM (SELECT name, stage_num_td FROM win ORDER BY name, stage_num_td LIMIT 25)"))
+@bound("work_batch", sql("win", "SELECT name, stage_num_td, (SELECT COUNT(*) FROM win) > 25 AS has_more FROM (SELECT name, stage_num_td FROM win ORDER BY name, stage_num_td LIMIT 25)"))
 def _(spark, d):
     return reads.work_batch(tv.stage_index(spark, d, with_site=False), ["name", "stage_num_td"], 25)
 
@@ -1023,6 +1067,35 @@ def _(spark, d):
                 rounded=("inferred_pressure", "design_rate", "design_rate_high"))
 
 
+ORDINAL_CHART = """(SELECT name, ordinal_confirmed AS ordinal, MIN(datetime_fmt) AS s, MAX(datetime_fmt) AS e FROM ord WHERE ordinal_confirmed > 0 GROUP BY 1, 2)"""
+
+
+def _ordinal_chart(spark, d, labels: DataFrame, with_design: bool) -> DataFrame:
+    marks = ordinals.marker_ordinals(tv.marker_labels(spark, d, GAP_SECONDS)).where(F.col("ordinal_confirmed") > 0)
+    windows_ = marks.groupBy("name", F.col("ordinal_confirmed").alias("stage_num_td")).agg(F.min("datetime_fmt").alias("stage_start_ts"), F.max("datetime_fmt").alias("stage_end_ts"))
+    return reports.label_chart(tv.readings(spark, d), labels, windows_, 30, "target", with_design=with_design, with_stage=False)
+
+
+@bound("ordinal_label_chart", sql("stg lab mark", f"""
+SELECT t.name AS well_name, CAST(w.ordinal AS DOUBLE) AS stage_num, t.record_ts AS ts, CASE WHEN l.substage = 'NA' THEN NULL ELSE l.substage END AS substage_label, t.rate_slurry,
+       t.prop_conc_target AS selected_concentration, {r('x.rate')} AS design_rate, CAST(NULL AS DOUBLE) AS context_anchor
+FROM {ORDINAL_CHART} w JOIN tel t ON t.name = w.name AND t.record_ts BETWEEN w.s - INTERVAL 30 MINUTE AND w.e + INTERVAL 30 MINUTE LEFT JOIN lab l ON l.name = t.name AND l.datetime_fmt = t.record_ts
+LEFT JOIN (SELECT name, stage_num_td, median(rate_slurry) AS rate FROM mark WHERE substage IN ('MID_TRIAL', 'MID') GROUP BY 1, 2) x ON x.name = l.name AND x.stage_num_td = l.stage_num_td
+UNION ALL SELECT name, NULL, s - INTERVAL 30 MINUTE, NULL, NULL, NULL, NULL, 0.0 FROM {ORDINAL_CHART}
+UNION ALL SELECT name, NULL, e + INTERVAL 30 MINUTE, NULL, NULL, NULL, NULL, 0.0 FROM {ORDINAL_CHART}""", SMARK, ORDINAL_SQL))
+def _(spark, d):
+    labels = tv.labels(spark, d).join(labelling.design_medians(tv.marker_labels(spark, d)), ["name", "stage_num_td"], "left")
+    return show(_ordinal_chart(spark, d, labels, True), "well_name", "stage_num", "ts", "substage_label", "rate_slurry", "selected_concentration", "design_rate", "context_anchor", rounded=("design_rate",))
+
+
+@bound("ordinal_phase_chart", sql("stg lab", f"""
+SELECT t.name AS well_name, CAST(w.ordinal AS DOUBLE) AS stage_num, t.record_ts AS ts, NULLIF(l.substage, 'NA') AS substage_label, t.press_mainline, CAST(NULL AS DOUBLE) AS context_anchor
+FROM {ORDINAL_CHART} w JOIN tel t ON t.name = w.name AND t.record_ts BETWEEN w.s - INTERVAL 30 MINUTE AND w.e + INTERVAL 30 MINUTE LEFT JOIN lab l ON l.name = t.name AND l.datetime_fmt = t.record_ts
+UNION ALL SELECT name, NULL, s - INTERVAL 30 MINUTE, NULL, NULL, 0.0 FROM {ORDINAL_CHART} UNION ALL SELECT name, NULL, e + INTERVAL 30 MINUTE, NULL, NULL, 0.0 FROM {ORDINAL_CHART}""", SMARK, ORDINAL_SQL))
+def _(spark, d):
+    return _ordinal_chart(spark, d, tv.labels(spark, d), False).select("well_name", "stage_num", "ts", "substage_label", "press_mainline", "context_anchor")
+
+
 @bound("label_windows", sql("lab", """
 SELECT name, stage_num_td, substage AS substage_label, start_ts, end_ts, sample_count, CASE substage WHEN 'stage_start' THEN '#5B5FC7' WHEN 'ramp_up' THEN '#D64B8B' WHEN 'slurry' THEN '#3BA66B'
   WHEN 'ramp_down' THEN '#D9902F' WHEN 'shut_off' THEN '#9A4C8D' WHEN 'stage_end' THEN '#4AA8B5' ELSE '#7A8496' END AS color FROM isle""", ISLE_SQL))

@@ -22,8 +22,6 @@ from .bound import (
 )
 from .oracle import label_view, r, sql, staged, windows
 
-HOOK_SLOT = 30 * 86_400.0  # about 70 readings of a well; production slots hold an hour
-
 BATCH_WINDOW = ["name", "stage_num_td", "stage_start_ts", "stage_end_ts", "sample_count"]
 
 # The stage index after the second batch, by the rules of the repair flow.
@@ -63,6 +61,26 @@ def _(spark, d):
     return show(out, *BATCH_WINDOW, "avg_rate_slurry", rounded=("avg_rate_slurry",))
 
 
+@bound("resent_readings", sql("stg", f"""
+SELECT k.name, CAST(k.stage_num_td AS BIGINT) AS stage_num_td, MIN(k.record_ts) AS stage_start_ts, MAX(k.record_ts) AS stage_end_ts, COUNT(*) AS sample_count,
+  {r("AVG(k.rate_slurry + CASE WHEN t.event_type = 'view' AND t.event_id % 10 < 8 THEN 1 ELSE 0 END)")} AS avg_rate_slurry
+FROM kept k JOIN tel t ON t.name = k.name AND t.record_ts = k.record_ts GROUP BY 1, 2""", *REPAIR))
+def _(spark, d):
+    """Windows of the merged feed where the batch also resends old readings with another rate: each counts once, at its new rate."""
+    rows = tv.telemetry(spark, d)
+    resent = tv.first_batch(rows).where(F.col("event_type") == "view").withColumn("rate_slurry", F.col("rate_slurry") + 1)
+    out = flows.merged_feed_flow(tv.first_batch(rows), tv.second_batch(rows).unionByName(resent), _first_windows(rows), GAP_SECONDS)
+    return show(out["windows"], *BATCH_WINDOW, "avg_rate_slurry", rounded=("avg_rate_slurry",))
+
+
+@bound("merged_readings", sql("tel", "SELECT name, record_ts, id, CASE WHEN event_type = 'view' AND event_id % 10 < 8 THEN rate_slurry + 1 ELSE rate_slurry END AS rate_slurry FROM tel"))
+def _(spark, d):
+    rows = tv.telemetry(spark, d)
+    resent = tv.first_batch(rows).where(F.col("event_type") == "view").withColumn("rate_slurry", F.col("rate_slurry") + 1)
+    out = flows.merged_feed_flow(tv.first_batch(rows), tv.second_batch(rows).unionByName(resent), _first_windows(rows), GAP_SECONDS)
+    return out["readings"].select("name", "record_ts", "id", "rate_slurry")
+
+
 CHANGED_SQL = """
 chg AS (SELECT a.* FROM win a LEFT JOIN w1 b ON a.name = b.name AND a.stage_num_td = b.stage_num_td AND a.stage_start_ts = b.stage_start_ts AND a.stage_end_ts = b.stage_end_ts
   AND a.sample_count = b.sample_count WHERE b.name IS NULL)"""
@@ -103,9 +121,12 @@ def _(spark, d):
 
 
 def trend_labeller(rows: pd.DataFrame) -> pd.Series:
-    """Rate against the row before it."""
+    """Rate against the row before it; the rows of the stage's highest rate, its first and its last are named. Needs the whole stage."""
     step = rows["rate_slurry"].diff()
-    return pd.Series("flat", index=rows.index).mask(step > 0, "up").mask(step < 0, "down").mask(step.isna(), None)
+    labels = pd.Series("flat", index=rows.index).mask(step > 0, "up").mask(step < 0, "down")
+    labels = labels.mask(rows["rate_slurry"] == rows["rate_slurry"].max(), "peak")
+    labels.iloc[-1], labels.iloc[0] = "last", None
+    return labels
 
 
 def marker_labeller(rows: pd.DataFrame) -> pd.Series:
@@ -123,10 +144,11 @@ def design_labeller(rows: pd.DataFrame) -> pd.Series:
 
 
 @bound("label_hook", sql("long", """
-SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage
-FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p FROM long)"""))
+SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN n IS NULL THEN 'last' WHEN rate_slurry = top THEN 'peak' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage
+FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p, LEAD(record_ts) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS n,
+  MAX(rate_slurry) OVER (PARTITION BY name, stage_num_td) AS top FROM long)"""))
 def _(spark, d):
-    return flows.label_rows(tv.staged(spark, d, LONG_GAP_SECONDS), trend_labeller, 1, HOOK_SLOT).select("name", "stage_num_td", "datetime_fmt", "substage")
+    return flows.label_rows(tv.staged(spark, d, LONG_GAP_SECONDS), trend_labeller).select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
 MARKER_CASE = "CASE WHEN press_mainline >= 800 THEN 'MID_TRIAL' WHEN press_mainline >= 600 THEN 'MID' WHEN press_mainline >= 400 THEN 'LOW' WHEN press_mainline >= 200 THEN 'PRE' ELSE 'PRE_LOW' END"
@@ -154,9 +176,9 @@ LONG_ROWS = "(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry,
 @bound("two_pass_labels", sql("long", "SELECT * FROM two", _two_pass_sql(LONG_ROWS)))
 def _(spark, d):
     rows = tv.staged(spark, d, LONG_GAP_SECONDS)
-    markers = stored(flows.label_rows(rows, marker_labeller, 0, HOOK_SLOT), "markers")
+    markers = stored(flows.label_rows(rows, marker_labeller), "markers")
     ready = rows.select("name", "stage_num_td", F.col("record_ts").alias("datetime_fmt"), "rate_slurry", "press_mainline")
-    return labelling.two_pass_labels(ready, markers, design_labeller, 0, slot_seconds=HOOK_SLOT).select("name", "stage_num_td", "datetime_fmt", "substage")
+    return labelling.two_pass_labels(ready, markers, design_labeller).select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
 # --- flows -----------------------------------------------------------------
@@ -170,7 +192,7 @@ afr AS (SELECT t.name, a.stage_num_td, t.record_ts AS datetime_fmt, t.rate_slurr
 @bound("live_stage_flow", sql("stg", "SELECT * FROM two", *REPAIR, AFTER_ROWS, _two_pass_sql("afr")))
 def _(spark, d):
     rows = tv.readings(spark, d)
-    out = flows.live_stage_flow(tv.first_batch(rows), tv.second_batch(rows), _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller, 0, HOOK_SLOT)
+    out = flows.live_stage_flow(tv.first_batch(rows), tv.second_batch(rows), _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller)
     return out["labels"].select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
@@ -202,21 +224,23 @@ def _(spark, d):
     path = work_path(spark, "rollup")
     keys = ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"]
     day = F.col("bucket_ts").cast("date")
-    writes.overwrite_partitions(flows.rollup_flow(tv.first_batch(rows), None, BUCKET_SECONDS, now="2024-01-30").withColumn("day", day), path, "day")
+    writes.upsert_folder(spark, path, flows.rollup_flow(tv.first_batch(rows), None, BUCKET_SECONDS, now="2024-01-30").withColumn("day", day), keys, "day")
     late = flows.rollup_flow(rows, None, BUCKET_SECONDS, now="2024-01-31").withColumn("day", day)
     writes.upsert_folder(spark, path, late, keys, "day")
-    return show(spark.read.schema(late.schema).parquet(path), *BUCKET, rounded=("rate_slurry_avg",))
+    return show(writes.read_folder(spark, path, late.schema, "day"), *BUCKET, rounded=("rate_slurry_avg",))
 
 
 @bound("row_label_flow", sql("tel", """
-SELECT name, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage, 'rows-v2' AS algorithm_version
-FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p FROM rst)
+SELECT name, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN n IS NULL THEN 'last' WHEN rate_slurry = top THEN 'peak' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage,
+  'rows-v2' AS algorithm_version
+FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p, LEAD(record_ts) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS n,
+  MAX(rate_slurry) OVER (PARTITION BY name, stage_num_td) AS top FROM rst)
 UNION ALL SELECT o.name, o.record_ts, 'old', 'rows-v2' FROM tel o LEFT JOIN (SELECT name, MIN(record_ts) AS since FROM recent GROUP BY name) x ON x.name = o.name WHERE since IS NULL OR o.record_ts < since""",
     "\nrecent AS (SELECT * FROM tel WHERE record_ts >= TIMESTAMP '2024-01-28')", staged("recent", GAP_SECONDS, "rst")))
 def _(spark, d):
     rows = tv.readings(spark, d)
     previous = rows.select("name", F.col("record_ts").alias("datetime_fmt"), F.lit("old").alias("substage"), F.lit("rows-v2").alias("algorithm_version"))
-    out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, trend_labeller, 1, slot_seconds=HOOK_SLOT)
+    out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, trend_labeller)
     return out.select("name", "datetime_fmt", "substage", "algorithm_version")
 
 

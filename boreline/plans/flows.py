@@ -35,14 +35,27 @@ def _readings(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in WINDOW_COLUMNS if c in df.columns])
 
 
+READING_KEY = ["created_ts", "record_ts", "name"]
+
+
+def _one_per_key(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Old and new readings, each key once: a resent reading takes the place of the stored one.
+
+    Grouped by the whole reading key, so no well's rows meet in one task.
+    """
+    both = old.withColumn("_turn", F.lit(0)).unionByName(new.withColumn("_turn", F.lit(1)), allowMissingColumns=True)
+    return joins.latest_per_key(both, [c for c in READING_KEY if c in both.columns], ["_turn", "id"] if "id" in both.columns else ["_turn"]).drop("_turn")
+
+
 def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, gap_seconds: float) -> dict[str, DataFrame]:
     """Bring a stage index up to date with a batch of readings, late ones included.
 
     Rows after their well's last reading go on numbering. A late row takes the
     stage of the one window that holds it. A well with a late row outside every
     window, or inside several, is cut again from its full history. Windows that
-    gained rows are rebuilt from their rows, so reading a batch twice changes
-    nothing. Returns the new ``windows``, the ``repair_wells`` and the readings
+    gained rows are rebuilt from their rows, one per key of created time,
+    record time and well, so reading a batch twice changes nothing and a
+    resent reading replaces the old one. Returns the new ``windows``, the ``repair_wells`` and the readings
     ``assigned`` outside repair.
     """
     state = stages.session_state(windows)
@@ -56,11 +69,11 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
 
     known = windows.join(touched, STAGE, "left_semi").select(*STAGE, "stage_start_ts", "stage_end_ts")
     before = _rows_in(stored_rows, known)
-    rebuilt = stages.windows_of_assigned(before.unionByName(assigned, allowMissingColumns=True).distinct())
+    rebuilt = stages.windows_of_assigned(_one_per_key(before, assigned))
     kept = windows.join(repair, "name", "left_anti").join(touched, STAGE, "left_anti")
     out = kept.unionByName(rebuilt, allowMissingColumns=True)
     if not repair.isEmpty():
-        every = _readings(stored_rows).unionByName(_readings(batch)).join(repair, "name", "left_semi").distinct()
+        every = _one_per_key(_readings(stored_rows), _readings(batch)).join(repair, "name", "left_semi")
         out = out.unionByName(stages.stage_windows(every, gap_seconds), allowMissingColumns=True)
     return {"windows": out, "repair_wells": repair, "assigned": assigned}
 
@@ -82,14 +95,14 @@ def affected_rows(rows: DataFrame, windows: DataFrame) -> DataFrame:
     return _rows_in(rows, windows.select(*STAGE, "stage_start_ts", "stage_end_ts")).distinct()
 
 
-def label_rows(rows: DataFrame, labeller: Labeller, context_rows: int, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+def label_rows(rows: DataFrame, labeller: Labeller, context_rows: int = 0, slot_seconds: float | None = None) -> DataFrame:
     ready = rows.select("name", "stage_num_td", F.col("record_ts").alias(TIME), *stages.WINDOW_MEASURES)
     return labelling.label_stages(ready, labeller, context_rows, slot_seconds=slot_seconds)
 
 
 def live_stage_flow(
     stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, gap_seconds: float,
-    marker: Labeller, labeller: Labeller, context_rows: int, slot_seconds: float = SLOT_SECONDS,
+    marker: Labeller, labeller: Labeller, context_rows: int = 0, slot_seconds: float | None = None,
 ) -> dict[str, DataFrame]:
     """Stages, marker labels and design labels after one batch.
 
@@ -100,8 +113,8 @@ def live_stage_flow(
     same = ["stage_start_ts", "stage_end_ts", "sample_count"]
     changed = after.join(windows.select(*STAGE, *same), [*STAGE, *same], "left_anti")
     stages.check_no_overlaps(after.join(changed.select("name").distinct(), "name", "left_semi"))
-    every = _readings(stored_rows).unionByName(_readings(batch))
-    rows = stored(affected_rows(every, changed), "affected")
+    spans = changed.select(*STAGE, "stage_start_ts", "stage_end_ts")
+    rows = stored(_one_per_key(_rows_in(stored_rows, spans), _rows_in(batch, spans)), "affected")
     markers = stored(label_rows(rows, marker, context_rows, slot_seconds), "markers")
     ready = rows.select("name", "stage_num_td", F.col("record_ts").alias(TIME), *stages.WINDOW_MEASURES)
     labels = labelling.two_pass_labels(ready, markers, labeller, context_rows, slot_seconds=slot_seconds)
@@ -109,9 +122,12 @@ def live_stage_flow(
 
 
 def merged_feed_flow(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, gap_seconds: float) -> dict[str, DataFrame]:
-    """Upsert the batch into the merged readings, then refresh stages and the well index."""
-    keys = ["created_ts", "record_ts", "name"]
-    merged = stored(writes.upsert_by_key(stored_rows, batch, keys, [*keys, "id"]), "merged")
+    """Upsert the batch into the merged readings, then refresh stages and the well index.
+
+    ``readings`` is a plan, not a copy of the history: write it with
+    ``upsert_folder``, which rewrites the touched days only.
+    """
+    merged = writes.upsert_by_key(stored_rows, batch, READING_KEY, [*READING_KEY, "id"])
     step = apply_batch(stored_rows, batch, windows, gap_seconds)
     touched = batch.select("name").distinct()
     wells = rollup.well_index(merged.join(touched, "name", "left_semi"))
@@ -157,7 +173,7 @@ def rollup_flow(rows: DataFrame, previous: DataFrame | None, bucket_seconds: int
 
 def row_label_flow(
     rows: DataFrame, previous: DataFrame | None, mode: str, now: datetime, gap_seconds: float,
-    labeller: Labeller, context_rows: int, version: str = "rows-v2", slot_seconds: float = SLOT_SECONDS,
+    labeller: Labeller, context_rows: int = 0, version: str = "rows-v2", slot_seconds: float | None = None,
 ) -> DataFrame:
     """Second-generation row labels of the look-back; older labels of a well stay."""
     bounded = reads.mode_bounded_read(rows, mode, now)
@@ -203,13 +219,19 @@ def anomaly_flow(
     labels: DataFrame, sources: DataFrame, manifest: DataFrame | None, run_id: str, now: datetime | str,
     limits: Limits = Limits(), version: str = ANOMALY_VERSION, max_stages: int | None = None, slot_seconds: float = SLOT_SECONDS,
 ) -> dict[str, DataFrame]:
-    """Anomalies of the stages that changed: row labels, events, stage summary and manifest rows."""
+    """Anomalies of the stages that changed: row labels, events, stage summary and manifest rows.
+
+    With ``max_stages``, ``has_more`` (one row) tells whether stages are left.
+    """
     due = sources
     if manifest is not None:
         seen = manifest.where((F.col("algorithm_version") == version) & (F.col("status") == "active"))
         due = joins.changed_candidates(due, seen, {c: c for c in ("source_rows", "last_source_ts", "latest_source_updated_at")})
+    more = None
     if max_stages is not None:
-        due = due.orderBy(*STAGE).limit(max_stages)
+        batch = stored(reads.work_batch(due, STAGE, max_stages), "batch")
+        more = batch.agg(F.coalesce(F.bool_or("has_more"), F.lit(False)).alias("has_more"))
+        due = due.join(batch.select(*STAGE), STAGE, "left_semi")
     stamp = reads.time_literal(now)
     due = stored(due.withColumn("source_signature", signatures.source_signature(due, version, SOURCE_FIELDS)), "due")
     rows = stored(anomaly.row_anomalies(labels.join(due.select(*STAGE), STAGE, "left_semi"), limits, slot_seconds).where(F.col("anomaly").isNotNull()), "anomalies")
@@ -227,7 +249,8 @@ def anomaly_flow(
         "fleet_name", "pad_name", *STAGE, F.lit(version).alias("algorithm_version"), F.lit(run_id).alias("active_run_id"), "source_signature",
         "source_rows", "first_source_ts", "last_source_ts", "latest_source_updated_at", stamp.alias("processed_at"), F.lit("active").alias("status"),
     )
-    return {"labels": tagged(rows), "events": tagged(events), "summary": summary, "manifest": manifest_rows}
+    out = {"labels": tagged(rows), "events": tagged(events), "summary": summary, "manifest": manifest_rows}
+    return out if more is None else {**out, "has_more": more}
 
 
 def tuning_flow(labels: DataFrame, due: DataFrame, tuned: DataFrame | None, now: datetime | str, version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS) -> DataFrame:

@@ -141,18 +141,27 @@ CHART = ["telemetry_point_id", "well_name", "timestamp", "stage_num", "rate_slur
 
 
 def widened(bounds: DataFrame, context_minutes: float) -> DataFrame:
-    """Per-well bounds, widened on both sides."""
+    """Bounds of wells or of their stages, widened on both sides."""
     pad = minutes_interval(context_minutes)
     return bounds.select("name", (F.col("start_time") - pad).alias("_from"), (F.col("end_time") + pad).alias("_to"))
 
 
-def _in_bounds(rows: DataFrame, bounds: DataFrame, ts: str) -> DataFrame:
-    """Rows within their well's bounds; a well may have one bounds row."""
-    return rows.join(bounds, "name").where(F.col(ts).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+def _in_bounds(rows: DataFrame, bounds: DataFrame, ts: str, half_open: bool = False) -> DataFrame:
+    """Rows within bounds of their well, once for each that holds them.
+
+    The overall range is looked up first (one row) and filtered on as
+    literals, so the scan skips files and row groups outside it; the join runs
+    on well and day.
+    """
+    lo, hi = bounds.agg(F.min("_from"), F.max("_to")).first()
+    if lo is not None:
+        rows = rows.where(F.col(ts).between(time_literal(lo), time_literal(hi)))
+    inside = interval_join(rows, bounds.select("name", "_from", "_to").toDF("name", "_open", "_shut"), ts, "_open", "_shut")
+    return (inside.where(F.col(ts) < F.col("_shut")) if half_open else inside).drop("_open", "_shut")
 
 
 def anchors(bounds: DataFrame) -> DataFrame:
-    """Two rows per well that pin the chart's ends."""
+    """Two rows per bounds that pin the chart's ends."""
     ends = F.explode(F.array(F.struct(F.lit("context_start").alias("w"), F.col("_from").alias("t")), F.struct(F.lit("context_end").alias("w"), F.col("_to").alias("t"))))
     e = bounds.select("name", ends.alias("_e"))
     return e.select(
@@ -242,7 +251,7 @@ def pad_chart(
             point_id("name", time_text("bucket_ts")).alias("telemetry_point_id"), F.col("name").alias("well_name"), F.col("bucket_ts").alias("timestamp"),
             _null().alias("stage_num"), "rate_slurry", "press_mainline", "selected_concentration", _null().alias("context_anchor"), "records_in_bucket",
         )
-    breaks = break_times(windows).join(wide, "name").where((F.col("stage_end_ts") >= F.col("_from")) & (F.col("stage_end_ts") < F.col("_to")))
+    breaks = _in_bounds(break_times(windows), wide, "stage_end_ts", half_open=True)
     return points.unionByName(anchors(wide)).unionByName(line_breaks(breaks))
 
 
@@ -254,7 +263,7 @@ def segmentation_chart(
     wide = widened(bounds, context_minutes)
 
     def half_open(df: DataFrame, ts: str) -> DataFrame:
-        return df.join(wide, "name").where((F.col(ts) >= F.col("_from")) & (F.col(ts) < F.col("_to")))
+        return _in_bounds(df, wide, ts, half_open=True)
 
     if use_rollup:
         source = half_open(rollup, "bucket_ts")
@@ -275,12 +284,14 @@ def segmentation_chart(
 
 def label_chart(
     rows: DataFrame, labels: DataFrame, windows: DataFrame, context_minutes: float, concentration: str | None = None,
-    with_design: bool = True, well: str | None = None, stage: float | None = None,
+    with_design: bool = True, well: str | None = None, stage: float | None = None, with_stage: bool = True,
 ) -> DataFrame:
     """Readings around each stage with the labels of that stage and, for design labels, the design limits.
 
     ``windows`` gives ``name, stage_num_td, stage_start_ts, stage_end_ts``; a
-    reading near two stages appears once for each.
+    reading near two stages appears once for each. Labels carry gap-stage
+    numbers: where the windows are ordinal stages, ``with_stage=False`` joins
+    them by well and time alone.
     """
     pad = minutes_interval(context_minutes)
     scoped = optional_filters(windows, well=well, stage=stage)
@@ -288,7 +299,7 @@ def label_chart(
     ready = optional_filters(rows, well=well).select("name", "record_ts", "rate_slurry", "press_mainline", measure(concentration).alias("selected_concentration"))
     near = interval_join(ready, wide, "record_ts", "_c_start", "_c_end").withColumn("stage_num_td", F.col("_stage"))
     design = [c for c in ("inferred_pressure", "inferred_design_rate") if c in labels.columns]
-    joined = attach_labels(near, labels.select("name", "stage_num_td", "datetime_fmt", "substage", *design), with_stage=True)
+    joined = attach_labels(near, labels.select("name", *(["stage_num_td"] if with_stage else []), "datetime_fmt", "substage", *design), with_stage=with_stage)
     shown = chart_label("substage") if with_design else F.nullif(F.col("substage"), F.lit("NA"))
     rate = F.col("inferred_design_rate") if with_design else _null()
     points = joined.select(

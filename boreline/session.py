@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,7 +51,7 @@ def work_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="boreline-")
@@ -59,7 +60,22 @@ def work_root(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{work_root(spark)}/boreline/{label}-{uuid.uuid4().hex}"
+    return f"{work_root(spark)}/boreline/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete everything this application has stored below the shared folder.
+
+    To be called when a job has written its results: frames that the library
+    returned before read from there.
+    """
+    remove_path(spark, f"{work_root(spark)}/boreline/{spark.sparkContext.applicationId}")
 
 
 def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:

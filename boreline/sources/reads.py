@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import ALL, UNKNOWN, blank_to
@@ -45,22 +45,39 @@ def optional_filters(
     return df
 
 
-def incremental_scan(df: DataFrame, after: datetime | str | None, limit: int | None = None) -> DataFrame:
-    """Rows created at or after the checkpoint, oldest first.
+CURSOR = ["created_ts", "record_ts", "name", "id"]
 
-    Inclusive, so rows that share the last creation time are not skipped after
-    a limited batch; the keyed upsert makes reading one twice harmless. No
-    checkpoint means from the start.
+
+def incremental_scan(df: DataFrame, after: datetime | str | tuple | None, limit: int | None = None) -> DataFrame:
+    """Rows created after the checkpoint, oldest first.
+
+    A time as checkpoint is inclusive, since rows may share it; the keyed
+    upsert makes reading one twice harmless. The cursor of a page, from
+    ``next_cursor``, is exclusive: creation time, record time, well and row id,
+    so a limited scan gets past any number of rows of one time. Rows equal in
+    all four are one row to it. No checkpoint means from the start.
     """
     rows = df.where(F.col("name").isNotNull() & F.col("record_ts").isNotNull() & F.col("created_ts").isNotNull())
-    if after is not None:
+    order = [c for c in CURSOR if c in df.columns]
+    if isinstance(after, tuple):
+        created, record, *rest = after
+        values = [time_literal(created), time_literal(record), *map(F.lit, rest)][: len(order)]
+        rows = rows.where((F.col("created_ts") >= values[0]) & (F.struct(*order) > F.struct(*(v.alias(c) for v, c in zip(values, order)))))
+    elif after is not None:
         rows = rows.where(F.col("created_ts") >= time_literal(after))
     if limit is None:
         return rows
     end = _batch_end(rows, limit)
     if end is not None:
         rows = rows.where(F.col("created_ts") < time_literal(end))
-    return rows.orderBy("created_ts", "record_ts", "name").limit(limit)
+    return rows.orderBy(*order).limit(limit)
+
+
+def next_cursor(page: DataFrame) -> tuple | None:
+    """Where the scan after this page starts; null for an empty page, after which nothing is left."""
+    order = [c for c in CURSOR if c in page.columns]
+    last = page.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    return None if last is None else tuple(last)
 
 
 def _batch_end(rows: DataFrame, limit: int) -> datetime | None:
@@ -95,27 +112,44 @@ def resume_entities(df: DataFrame, after: str | None, limit: int) -> DataFrame:
 
 
 def work_batch(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """The first ``limit`` keys in order; ``has_more`` says whether the batch is full."""
-    batch = df.select(*keys).orderBy(*keys).limit(limit)
-    return batch.crossJoin(F.broadcast(batch.agg((F.count(F.lit(1)) == limit).alias("has_more"))))
+    """The first ``limit`` keys in order; ``has_more`` says whether others are left.
+
+    One key more than asked for is taken; at most that many rows are counted.
+    """
+    batch = df.select(*keys).orderBy(*keys).limit(limit + 1)
+    every = Window.partitionBy(F.lit(1))
+    counted = batch.withColumn("_place", F.row_number().over(every.orderBy(*keys))).withColumn("has_more", F.count(F.lit(1)).over(every) > limit)
+    return counted.where(F.col("_place") <= limit).drop("_place")
 
 
-def backfill_chunks(bounds: DataFrame, chunk_hours: int, bucket_seconds: int, max_chunks: int | None = None) -> DataFrame:
+def backfill_chunks(bounds: DataFrame, chunk_hours: int, bucket_seconds: int, max_chunks: int | None = None, cursor: DataFrame | None = None) -> DataFrame:
     """Chunks that cover each scope's bounds, aligned outward to whole buckets.
 
     ``bounds`` has ``start_time`` and ``end_time``; both ends are widened to
     bucket edges so that no bucket is ever computed from part of its rows.
+    With ``max_chunks`` each scope gets that many, and every row tells in
+    ``resume_at`` where the scope's next page starts (null: nothing is left).
+    ``cursor`` has the scope's columns and that value; scopes with a null one
+    are done, scopes it does not know start at their beginning.
     """
     width = bucket_seconds * MICROS
     step = F.make_dt_interval(F.lit(0), F.lit(max(int(chunk_hours), 1)))
     last = F.timestamp_micros(micros(slot_start("end_time", bucket_seconds)) + F.lit(width)).cast("timestamp_ntz")
     aligned = bounds.withColumn("_from", slot_start("start_time", bucket_seconds)).withColumn("_to", last)
+    if cursor is not None:
+        scope = [c for c in cursor.columns if c != "resume_at"]
+        known = cursor.select(*scope, "resume_at", F.lit(True).alias("_known"))
+        aligned = aligned.join(known, scope, "left").where(F.col("_known").isNull() | F.col("resume_at").isNotNull())
+        aligned = aligned.withColumn("_from", F.coalesce("resume_at", "_from")).drop("resume_at", "_known")
     chunks = aligned.withColumn("_starts", F.sequence("_from", F.col("_to") - F.make_dt_interval(secs=F.lit(0.000001)), step))
+    paged = []
     if max_chunks is not None:
-        chunks = chunks.withColumn("_starts", F.slice("_starts", 1, max(int(max_chunks), 1)))
+        most = max(int(max_chunks), 1)
+        chunks = chunks.withColumn("resume_at", F.get("_starts", F.lit(most))).withColumn("_starts", F.slice("_starts", 1, most))
+        paged = ["resume_at"]
     keep = [c for c in bounds.columns if c not in ("start_time", "end_time")]
-    return chunks.select(*keep, "_to", F.posexplode("_starts").alias("chunk_no", "chunk_start")).select(
-        *keep, F.col("chunk_no").cast("bigint").alias("chunk_no"), "chunk_start", F.least(F.col("chunk_start") + step, F.col("_to")).alias("chunk_end")
+    return chunks.select(*keep, *paged, "_to", F.posexplode("_starts").alias("chunk_no", "chunk_start")).select(
+        *keep, F.col("chunk_no").cast("bigint").alias("chunk_no"), "chunk_start", F.least(F.col("chunk_start") + step, F.col("_to")).alias("chunk_end"), *paged
     )
 
 

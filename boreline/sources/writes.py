@@ -1,8 +1,9 @@
 """Keyed and run-versioned writes on Parquet folders.
 
 A folder is partitioned by a column that new rows touch only in part (a day, a
-run), so an upsert reads and rewrites just the touched partitions. Dynamic
-partition overwrite stages its files and swaps them in at commit.
+run), so an upsert reads and rewrites just the touched partitions. Keyed
+tables keep versions of a partition and a table of commits that says which is
+valid; runs replace their own partition only.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import keep_last, latest_per_key
+from ..session import remove_path, stored
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -40,19 +42,45 @@ def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str], order: list[s
     return keep_last(old, fresh, keys)
 
 
-def upsert_folder(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str, order: list[str] | None = None) -> None:
-    """Upsert into a folder partitioned by ``partition``, which must follow from the key.
+def read_folder(spark: SparkSession, path: str, schema: T.StructType, partition: str) -> DataFrame:
+    """A table kept by ``upsert_folder``: of each partition the rows of its newest committed version."""
+    field = schema[partition]
+    commits = read_or_empty(spark, f"{path}/commits", T.StructType([field, T.StructField("version", T.LongType())]))
+    live = commits.groupBy(partition).agg(F.max("version").alias("version"))
+    data = read_or_empty(spark, f"{path}/data", T.StructType([*[f for f in schema.fields if f.name != partition], T.StructField("version", T.LongType()), field]))
+    return data.join(live, [partition, "version"], "left_semi").select(*schema.names)
+
 
-    The range of touched partitions is looked up first (one row), so the old
-    table is read from that range of folders only; the semi join then narrows
-    it to the touched ones.
+def upsert_folder(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str, order: list[str] | None = None) -> None:
+    """Upsert into a table kept by partition, which must follow from the key.
+
+    The touched partitions are written whole under a new version; a small
+    table of commits, written last, makes them the valid ones. Nothing that a
+    reader may see is overwritten, so a crash at any point leaves the table as
+    it was, and a replay writes the same version again. One writer at a time.
+    ``new`` is evaluated once. The range of touched partitions is looked up
+    first (one row), so only those are read of the old table.
     """
+    new = stored(new, "upsert")
     lo, hi = new.agg(F.min(partition), F.max(partition)).first()
     if lo is None:
         return
-    old = read_or_empty(spark, path, new.schema).where(F.col(partition).between(F.lit(lo), F.lit(hi)))
-    touched = old.join(new.select(partition).distinct(), partition, "left_semi")
-    overwrite_partitions(upsert_by_key(touched, new, keys, order), path, partition)
+    last = read_or_empty(spark, f"{path}/commits", T.StructType([new.schema[partition], T.StructField("version", T.LongType())])).agg(F.max("version")).first()[0]
+    version = 0 if last is None else last + 1
+    old = read_folder(spark, path, new.schema, partition).where(F.col(partition).between(F.lit(lo), F.lit(hi)))
+    touched = new.select(partition).distinct()
+    merged = upsert_by_key(old.join(touched, partition, "left_semi"), new, keys, order)
+    merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(f"{path}/data/version={version}")
+    touched.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
+
+
+def prune_folder(spark: SparkSession, path: str, schema: T.StructType, partition: str) -> None:
+    """Delete the versions of which no partition is the newest any more; no reader may be at work."""
+    commits = read_or_empty(spark, f"{path}/commits", T.StructType([schema[partition], T.StructField("version", T.LongType())]))
+    newest = commits.groupBy(partition).agg(F.max("version").alias("version")).select("version").distinct()
+    for row in commits.select("version").distinct().join(newest, "version", "left_anti").toLocalIterator():
+        remove_path(spark, f"{path}/commits/version={row.version}")
+        remove_path(spark, f"{path}/data/version={row.version}")
 
 
 def replace_entity(old: DataFrame, new: DataFrame, entity: str = "name") -> DataFrame:
@@ -72,19 +100,19 @@ def replace_entity_range(old: DataFrame, new: DataFrame, ts: str, entity: str =
 
 
 def append_run(df: DataFrame, path: str, run: str = "processing_run_id") -> None:
-    """Append rows of a run; stored runs are never changed."""
-    df.write.mode("append").partitionBy(run).parquet(path)
+    """Write the rows of a run; a run that is retried replaces its own rows, other runs are never changed."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path)
 
 
-def publish_run(tables: dict[str, DataFrame], manifest: DataFrame, root: str) -> None:
-    """Append a run's tables, then its manifest rows, in that order.
+def publish_run(tables: dict[str, DataFrame], manifest: DataFrame, root: str, manifest_run: str = "active_run_id") -> None:
+    """Write a run's tables, then its manifest rows, in that order.
 
     Readers go through the manifest, so a run that stopped half-way is never
     seen. The manifest is stored per run; the newest row of a key wins.
     """
     for name, df in tables.items():
         append_run(df, f"{root}/{name}")
-    manifest.write.mode("append").parquet(f"{root}/manifest")
+    append_run(manifest, f"{root}/manifest", manifest_run)
 
 
 def current_manifest(spark: SparkSession, root: str, schema: T.StructType, keys: list[str], order: list[str]) -> DataFrame:

@@ -16,9 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.clean import blank_to
 from ..operators import stages
 from ..sources.catalog import MEASURE_COLUMNS
-from ..sources.writes import read_or_empty, upsert_folder
+from ..session import remove_path
+from ..sources.writes import read_folder, upsert_folder
 
 BUCKET_KEY = ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"]
+STATES_KEPT = 3
 STATE = "name string, last_record_ts timestamp_ntz, last_stage bigint"
 
 
@@ -58,7 +60,7 @@ def ingest(stream: DataFrame, root: str, keys: list[str], order: list[str], day_
 
 
 def merged_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return read_or_empty(spark, f"{root}/readings", T.StructType([*schema.fields, T.StructField("day", T.StringType())])).drop("day")
+    return read_folder(spark, f"{root}/readings", T.StructType([*schema.fields, T.StructField("day", T.StringType())]), "day").drop("day")
 
 
 def _batch_state(spark: SparkSession, root: str, number: int) -> DataFrame:
@@ -88,6 +90,8 @@ def sessions(stream: DataFrame, root: str, gap_seconds: float, every: str | None
         fresh = written.groupBy("name").agg(F.max("record_ts").alias("last_record_ts"), F.max("stage_num_td").alias("last_stage"))
         newest = state.unionByName(fresh).groupBy("name").agg(F.max("last_record_ts").alias("last_record_ts"), F.max("last_stage").alias("last_stage"))
         newest.write.mode("overwrite").parquet(f"{root}/state/batch={number}")
+        if number >= STATES_KEPT:  # a replayed batch reads the state before it, no older one
+            remove_path(spark, f"{root}/state/batch={number - STATES_KEPT}")
 
     return _drain(stream, f"{root}/checkpoint", handle, every=every)
 
@@ -115,4 +119,10 @@ def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int,
 
 
 def current_buckets(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/buckets").drop("day")
+    """The buckets as they stand."""
+    values = [T.StructField(f"{m}_{s}", T.DoubleType()) for m in MEASURE_COLUMNS for s in ("avg", "min", "max")]
+    schema = T.StructType([
+        T.StructField("bucket_seconds", T.IntegerType()), T.StructField("bucket_ts", T.TimestampNTZType()), T.StructField("fleet_name", T.StringType()),
+        T.StructField("pad_name", T.StringType()), T.StructField("name", T.StringType()), T.StructField("records_in_bucket", T.LongType()), *values, T.StructField("day", T.StringType()),
+    ])
+    return read_folder(spark, f"{root}/buckets", schema, "day").drop("day")

@@ -199,3 +199,48 @@ def test_halo_reaches_over_empty_slots(spark):
     line = ordered.in_slot(["name"], "t")
     out = ordered.drop_halo(haloed.withColumn("b", F.lag("v", 3).over(line)).withColumn("f", F.lead("v", 2).over(line)))
     assert sorted((r["v"], r["b"], r["f"]) for r in out.collect()) == [(0, None, 50), (1, None, 51), (50, None, 52), (51, 0, 200), (52, 1, None), (200, 50, None)]
+
+
+def test_nan_moves_no_median(spark):
+    from boreline.operators.ordered import exact_median
+
+    df = spark.createDataFrame([("a", v) for v in (float("nan"), 10.0, 20.0, 30.0, None)] + [("b", float("nan"))], "name string, v double")
+    assert {r["name"]: r["m"] for r in exact_median(df, ["name"], "v", "m").collect()} == {"a": 20.0}
+
+
+def test_a_stage_reaches_its_labeller_whole(spark):
+    from boreline.operators import labelling
+
+    rows = spark.range(25_000).selectExpr("'W' as name", "id div 12500 as stage_num_td", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as datetime_fmt")
+    out = labelling.label_stages(rows, lambda part: [str(len(part))] * len(part))
+    assert [tuple(r) for r in out.groupBy("stage_num_td", "substage").count().orderBy("stage_num_td").collect()] == [(0, "12500", 12500), (1, "12500", 12500)]
+
+
+def test_work_batch_tells_what_is_left(spark):
+    df = spark.createDataFrame([(k,) for k in range(5)], "k int")
+    for limit, more in ((4, True), (5, False), (6, False)):
+        got = reads.work_batch(df, ["k"], limit).collect()
+        assert [r["k"] for r in got] == list(range(min(5, limit))) and all(r["has_more"] == more for r in got)
+
+
+def test_nothing_is_left_after_clear_work(spark):
+    from pathlib import Path
+
+    from boreline.session import clear_work, stored, work_root
+
+    stored(spark.range(3), "some")
+    folder = Path(work_root(spark).removeprefix("file:")) / "boreline" / spark.sparkContext.applicationId
+    assert any(folder.iterdir())
+    clear_work(spark)
+    assert not folder.exists()
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    from boreline.session import work_root
+
+    for master in ("local-cluster[2,1,512]", "spark://x:7077", "yarn"):
+        context = SimpleNamespace(master=master, getConf=lambda: {})
+        with pytest.raises(ValueError):
+            work_root(SimpleNamespace(conf={}, sparkContext=context))

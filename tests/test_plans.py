@@ -64,3 +64,11 @@ def test_no_python_in_relational_plans(spark, sf_dir):
     for name in ("stage_windows", "label_islands", "overlap_count", "presence_coverage", "tumbling_rollup"):
         text = plan(queries()[name](spark, sf_dir))
         assert "Python" not in text and "InPandas" not in text, name
+
+
+def test_chart_range_reaches_the_scan(spark, sf_dir, rows):
+    from boreline.plans import reports
+
+    bounds = spark.createDataFrame([("W1",)], "name string").select("name", F.lit("2024-01-10").cast("timestamp_ntz").alias("start_time"), F.lit("2024-01-12").cast("timestamp_ntz").alias("end_time"))
+    text = plan(reports.chart_window(rows, stages.stage_windows(rows, 3600), bounds, 30))
+    assert "GreaterThanOrEqual(ts,2024-01-09T23:30)" in text and "LessThanOrEqual(ts,2024-01-12T00:30)" in text

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from boreline.operators import stages
@@ -36,12 +37,53 @@ def test_a_replayed_batch_is_not_counted_twice(spark, sf_dir, tmp_path):
 
 
 def test_upsert_folder_touches_only_its_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    old = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")], "name string, v int, day string")
-    writes.overwrite_partitions(old, path, "day")
-    kept = sorted(p.name for p in (tmp_path / "t" / "day=2024-01-02").glob("*.parquet"))
-    new = spark.createDataFrame([("a", 5, "2024-01-01"), ("c", 6, "2024-01-01"), ("d", 7, "2024-01-03")], "name string, v int, day string")
+    path, schema = str(tmp_path / "t"), "name string, v int, day string"
+
+    def table():
+        return sorted((r["name"], r["v"]) for r in writes.read_folder(spark, path, new.schema, "day").collect())
+
+    old = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")], schema)
+    new = spark.createDataFrame([("a", 5, "2024-01-01"), ("c", 6, "2024-01-01"), ("d", 7, "2024-01-03")], schema)
+    writes.upsert_folder(spark, path, old, ["name", "day"], "day")
+    writes.upsert_folder(spark, path, new, ["name", "day"], "day")
+    assert table() == [("a", 5), ("b", 1), ("c", 6), ("d", 7)]
+    assert sorted(p.name for p in (tmp_path / "t" / "data" / "version=1").glob("day=*")) == ["day=2024-01-01", "day=2024-01-03"]
+    writes.upsert_folder(spark, path, new.limit(0), ["name", "day"], "day")
+    writes.upsert_folder(spark, path, new, ["name", "day"], "day")
+    writes.prune_folder(spark, path, new.schema, "day")
+    assert table() == [("a", 5), ("b", 1), ("c", 6), ("d", 7)]
+    assert sorted(p.name for p in (tmp_path / "t" / "data").glob("version=*")) == ["version=0", "version=2"]
+
+
+def test_a_crash_before_the_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "name string, v int, day string"
+    old = spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2")], schema)
+    new = spark.createDataFrame([("a", 5, "d1"), ("c", 6, "d2")], schema)
+    writes.upsert_folder(spark, path, old, ["name", "day"], "day")
+
+    def table():
+        return sorted((r["name"], r["v"]) for r in writes.read_folder(spark, path, new.schema, "day").collect())
+
+    class Lost(Exception):
+        pass
+
+    def crash(self, numPartitions):  # noqa: N803
+        raise Lost
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(new), "coalesce", crash)
+        with pytest.raises(Lost):
+            writes.upsert_folder(spark, path, new, ["name", "day"], "day")
+    assert (tmp_path / "t" / "data" / "version=1").exists() and table() == [("a", 1), ("b", 1)]
     writes.upsert_folder(spark, path, new, ["name", "day"], "day")
-    got = sorted((r["name"], r["v"]) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 5), ("b", 1), ("c", 6), ("d", 7)]
-    assert sorted(p.name for p in (tmp_path / "t" / "day=2024-01-02").glob("*.parquet")) == kept
+    assert table() == [("a", 5), ("b", 1), ("c", 6)]
+
+
+def test_a_retried_run_replaces_its_rows(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    rows = spark.createDataFrame([("a", "r1"), ("b", "r1")], "name string, processing_run_id string")
+    manifest = spark.createDataFrame([("a", "r1", "x")], "name string, active_run_id string, status string")
+    for _ in range(2):
+        writes.publish_run({"labels": rows}, manifest, root)
+    writes.publish_run({"labels": rows.withColumn("processing_run_id", F.lit("r2"))}, manifest.withColumn("active_run_id", F.lit("r2")), root)
+    assert spark.read.parquet(f"{root}/labels").count() == 4 and spark.read.parquet(f"{root}/manifest").count() == 2
