@@ -37,8 +37,8 @@ from boreline.llm.rows import map_rows, text_of
 
 #: Characters of a text that are read at once.
 CHUNK = 1 << 16
-#: Pre-tokens kept with their ids; beyond it new ones are encoded each time.
-CACHE_ENTRIES = 300_000
+#: Units and pre-tokens kept with their ids in one Python worker; beyond it new ones are encoded each time.
+CACHED_UNITS, CACHED_PIECES = 160_000, 60_000
 #: Longer pre-tokens are streamed byte-wise instead of kept.
 LONG_PIECE = 512
 #: Up to so many bytes, merges are found by scanning.
@@ -79,6 +79,8 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[ids[left], ids[right]] = (rank, ids[left + right])
+        self.ranks = {pair: rank for pair, (rank, _) in self.merges.items()}
+        self.made = [made for _, made in self.merges.values()]
         self.lookahead = lookahead(self)
         self.added_pattern = regex.compile("|".join(regex.escape(a) for a in sorted(self.added, key=len, reverse=True))) if self.added else None
         #: Characters at the end of the input whose pre-token, or added token, may go on.
@@ -109,9 +111,16 @@ def merge(vocabulary: Vocabulary, piece: bytes) -> list[int]:
     merges = vocabulary.merges
     n = len(ids)
     if n <= SHORT_PIECE:  # scanning beats a heap here
-        while n > 1 and (found := min(((f[0], k, f[1]) for k in range(n - 1) if (f := merges.get((ids[k], ids[k + 1])))), default=None)):
-            ids[found[1] : found[1] + 2] = [found[2]]
-            n -= 1
+        known, none = vocabulary.ranks.get, len(vocabulary.made)
+        ranks = [known(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) < none:
+            k = ranks.index(least)
+            ids[k] = made = vocabulary.made[least]
+            del ids[k + 1], ranks[k]
+            if k < len(ranks):
+                ranks[k] = known((made, ids[k + 1]), none)
+            if k:
+                ranks[k - 1] = known((ids[k - 1], made), none)
         return ids
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(found[0], k, found[1], ids[k], ids[k + 1]) for k in range(n - 1) if (found := merges.get((ids[k], ids[k + 1])))]
@@ -175,7 +184,7 @@ class Pieces(dict):
             stream.finish(out)
             return b"".join(out)
         packed = array("I", merge(self.vocabulary, piece.encode())).tobytes()
-        if len(self) < CACHE_ENTRIES:
+        if len(self) < CACHED_PIECES:
             self[piece] = packed
         return packed
 
@@ -189,7 +198,7 @@ class Units(dict):
 
     def __missing__(self, unit: str) -> bytes:
         packed = b"".join(map(self.pieces.__getitem__, self.split(" " + unit)))
-        if len(self) < CACHE_ENTRIES and len(unit) <= LONG_PIECE:
+        if len(self) < CACHED_UNITS and len(unit) <= LONG_PIECE:
             self[unit] = packed
         return packed
 

@@ -31,7 +31,7 @@ LITERALS = 3
 MIN_SHARE, MIN_WINDOWS, MIN_CONSISTENT = 0.5, 8, 0.75
 #: Bits of the map of window hashes: 2^22, half a megabyte.
 MAP_BITS = 22
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 100_000
 
 # Units of measure, and what may stand around a word.
 UNITS = frozenset("mm cm m km inch inches ft feet mile miles mg g kg t lb lbs oz ml l s sec secs second seconds min mins minute minutes h hr hour hours day days week weeks year years % percent usd eur $ € £ dollars euros cents °c °f".split())

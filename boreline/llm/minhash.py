@@ -37,7 +37,7 @@ SLACK = 4.5
 #: A block holds about so many classes and shingles at most.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 400_000
 #: Words kept with their hash in one Python worker.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 #: Columns of a block's matrix that are multiplied at once.
 COLUMNS = 4096
 

@@ -41,7 +41,7 @@ LEVELS = range(3)
 FUZZY_LETTERS = 5
 #: Words on each side of a hit that are its context.
 WINDOW = 4
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 
 # Words that report somebody else's words, in the corpus's languages.
 REPORTING = frozenset(
@@ -113,8 +113,8 @@ class Finder(dict):
         super().__init__()
         self.trie = trie
 
-    def __missing__(self, word: str) -> list[tuple[int, int]]:
-        hits = self.trie.hits(word) if self.trie.possible(word) else []
+    def __missing__(self, word: str) -> tuple[tuple[int, int], ...]:
+        hits = tuple(self.trie.hits(word)) if self.trie.possible(word) else ()
         if len(self) < CACHE_ENTRIES:
             self[word] = hits
         return hits

@@ -76,6 +76,8 @@ class Small:
             if made not in self.bytes_of.values():
                 self.bytes_of[len(self.bytes_of)] = made
                 self.merges[pair] = (len(self.merges), len(self.bytes_of) - 1)
+        self.ranks = {pair: rank for pair, (rank, _) in self.merges.items()}
+        self.made = [made for _, made in self.merges.values()]
 
 
 @pytest.mark.parametrize("seed", range(40))
