@@ -26,18 +26,18 @@ SENTENCE = re.compile(r"[^\s].*?(?:[.!?]+(?=\s)|$)")
 LINE = re.compile(r"[^\n]+")
 
 
-def units(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the lines and sentences that are long enough; offsets in code points."""
+def units(text: str) -> list[tuple[int, int, str, int]]:
+    """(start, end, kind, start of the line) of the lines and sentences that are long enough; offsets in code points."""
     out = []
     for line in LINE.finditer(text):
         start, end = line.span()
         n = len(line[0].split())
         if n >= MIN_LINE_WORDS:
-            out.append((start, end, "line"))
+            out.append((start, end, "line", start))
         if n > MIN_SENTENCE_WORDS:
             inner = [m.span() for m in SENTENCE.finditer(text, start, end)]
             if len(inner) > 1:
-                out.extend((a, b, "sentence") for a, b in inner if len(text[a:b].split()) >= MIN_SENTENCE_WORDS)
+                out.extend((a, b, "sentence", start) for a, b in inner if len(text[a:b].split()) >= MIN_SENTENCE_WORDS)
     return out
 
 
@@ -46,21 +46,21 @@ def digest(text: str) -> bytes:
 
 
 def hashed_units(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per unit: ``doc``, ``start``, ``end``, ``kind``, ``digest``."""
+    """One row per unit: ``doc``, ``start``, ``end``, ``kind``, ``line`` (start of its line), ``digest``."""
 
     def make():
         def work(keys, texts):
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for k, t in zip(keys, texts, strict=True):
-                for start, end, kind in units(t):
-                    for column, value in zip(out, (k, start, end, kind, digest(t[start:end])), strict=True):
+                for start, end, kind, line in units(t):
+                    for column, value in zip(out, (k, start, end, kind, line, digest(t[start:end])), strict=True):
                         column.append(value)
             return list(out)
 
         return work
 
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), text_of(text))
-    return map_rows(rows, "doc bigint, start bigint, end bigint, kind string, digest binary", make)
+    return map_rows(rows, "doc bigint, start bigint, end bigint, kind string, line bigint, digest binary", make)
 
 
 def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -82,14 +82,12 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     groups = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("copies"))
     groups = stored(groups.where("copies > 1 and first != last").drop("last"), "repeated-units")
     gone = found.join(groups, "digest").where(F.struct("doc", "start") != F.col("first"))
-    gone = stored(gone.select("doc", "start", "end", "kind", F.col("first.doc").alias("first_doc_id"), F.col("first.start").alias("first_start"), "copies").distinct(), "removed-units")
-    lines = gone.where("kind = 'line'").select("doc", F.col("start").alias("line_start"), F.col("end").alias("line_end"))
-    inner = gone.where("kind = 'sentence'")
-    # A sentence lies in at most one line of its document; lines of a document are few.
-    alone = inner.join(lines, (inner.doc == lines.doc) & (inner.start >= F.col("line_start")) & (inner.end <= F.col("line_end")), "left_anti")
+    gone = stored(gone.select("doc", "start", "end", "kind", "line", F.col("first.doc").alias("first_doc_id"), F.col("first.start").alias("first_start"), "copies").distinct(), "removed-units")
+    lines = gone.where("kind = 'line'")
+    alone = gone.where("kind = 'sentence'").join(lines.select("doc", "line"), ["doc", "line"], "left_anti").select(*lines.columns)
     drop_stored(spark, found)
     drop_stored(spark, groups)
-    return gone.where("kind = 'line'").unionByName(alone).withColumnRenamed("doc", key)
+    return lines.unionByName(alone).drop("line").withColumnRenamed("doc", key)
 
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ def test_passages_are_brute_force(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     places = {}
     for key, text in rows:
-        for start, end, kind in substring.units(text):
+        for start, end, kind, _ in substring.units(text):
             places.setdefault(" ".join(text[start:end].lower().split()), []).append((key, start, end, kind))
     gone = {p for owners in places.values() for p in owners if p[:2] != min(owners)[:2]}
     lines = [p for p in gone if p[3] == "line"]
