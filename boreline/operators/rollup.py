@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import blank_to, name_family, time_text
@@ -10,23 +10,17 @@ from ..functions.numbers import slot_start
 from ..sources.catalog import MEASURE_COLUMNS
 
 
-def tumbling_rollup(df: DataFrame, bucket_seconds: int) -> DataFrame:
-    """Per (bucket, fleet, pad, well): counts, time bounds, and avg, min, max, first, last of each measure.
+def bucket_values() -> list[Column]:
+    """What a bucket holds of its readings, as aggregates.
 
-    One aggregation; the first and last readings of a bucket are each one
-    struct of all measures, so they come from one reading.
+    The first and last readings of a bucket are each one struct of all
+    measures, so they come from one reading.
     """
     created = F.col("created_ts")
     reading = F.struct(*MEASURE_COLUMNS, "id", "api_num")
     forward = F.struct(F.col("record_ts"), created.isNull().alias("n"), created, F.col("id"))
     backward = F.struct(F.col("record_ts"), created.isNotNull().alias("n"), created, F.col("id"))
-    rows = df.where(F.col("record_ts").isNotNull() & F.col("name").isNotNull()).select(
-        slot_start("record_ts", bucket_seconds).alias("bucket_ts"),
-        blank_to("fleet_name").alias("fleet_name"),
-        blank_to("pad_name").alias("pad_name"),
-        "name", "id", "api_num", "record_ts", "created_ts", *MEASURE_COLUMNS,
-    )
-    out = rows.groupBy("bucket_ts", "fleet_name", "pad_name", "name").agg(
+    return [
         F.min_by(reading, forward).alias("_first"),
         F.max_by(reading, backward).alias("_last"),
         F.min("record_ts").alias("first_record_ts"),
@@ -35,7 +29,11 @@ def tumbling_rollup(df: DataFrame, bucket_seconds: int) -> DataFrame:
         F.max("created_ts").alias("last_created_ts"),
         F.count(F.lit(1)).alias("records_in_bucket"),
         *[f(m).alias(f"{m}_{s}") for m in MEASURE_COLUMNS for s, f in (("avg", F.avg), ("min", F.min), ("max", F.max))],
-    )
+    ]
+
+
+def bucket_columns(out: DataFrame, bucket_seconds: int) -> DataFrame:
+    """The stored shape of aggregated buckets."""
     return out.select(
         F.lit(int(bucket_seconds)).alias("bucket_seconds"),
         "bucket_ts", "fleet_name", "pad_name", "name",
@@ -50,6 +48,17 @@ def tumbling_rollup(df: DataFrame, bucket_seconds: int) -> DataFrame:
     )
 
 
+def tumbling_rollup(df: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Per (bucket, fleet, pad, well): counts, time bounds, and avg, min, max, first, last of each measure, in one aggregation."""
+    rows = df.where(F.col("record_ts").isNotNull() & F.col("name").isNotNull()).select(
+        slot_start("record_ts", bucket_seconds).alias("bucket_ts"),
+        blank_to("fleet_name").alias("fleet_name"),
+        blank_to("pad_name").alias("pad_name"),
+        "name", "id", "api_num", "record_ts", "created_ts", *MEASURE_COLUMNS,
+    )
+    return bucket_columns(rows.groupBy("bucket_ts", "fleet_name", "pad_name", "name").agg(*bucket_values()), bucket_seconds)
+
+
 def bucket_average(df: DataFrame, bucket_seconds: int, measures: list[str]) -> DataFrame:
     """Mean of the measures and row count per (well, bucket)."""
     return df.groupBy("name", slot_start("record_ts", bucket_seconds).alias("bucket_ts")).agg(

@@ -17,7 +17,7 @@ from ..sources.testviews import BUCKET_SECONDS, GAP_SECONDS, LONG_GAP_SECONDS
 from ..streaming import live
 from . import flows
 from .bound import (
-    ANOM_SQL, DESIGN_SQL, EVENT_SQL, FIRST, GRID_SQL, LATE_SQL, LIMITS, LINE_COLUMNS, ORDINAL_SQL, ORDINAL_WINDOW, SCORE_VALUES, SCORE_VIEWS, SLOT, SMARK,
+    ANOM_SQL, ROLLUP_COLUMNS, STATS, _rollup_sql, DESIGN_SQL, EVENT_SQL, FIRST, GRID_SQL, LATE_SQL, LIMITS, LINE_COLUMNS, ORDINAL_SQL, ORDINAL_WINDOW, SCORE_VALUES, SCORE_VIEWS, SLOT, SMARK,
     SUMMARY_SQL, WELL_COLUMNS, _events, _ordinal_windows_sql, bound, show, shown,
 )
 from .oracle import label_view, r, sql, staged, windows
@@ -315,6 +315,52 @@ def _(spark, d):
     return out.select("name", "stage_num_td", "top_driver", "population_size", *[shown(c) for c in SCORE_VALUES])
 
 
+@bound("score_rounds", sql("lab mark wells", "SELECT name, stage_num_td, top_driver, (SELECT COUNT(*) FROM sc) AS population_size, " + ", ".join(f"{r(c)} AS {c}" for c in SCORE_VALUES) + " FROM sc", *SCORE_VIEWS))
+def _(spark, d):
+    """Scored in batches of stages until none is left; the sources of every stage had changed since the stored parts."""
+    sources = stored(flows.stage_sources(tv.stage_index(spark, d, gap=LONG_GAP_SECONDS)), "sources")
+    labels, markers, events = stored(tv.labels(spark, d), "labels"), stored(tv.marker_labels(spark, d), "markers"), stored(_events(spark, d), "events")
+    before = sources.withColumn("source_rows", F.col("source_rows") - 1)
+    out = flows.score_flow(labels, markers, events.limit(0), before, slot_seconds=SLOT)
+    while True:
+        out = flows.score_flow(labels, markers, events, sources, out["parts"], SLOT, max_stages=sources.count() // 2 + 1)
+        if not out["has_more"].first()[0]:
+            break
+    return out["scores"].select("name", "stage_num_td", "top_driver", "population_size", *[shown(c) for c in SCORE_VALUES])
+
+
+@bound("tuning_rounds", sql("lab lwin", """
+SELECT g.name, g.stage_num_td, rolling_points, threshold_type, threshold_value, segment_count FROM grid g""", GRID_SQL))
+def _(spark, d):
+    """Two runs with a limit, their manifest read back, the grid of changed stages replaced."""
+    sources = flows.stage_sources(tv.stage_index(spark, d, gap=LONG_GAP_SECONDS))
+    due = stored(sources.withColumn("source_signature", flows.signatures.source_signature(sources, flows.TUNING_VERSION, flows.SOURCE_FIELDS)), "due")
+    labels = stored(tv.labels(spark, d), "labels")
+    grid = stored(flows.tuning_flow(labels.limit(0), due.withColumn("source_signature", F.lit("before")), None, "2024-01-30", slot_seconds=SLOT), "grid")
+    manifest = flows.tuning_manifest(due.withColumn("source_signature", F.lit("before")), "2024-01-30")
+    while True:
+        out = flows.tuning_run(labels, due, manifest, grid, "2024-01-31", due.count() // 2 + 1, slot_seconds=SLOT)
+        grid, manifest = out["grid"], out["manifest"]
+        if not out["has_more"].first()[0]:
+            break
+    return grid.select("name", "stage_num_td", "rolling_points", "threshold_type", "threshold_value", "segment_count")
+
+
+@bound("recompute_labels", sql("stg", "SELECT * FROM two", _two_pass_sql("(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry, press_mainline FROM stg)")))
+def _(spark, d):
+    rows = tv.telemetry(spark, d)
+    out = flows.recompute_flow(rows, rows, _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller)
+    return out["labels"].select("name", "stage_num_td", "datetime_fmt", "substage")
+
+
+@bound("recompute_windows", sql("win wells", f"SELECT {', '.join(f'w.{c}' for c in BATCH_WINDOW)}, x.sample_count AS well_rows FROM win w JOIN wells x ON x.name = w.name"))
+def _(spark, d):
+    """Windows and well index after the recompute of every well, replaced in the tables of the first batch."""
+    rows = tv.telemetry(spark, d)
+    out = flows.recompute_flow(rows, rows, _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller)
+    return out["windows"].select(*BATCH_WINDOW).join(out["wells"].select("name", F.col("sample_count").alias("well_rows")), "name").select(*BATCH_WINDOW, "well_rows")
+
+
 # --- streams ---------------------------------------------------------------
 
 FEED = ["created_ts", "record_ts", "name", "id", "rate_slurry"]
@@ -350,11 +396,11 @@ def _(spark, d):
     return spark.read.parquet(f"{root}/assigned").select("id", "name", "record_ts", "stage_num_td")
 
 
-@bound("stream_rollup", sql("tel", _bucket_counts("tel")))
+@bound("stream_rollup", sql("tel", _rollup_sql("tel")))
 def _(spark, d):
-    columns = ["record_ts", "name", "fleet_name", "pad_name", *catalog.MEASURE_COLUMNS]
+    columns = ["record_ts", "created_ts", "name", "id", "api_num", "fleet_name", "pad_name", *catalog.MEASURE_COLUMNS]
     rows = tv.telemetry(spark, d)
     first, second = tv.first_batch(rows).select(*columns), tv.second_batch(rows).select(*columns)
     root = work_path(spark, "stream-rollup")
     _feed(spark, first, [first, second], lambda s: live.rollup(s, root, BUCKET_SECONDS, 60 * 86_400))
-    return show(live.current_buckets(spark, root), *BUCKET, rounded=("rate_slurry_avg",))
+    return show(live.current_buckets(spark, root, first.schema), *ROLLUP_COLUMNS, *STATS, rounded=tuple(s for s in STATS if s.endswith("_avg")))

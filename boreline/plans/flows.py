@@ -150,6 +150,20 @@ def recompute_wells(
     return {"windows": writes.replace_entity(windows, fresh), "plan": plan, "fresh": fresh}
 
 
+def recompute_flow(rows: DataFrame, names: DataFrame, windows: DataFrame, gap_seconds: float, marker: Labeller, labeller: Labeller) -> dict[str, DataFrame]:
+    """Everything that is derived from the named wells, made again from all their rows: windows, well index, marker and design labels.
+
+    ``windows`` comes with the wells' old windows replaced; the other results
+    are the named wells' own, for ``replace_entity``.
+    """
+    own = rows.join(names.select("name").distinct(), "name", "left_semi")
+    step = recompute_wells(rows, names, windows, gap_seconds, dry_run=False)
+    assigned = stored(stages.assign_stages(_readings(own), gap_seconds), "assigned")
+    markers = stored(label_rows(assigned, marker), "markers")
+    ready = assigned.select("name", "stage_num_td", F.col("record_ts").alias(TIME), *stages.WINDOW_MEASURES)
+    return {**step, "wells": rollup.well_index(own), "markers": markers, "labels": labelling.two_pass_labels(ready, markers, labeller)}
+
+
 def rollup_flow(rows: DataFrame, previous: DataFrame | None, bucket_seconds: int, start: datetime | str | None = None, end: datetime | str | None = None, now: datetime | str | None = None) -> DataFrame:
     """Roll-up of ``[start, end)``, aligned outward to whole buckets, upserted into the stored one.
 
@@ -221,17 +235,13 @@ def anomaly_flow(
 ) -> dict[str, DataFrame]:
     """Anomalies of the stages that changed: row labels, events, stage summary and manifest rows.
 
-    With ``max_stages``, ``has_more`` (one row) tells whether stages are left.
+    ``has_more`` (one row) tells whether ``max_stages`` left any for another run.
     """
     due = sources
     if manifest is not None:
         seen = manifest.where((F.col("algorithm_version") == version) & (F.col("status") == "active"))
         due = joins.changed_candidates(due, seen, {c: c for c in ("source_rows", "last_source_ts", "latest_source_updated_at")})
-    more = None
-    if max_stages is not None:
-        batch = stored(reads.work_batch(due, STAGE, max_stages), "batch")
-        more = batch.agg(F.coalesce(F.bool_or("has_more"), F.lit(False)).alias("has_more"))
-        due = due.join(batch.select(*STAGE), STAGE, "left_semi")
+    due, more = _batch_of(due, max_stages)
     stamp = reads.time_literal(now)
     due = stored(due.withColumn("source_signature", signatures.source_signature(due, version, SOURCE_FIELDS)), "due")
     rows = stored(anomaly.row_anomalies(labels.join(due.select(*STAGE), STAGE, "left_semi"), limits, slot_seconds).where(F.col("anomaly").isNotNull()), "anomalies")
@@ -249,8 +259,7 @@ def anomaly_flow(
         "fleet_name", "pad_name", *STAGE, F.lit(version).alias("algorithm_version"), F.lit(run_id).alias("active_run_id"), "source_signature",
         "source_rows", "first_source_ts", "last_source_ts", "latest_source_updated_at", stamp.alias("processed_at"), F.lit("active").alias("status"),
     )
-    out = {"labels": tagged(rows), "events": tagged(events), "summary": summary, "manifest": manifest_rows}
-    return out if more is None else {**out, "has_more": more}
+    return {"labels": tagged(rows), "events": tagged(events), "summary": summary, "manifest": manifest_rows, "has_more": more}
 
 
 def tuning_flow(labels: DataFrame, due: DataFrame, tuned: DataFrame | None, now: datetime | str, version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
@@ -262,14 +271,58 @@ def tuning_flow(labels: DataFrame, due: DataFrame, tuned: DataFrame | None, now:
     return grid.withColumn("algorithm_version", F.lit(version)).withColumn("updated_at", reads.time_literal(now))
 
 
-def score_flow(labels: DataFrame, markers: DataFrame, events: DataFrame, sources: DataFrame, previous: DataFrame | None = None, slot_seconds: float = SLOT_SECONDS) -> dict[str, DataFrame]:
-    """Parts of the given stages merged over the stored ones, then scores of the whole population."""
-    parts = scores.quality_parts(labels, labelling.design_medians(markers), events, slot_seconds)
-    signed = sources.select(*STAGE, "fleet_name", "pad_name", signatures.source_signature(sources, SCORE_VERSION, SOURCE_FIELDS).alias("source_signature"))
-    parts = parts.join(signed, STAGE).withColumn("formula_version", F.lit(SCORE_VERSION))
+def _batch_of(due: DataFrame, max_stages: int | None) -> tuple[DataFrame, DataFrame]:
+    """The stages of this run, and in one row whether others are left."""
+    if max_stages is None:
+        return due, due.sparkSession.createDataFrame([(False,)], "has_more boolean")
+    batch = stored(reads.work_batch(due, STAGE, max_stages), "batch")
+    return due.join(batch.select(*STAGE), STAGE, "left_semi"), batch.agg(F.coalesce(F.bool_or("has_more"), F.lit(False)).alias("has_more"))
+
+
+def tuning_manifest(done: DataFrame, now: datetime | str, version: str = TUNING_VERSION) -> DataFrame:
+    """What the grid of each stage was made from."""
+    return done.select(*STAGE, "source_signature", F.lit(version).alias("algorithm_version"), reads.time_literal(now).alias("processed_at"), F.lit("active").alias("status"))
+
+
+def tuning_run(
+    labels: DataFrame, due: DataFrame, manifest: DataFrame | None, grid: DataFrame | None, now: datetime | str, max_stages: int | None = None,
+    version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS,
+) -> dict[str, DataFrame]:
+    """One limited tuning run: the grids of changed stages replace the stored ones; returns ``grid``, ``manifest`` and ``has_more``."""
+    if manifest is not None:
+        seen = manifest.where((F.col("algorithm_version") == version) & (F.col("status") == "active"))
+        due = joins.changed_candidates(due, seen, {"source_signature": "source_signature"})
+    due, more = _batch_of(due, max_stages)
+    due = stored(due, "due")
+    fresh = stored(tuning_flow(labels, due, None, now, version, slot_seconds), "fresh-grid")
+    done = tuning_manifest(due, now, version)
+    return {
+        "grid": fresh if grid is None else stored(joins.keep_last(grid, fresh, STAGE), "grid"),
+        "manifest": done if manifest is None else stored(joins.keep_last(manifest, done, STAGE), "tuning-manifest"),
+        "has_more": more,
+    }
+
+
+def score_flow(
+    labels: DataFrame, markers: DataFrame, events: DataFrame, sources: DataFrame, previous: DataFrame | None = None, slot_seconds: float = SLOT_SECONDS, max_stages: int | None = None,
+) -> dict[str, DataFrame]:
+    """Parts of the changed stages merged over the stored ones, then scores of the whole population.
+
+    ``previous`` are the stored parts: stages whose source signature they hold
+    are not computed again. With ``max_stages`` a run takes so many at most,
+    and ``has_more`` (one row) tells whether others are left.
+    """
+    due = sources.select(*STAGE, "fleet_name", "pad_name", signatures.source_signature(sources, SCORE_VERSION, SOURCE_FIELDS).alias("source_signature"))
+    if previous is not None:
+        due = joins.changed_candidates(due, previous.where(F.col("formula_version") == SCORE_VERSION), {"source_signature": "source_signature"})
+    due, more = _batch_of(due, max_stages)
+    due = stored(due, "due")
+    of_due = [df.join(due.select(*STAGE), STAGE, "left_semi") for df in (labels, markers, events)]
+    parts = scores.quality_parts(of_due[0], labelling.design_medians(of_due[1]), of_due[2], slot_seconds)
+    parts = parts.join(due, STAGE).withColumn("formula_version", F.lit(SCORE_VERSION))
     if previous is not None:
         parts = joins.keep_last(previous, parts, [*STAGE, "formula_version"])
     parts = stored(parts, "parts")
     population = signatures.population_signature(parts, f"{SCORE_VERSION}|{NORMALIZATION_VERSION}", STAGE, "source_signature")
     scored = scores.population_scores(parts).withColumn("normalization_version", F.lit(NORMALIZATION_VERSION))
-    return {"parts": parts, "scores": joins.with_scalar(scored, population)}
+    return {"parts": parts, "scores": joins.with_scalar(scored, population), "has_more": more}

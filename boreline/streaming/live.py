@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clean import blank_to
+from ..operators import rollup as batch_rollup
 from ..operators import stages
-from ..sources.catalog import MEASURE_COLUMNS
 from ..session import remove_path
 from ..sources.writes import read_folder, upsert_folder
 
@@ -97,20 +97,18 @@ def sessions(stream: DataFrame, root: str, gap_seconds: float, every: str | None
 
 
 def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int, every: str | None = None) -> StreamingQuery:
-    """Time buckets kept current: count and avg, min, max of each measure.
+    """Time buckets kept current, with every column of the batch roll-up.
 
-    Buckets older than the watermark are closed. Each batch upserts only the
-    buckets it changed.
+    Buckets older than the watermark are closed: rows that come later still
+    are for ``lookback_refresh``, which rolls up the stored readings. Each
+    batch upserts only the buckets it changed.
     """
-    timed = stream.withColumn("_t", F.col("record_ts").cast("timestamp")).withWatermark("_t", f"{late_seconds} seconds")
+    timed = stream.where(F.col("name").isNotNull()).withColumn("_t", F.col("record_ts").cast("timestamp")).withWatermark("_t", f"{late_seconds} seconds")
     buckets = timed.groupBy(
         F.window("_t", f"{bucket_seconds} seconds").alias("_w"),
         blank_to("fleet_name").alias("fleet_name"), blank_to("pad_name").alias("pad_name"), "name",
-    ).agg(
-        F.count(F.lit(1)).alias("records_in_bucket"),
-        *[f(m).alias(f"{m}_{s}") for m in MEASURE_COLUMNS for s, f in (("avg", F.avg), ("min", F.min), ("max", F.max))],
-    )
-    shaped = buckets.select(F.lit(bucket_seconds).alias("bucket_seconds"), F.col("_w.start").cast("timestamp_ntz").alias("bucket_ts"), "*").drop("_w")
+    ).agg(*batch_rollup.bucket_values())
+    shaped = batch_rollup.bucket_columns(buckets.withColumn("bucket_ts", F.col("_w.start").cast("timestamp_ntz")), bucket_seconds)
 
     def handle(batch: DataFrame, number: int) -> None:
         upsert_folder(batch.sparkSession, f"{root}/buckets", batch.withColumn("day", F.date_format("bucket_ts", "yyyy-MM-dd")), BUCKET_KEY, "day")
@@ -118,11 +116,7 @@ def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int,
     return _drain(shaped, f"{root}/checkpoint", handle, mode="update", every=every)
 
 
-def current_buckets(spark: SparkSession, root: str) -> DataFrame:
-    """The buckets as they stand."""
-    values = [T.StructField(f"{m}_{s}", T.DoubleType()) for m in MEASURE_COLUMNS for s in ("avg", "min", "max")]
-    schema = T.StructType([
-        T.StructField("bucket_seconds", T.IntegerType()), T.StructField("bucket_ts", T.TimestampNTZType()), T.StructField("fleet_name", T.StringType()),
-        T.StructField("pad_name", T.StringType()), T.StructField("name", T.StringType()), T.StructField("records_in_bucket", T.LongType()), *values, T.StructField("day", T.StringType()),
-    ])
-    return read_folder(spark, f"{root}/buckets", schema, "day").drop("day")
+def current_buckets(spark: SparkSession, root: str, feed: T.StructType) -> DataFrame:
+    """The buckets as they stand; ``feed`` is the schema of the readings."""
+    shape = batch_rollup.tumbling_rollup(spark.createDataFrame([], feed), 1).schema
+    return read_folder(spark, f"{root}/buckets", T.StructType([*shape.fields, T.StructField("day", T.StringType())]), "day").drop("day")
