@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import has_label, normal_label
+from ..functions.clean import ALL, has_label, normal_label, number_text
 from ..functions.display import REQUIRED_SUBSTAGES, SUBSTAGES
 from ..functions.numbers import round_half_up
+from ..sources.reads import optional_filters
 from .joins import catalog_counts, with_scalar
 
 
@@ -15,6 +16,18 @@ def labelled(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("stage_num_td").isNotNull() & has_label("substage"))
 
 
+def in_scope(labels: DataFrame, wells: DataFrame, fleet: str | None = None, pad: str | None = None, well: str | None = None) -> DataFrame:
+    """Labels of the wells that the well index has for a fleet, pad or well; what is not set does not filter."""
+    chosen = optional_filters(wells, fleet, pad, well).select("name").distinct()
+    return labels.join(chosen, "name", "left_semi")
+
+
+def stage_label(well: str | None = None) -> Column:
+    """How a report names a stage: its number, with the well in front where several wells are shown."""
+    number = number_text(F.col("stage_num").cast("double"))
+    return number if well not in (None, "", ALL) else F.concat("well_name", F.lit(" · "), number)
+
+
 def presence_pivot(labels: DataFrame) -> DataFrame:
     """One 0/1 column per label for every (well, stage)."""
     code = normal_label("substage")

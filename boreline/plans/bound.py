@@ -505,6 +505,27 @@ def _(spark, d):
     return out.select("well_name", "stage_num", "present_required", "coverage_percent", "missing_count", "complete_stage", "missing_substages")
 
 
+SCOPED_SQL = """
+scope AS (SELECT DISTINCT name FROM wells WHERE COALESCE(NULLIF(fleet_name, ''), 'Unknown') = 'ASIA'),
+scov AS (SELECT * FROM cov WHERE well_name IN (SELECT name FROM scope))"""
+
+
+@bound("presence_scoped_rows", sql("pres wells", """
+SELECT well_name, stage_num, well_name || ' · ' || CAST(stage_num AS VARCHAR) AS stage_label, present_required, 5 - present_required AS missing_count FROM scov""", COVER_SQL, SCOPED_SQL))
+def _(spark, d):
+    labels = presence.in_scope(_presence_labels(spark, d), rollup.well_index(tv.telemetry(spark, d)), fleet="ASIA")
+    out = presence.presence_coverage(presence.presence_pivot(labels)).withColumn("stage_label", presence.stage_label())
+    return out.select("well_name", "stage_num", "stage_label", "present_required", "missing_count")
+
+
+@bound("presence_scoped_summary", sql("pres wells", f"""
+SELECT COUNT(*) AS total_stages, {r('SUM(present_required) * 100.0 / 5 / COUNT(*)', 1)} AS average_coverage,
+       CAST(SUM(CASE WHEN present_required = 5 THEN 1 ELSE 0 END) AS BIGINT) AS complete_stages FROM scov""", COVER_SQL, SCOPED_SQL))
+def _(spark, d):
+    labels = presence.in_scope(_presence_labels(spark, d), rollup.well_index(tv.telemetry(spark, d)), fleet="ASIA")
+    return presence.presence_summary(presence.presence_coverage(presence.presence_pivot(labels)))
+
+
 @bound("presence_summary", sql("pres", f"""
 SELECT COUNT(*) AS total_stages, {r('SUM(present_required) * 100.0 / 5 / COUNT(*)', 1)} AS average_coverage,
        CAST(SUM(CASE WHEN present_required = 5 THEN 1 ELSE 0 END) AS BIGINT) AS complete_stages FROM cov""", COVER_SQL))
