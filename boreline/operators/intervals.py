@@ -61,7 +61,7 @@ def overlap_counts(windows: DataFrame, group: str, ident: str, start: str, end:
     A window meets those that start before its end, less those that end at or
     before its start. Both counts are running sums over the distinct times of
     the group, so no pair of windows is built and one group may hold any share
-    of the rows.
+    of the rows. A window with a null or reversed end overlaps nothing.
     """
     w = windows.select(group, ident, F.col(start).alias("_s"), F.col(end).alias("_e")).where(F.col("_s") <= F.col("_e"))
     lone = F.col("_s") == F.col("_e")
@@ -76,7 +76,9 @@ def overlap_counts(windows: DataFrame, group: str, ident: str, start: str, end:
     at_end, at_start = F.col("_ne") == 1, F.col("_ns") == 1
     own = F.when(F.col("_lone"), F.col("_points")).otherwise(F.lit(-1))
     met = F.when(at_end, F.col("_before")).otherwise(0) + F.when(at_start, own - F.col("_ce")).otherwise(0)
-    return seen.groupBy(group, ident).agg(F.sum(met).cast("bigint").alias("overlap_count"))
+    counted = seen.groupBy(group, ident).agg(F.sum(met).cast("bigint").alias("overlap_count"))
+    odd = windows.where(~F.coalesce(F.col(start) <= F.col(end), F.lit(False))).select(group, ident, F.lit(0).cast("bigint").alias("overlap_count"))
+    return counted.unionByName(odd)
 
 
 def overlapping(windows: DataFrame, start: str, end: str, from_time, to_time) -> DataFrame:

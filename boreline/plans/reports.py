@@ -25,6 +25,7 @@ from ..operators.ordered import SLOT_SECONDS
 from ..operators.rollup import bucket_average
 from ..sources.reads import optional_filters, time_literal
 
+# Names of the layers that every store has.
 SHARED_LAYER = "manual:shared"
 MODEL_LAYER = "system:model:platinum_substage_labels"
 
@@ -458,6 +459,7 @@ def layer_edit_check(layers: DataFrame, user: str, layer: str | None = None, fix
 def fixed_layers(spark: SparkSession, user: str) -> DataFrame:
     """The model, shared and personal layers every user sees."""
     md5 = F.md5(F.lit(user).cast("binary"))
+    # What the layer list shows for them.
     base = spark.createDataFrame(
         [
             (MODEL_LAYER, "Automatic Substage Labels", "System generated · Read-only", "platinum_substage_labels", "system-model", "model", False, -100),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.clean import safe_double, safe_time
 
+# Names of the measures.
 MEASURE_COLUMNS = [
     "rate_slurry",
     "press_mainline",
@@ -22,7 +23,7 @@ MEASURE_COLUMNS = [
 
 @dataclass(frozen=True)
 class Table:
-    """A stored table: ``columns`` in DDL form and the primary key."""
+    """A stored table: ``columns`` in DDL form and the primary key. The instances below are fixed contracts."""
 
     name: str
     columns: str

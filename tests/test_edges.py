@@ -244,3 +244,32 @@ def test_a_cluster_must_name_a_shared_folder():
         context = SimpleNamespace(master=master, getConf=lambda: {})
         with pytest.raises(ValueError):
             work_root(SimpleNamespace(conf={}, sparkContext=context))
+
+
+def test_windows_without_a_range_overlap_nothing(spark):
+    w = spark.createDataFrame([("a", 1, at(0), at(10)), ("a", 2, at(5), at(15)), ("a", 3, at(9), None), ("a", 4, at(8), at(2)), ("a", 5, None, at(3))], "g string, i int, s timestamp_ntz, e timestamp_ntz")
+    assert {r["i"]: r["overlap_count"] for r in intervals.overlap_counts(w, "g", "i", "s", "e").collect()} == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
+
+
+def test_resent_and_late_readings_count_once(spark):
+    schema = "name string, record_ts timestamp_ntz, created_ts timestamp_ntz, fleet_name string, pad_name string, id string, api_num string, rate_slurry double, press_mainline double, prop_conc_blend_denso double"
+    row = lambda second, rate: ("a", at(second), at(second), "f", "p", str(second), "x", rate, 1.0, 1.0)
+    old = spark.createDataFrame([row(0, 3.0), row(10, 5.0)], schema)
+    windows = stages.stage_windows(old, 3600)
+    batch = spark.createDataFrame([row(10, 1.0), row(5, 4.0)], schema)
+    for _ in range(2):
+        (got,) = flows.apply_batch(old, batch, windows, 3600)["windows"].collect()
+        assert (got["sample_count"], got["avg_rate_slurry"]) == (3, (3.0 + 1.0 + 4.0) / 3)
+        old = flows.merged_feed_flow(old, batch, windows, 3600)["readings"] if "id" in batch.columns else old
+
+
+def test_a_cursor_gets_past_rows_of_one_time(spark):
+    df = spark.createDataFrame([("a", at(0), at(0), str(k)) for k in range(5)] + [("a", at(0), at(1), "z")], "name string, record_ts timestamp_ntz, created_ts timestamp_ntz, id string")
+    seen, after = [], None
+    while True:
+        page = reads.incremental_scan(df, after, 2)
+        after = reads.next_cursor(page)
+        if after is None:
+            break
+        seen += [r["id"] for r in page.collect()]
+    assert seen == ["0", "1", "2", "3", "4", "z"]
