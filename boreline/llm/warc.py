@@ -259,6 +259,11 @@ def write_packages(pages: DataFrame, folder: str, key: str = "page_id", url: str
     return out
 
 
+def _tasks(spark: SparkSession) -> int:
+    """A row here stands for a file or a record: AQE, which sees small rows only, must not gather them into few tasks."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def locate(packages: DataFrame) -> DataFrame:
     """``path``, ``offset`` and ``length`` (in the package) of every record that the packages' indexes list."""
 
@@ -284,7 +289,7 @@ def locate(packages: DataFrame) -> DataFrame:
         held.clear()
         return out
 
-    return packages.select("path").mapInArrow(run, "path string, offset bigint, length bigint")
+    return packages.repartition(_tasks(packages.sparkSession), "path").select("path").mapInArrow(run, "path string, offset bigint, length bigint")
 
 
 RECORD = "id bigint, record_type string, url string, payload_bytes bigint, payload_digest string, refers_to bigint, checked boolean"
@@ -328,13 +333,13 @@ def read_records(located: DataFrame, with_payload: bool = False) -> DataFrame:
         out.clear()
         return made
 
-    near = located.repartition("path", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("path", "offset")
+    near = located.repartition(_tasks(located.sparkSession), "path", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("path", "offset")
     return near.select("path", "offset", "length").mapInArrow(run, schema)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_packages(table(spark, sf_dir, "pages"), work_path(spark, "warc"))
-    read = read_records(locate(manifest.repartition("path")))
+    read = read_records(locate(manifest))
     return read.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "checked")
 
 
