@@ -78,7 +78,7 @@ def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: st
     log = valid.withColumn("slot", F.floor(F.unix_timestamp("valid_from") / SLOT))
     last = log.groupBy("target", "slot").agg(F.max_by(F.struct("valid_from", "listed", "valid_to"), "valid_from").alias("last"))
     # Per target only its slots are put in order: a row per slot, not per capture.
-    needed = asked.join(last.select("target").distinct(), "target", "left_semi").where("slot is not null").select("target", "slot").distinct()
+    needed = asked.where("slot is not null").select("target", "slot").distinct().join(last.select("target").distinct(), "target", "left_semi")
     slots = last.join(needed, ["target", "slot"], "full")
     before = Window.partitionBy("target").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.select("target", "slot", F.last("last", ignorenulls=True).over(before).alias("carried"))
