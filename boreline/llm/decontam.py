@@ -5,7 +5,8 @@ with other numbers or names has the same template. Windows of ``WINDOW``
 template tokens are hashed and joined with the benchmark's. A document is
 contaminated by an item if enough of the item's windows are in it and what
 stood in the placeholders maps consistently: one value of the item to one of
-the document, and back.
+the document, and back. Where other copies in the same document contradict
+that, each region of the document is judged by itself.
 
 A bit map of the benchmark's window hashes, of a fixed size whatever the
 benchmark's, spares the shuffle windows that cannot match. It only lets too
@@ -18,7 +19,7 @@ import re
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boreline.llm.rows import drop_stored, map_rows, table, text_of
@@ -29,6 +30,8 @@ WINDOW = 5
 LITERALS = 3
 #: Share of an item's windows, number of them (or all), and share of consistent slots.
 MIN_SHARE, MIN_WINDOWS, MIN_CONSISTENT = 0.5, 8, 0.75
+#: Widths of the bands of neighbouring alignments that may be one copy.
+DRIFTS = (4, 16)
 #: Bits of the map of window hashes: 2^22, half a megabyte.
 MAP_BITS = 22
 CACHE_ENTRIES = 100_000
@@ -123,36 +126,74 @@ def _windows(df: DataFrame, key: str, text: str, bits: bytes | None) -> DataFram
     return map_rows(rows, "key bigint, window bigint, at bigint, values array<string>", make)
 
 
+def _pairs(theirs: str, ours: str) -> Column:
+    return F.zip_with(theirs, ours, lambda x, y: F.struct(x.alias("theirs"), y.alias("ours")))
+
+
+def _consistent(pairs: DataFrame, *by: str) -> DataFrame:
+    """Share of the values of ``theirs`` and ``ours`` that map one to one; of two claims on a value the rarer is inconsistent."""
+    pairs = pairs.select(*by, "pair.theirs", "pair.ours").distinct().groupBy(*by)
+    return pairs.agg((F.least(F.count_distinct("theirs"), F.count_distinct("ours")) / F.count(F.lit(1))).alias("consistent"))
+
+
+def _regions(met: DataFrame, asked: DataFrame, sizes: DataFrame) -> DataFrame:
+    """One row per (document, item) that some region of the document leaks.
+
+    A copy of an item lies on one alignment (place in the document less place
+    in the item), or on neighbouring ones where its names have more or fewer
+    words. Values are compared inside a region, so other copies of the
+    template, and other places of a window in the item, do not contradict.
+    """
+    spots = met.join(asked.select("item", "window", "spots"), ["item", "window"]).select("key", "item", "window", "at", "values", F.explode("spots").alias("spot"))
+    shift = F.col("at") - F.col("spot.at")
+    bands = [F.struct(F.lit(0).alias("width"), shift.alias("band"))]
+    bands += [F.struct(F.lit(2 * width + half).alias("width"), F.floor((shift + half * width // 2) / width).alias("band")) for width in DRIFTS for half in (0, 1)]
+    spots = spots.select("key", "item", "window", "at", _pairs("spot.values", "values").alias("pairs"), F.explode(F.array(*bands)).alias("region"))
+    by = ["key", "item", "region"]
+    areas = spots.groupBy(*by).agg(F.count_distinct("window").alias("matched"), F.min("at").alias("first_word"), (F.max("at") + WINDOW - 1).alias("last_word"))
+    slots = _consistent(spots.select(*by, F.explode("pairs").alias("pair")), *by)
+    areas = areas.join(sizes, "item").where(_enough()).join(slots, by, "left").withColumn("consistent", F.coalesce("consistent", F.lit(1.0))).where(F.col("consistent") >= MIN_CONSISTENT)
+    best = F.max(F.struct("consistent", "matched", -F.col("region.width"), (-F.col("first_word")).alias("before"), "last_word", "windows")).alias("best")
+    return areas.groupBy("key", "item").agg(best).select("key", "item", "best.matched", "best.windows", "best.consistent", (-F.col("best.before")).alias("first_word"), "best.last_word")
+
+
+def _enough() -> Column:
+    return (F.col("matched") >= MIN_SHARE * F.col("windows")) & (F.col("matched") >= F.least(F.lit(MIN_WINDOWS), F.col("windows")))
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and item that it leaks.
 
-    Columns: the key, the item's key, ``matched`` and ``windows`` (distinct
-    windows found, and of the item), ``share``, ``consistent`` (share of slot
-    values that map one to one; 1 without slots), ``first_word`` and
-    ``last_word`` (place in the document). Null and empty texts, rows without
+    A document leaks an item as a whole, or in one of its regions (see
+    ``_regions``). Columns: the key, the item's key, ``matched`` and
+    ``windows`` (distinct windows found, and of the item), ``share``,
+    ``consistent`` (share of slot values that map one to one; 1 without
+    slots), ``first_word`` and ``last_word`` (place in the document). Null and empty texts, rows without
     a key and items with fewer than ``WINDOW`` words leak nothing. Repeated
     rows change nothing; rows of one key with different texts count as one
     document. Both tables may be empty; other columns are ignored.
     """
     spark = df.sparkSession
-    asked = stored(_windows(benchmark, item_key, item_text, None).groupBy("key", "window").agg(F.min("values").alias("asked")).withColumnRenamed("key", "item"), "benchmark-windows")
+    spots = _windows(benchmark, item_key, item_text, None).groupBy("key", "window").agg(F.collect_set(F.struct("at", "values")).alias("spots"), F.min("values").alias("asked"))
+    asked = stored(spots.withColumnRenamed("key", "item"), "benchmark-windows")
     places = asked.select(F.expr(f"shiftrightunsigned(window, {64 - MAP_BITS})").cast("int").alias("place")).distinct()
     marks = np.zeros(1 << MAP_BITS, bool)
     marks[[r.place for r in places.toLocalIterator()]] = True
     found = _windows(df, key, text, np.packbits(marks).tobytes())
-    met = stored(found.join(asked, "window").select("key", "item", "window", "at", "values", "asked"), "window-matches")
+    met = stored(found.join(asked.drop("spots"), "window").select("key", "item", "window", "at", "values", "asked"), "window-matches")
     sizes = asked.groupBy("item").agg(F.count(F.lit(1)).alias("windows"))
     counted = met.groupBy("key", "item", "window").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     counted = counted.groupBy("key", "item").agg(F.count(F.lit(1)).alias("matched"), F.min("first").alias("first_word"), (F.max("last") + WINDOW - 1).alias("last_word"))
-    # How often each pair of values stands in one slot; of two claims on a value the rarer is inconsistent.
-    pairs = met.where(F.size("asked") > 0).select("key", "item", F.explode(F.arrays_zip("asked", "values")).alias("pair"))
-    pairs = pairs.select("key", "item", F.col("pair.asked").alias("theirs"), F.col("pair.values").alias("ours")).distinct()
-    slots = pairs.groupBy("key", "item").agg(F.count(F.lit(1)).alias("pairs"), F.least(F.count_distinct("theirs"), F.count_distinct("ours")).alias("values"))
-    out = counted.join(sizes, "item").where((F.col("matched") >= MIN_SHARE * F.col("windows")) & (F.col("matched") >= F.least(F.lit(MIN_WINDOWS), F.col("windows"))))
-    out = out.join(slots, ["key", "item"], "left").withColumn("consistent", F.coalesce(F.col("values") / F.col("pairs"), F.lit(1.0))).where(F.col("consistent") >= MIN_CONSISTENT)
+    pairs = met.where(F.size("asked") > 0).select("key", "item", F.explode(_pairs("asked", "values")).alias("pair"))
+    judged = counted.join(sizes, "item").where(_enough()).join(_consistent(pairs, "key", "item"), ["key", "item"], "left").withColumn("consistent", F.coalesce("consistent", F.lit(1.0)))
+    judged = stored(judged, "judged")
+    whole = judged.where(F.col("consistent") >= MIN_CONSISTENT)
+    doubtful = judged.where(F.col("consistent") < MIN_CONSISTENT).select("key", "item")
+    parts = _regions(met.join(doubtful, ["key", "item"], "left_semi"), asked, sizes)
+    out = whole.select(*parts.columns).unionByName(parts)
     out = out.select(F.col("key").alias(key), F.col("item").alias(item_key), "matched", "windows", (F.col("matched") / F.col("windows")).alias("share"), "consistent", "first_word", "last_word")
     out = stored(out, "contaminated")
-    for used in (asked, met):
+    for used in (asked, met, judged):
         drop_stored(spark, used)
     return out
 

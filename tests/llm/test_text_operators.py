@@ -123,6 +123,19 @@ def test_templates(spark, docs, odd_rows):
     assert leaks(spark, docs, odd_rows, [(1, ITEM)]) == {} and leaks(spark, docs, rows, []) == {} and leaks(spark, docs, [], [(1, ITEM)]) == {}
 
 
+REPEATING = "Tom has 3 red balls and Anna has 4 red balls and Maria has 5 red balls and Peter has 6 red balls. How many red balls do they have in all?"
+
+
+def test_copies_are_judged_by_region(spark, docs):
+    other = ITEM.replace("12", "40").replace("Paris", "Rome").replace("20 dollars", "90 dollars").replace("5 apples", "7 apples").replace("3 dollars", "2 dollars").replace("Anna", "Maria")
+    third = ITEM.replace("12", "8").replace("Paris", "Oslo").replace("20 dollars", "11 dollars").replace("5 apples", "6 apples").replace("3 dollars", "9 dollars").replace("Anna", "Peter")
+    jumbled = REPEATING.replace("3 ", "7 ").replace("4 ", "7 ").replace("5 ", "7 ").replace("6 ", "7 ").replace("Anna", "Tom").replace("Maria", "Tom").replace("Peter", "Tom")
+    rows = [(1, REPEATING), (2, f"{ITEM} {other} {third}"), (3, "Text. " + REPEATING.replace("3", "8").replace("Anna", "Eva")), (4, jumbled), (5, "no item")]
+    got = leaks(spark, docs, rows, [(1, ITEM), (2, other), (9, REPEATING)])
+    assert set(got) == {(1, 9), (2, 1), (2, 2), (3, 9)}
+    assert got[1, 9].share == 1.0 and got[1, 9].consistent == 1.0
+
+
 def test_contained_items_are_found(spark, sf_dir):
     """Every document that holds an item's text, and no other."""
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
