@@ -136,6 +136,16 @@ def test_copies_are_judged_by_region(spark, docs):
     assert got[1, 9].share == 1.0 and got[1, 9].consistent == 1.0
 
 
+def test_short_items_and_long_runs(spark, docs):
+    question = "What colour do most people see when they look up there"
+    tiny, names = "Why so blue?", "Tom 3 Anna 4 Eva 5 Max 6 Ida 7"
+    words = [f"{a}{b}o" for a in "bcdfghjklmnpqrs" for b in ("a", "e", "i", "ou", "ay", "ee", "ar", "or", "an", "en", "in", "on", "ul", "al")][:200]
+    rows = [(1, f"A heading {question}"), (2, f"A heading\n{question}"), (3, question.replace("people", "animals")), (4, "they asked why so blue and left"), (5, f"list {names} end"), (6, "Before. " + " ".join(words[60:150])), (7, "What colour do most birds have"), (8, " ".join(words[60:80])), (9, "so why blue"), (10, "Ida 3 Max 4 Eva 5 Anna 6 Tom 7")]
+    got = leaks(spark, docs, rows, [(1, question), (2, tiny), (3, names), (4, " ".join(words))])
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 4)}
+    assert (got[4, 2].first_word, got[4, 2].last_word) == (2, 4) and got[1, 1].share == 1.0
+
+
 def test_contained_items_are_found(spark, sf_dir):
     """Every document that holds an item's text, and no other."""
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
