@@ -178,3 +178,10 @@ def test_line_templates(spark, docs, odd_rows):
     assert linededup.without_recurring_lines(docs([])).count() == 0
     plan = linededup.without_recurring_lines(docs(rows))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_frequent_values_are_fields_too(spark, docs):
+    names = [chr(97 + k) + "ob" for k in range(20)]
+    rows = [(20 * i + j, f"Login accepted for user {a} from host {b}x\n{a}{b}") for i, a in enumerate(names) for j, b in enumerate(names)]
+    got = linededup.without_recurring_lines(docs(rows)).collect()
+    assert len(got) == 400 and all(r.n_dropped == 1 and " " not in r.text for r in got)
