@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, substring, toxicity, urlfilter, warc
+from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, substring, tokenids, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_linededup": linededup.op9_linededup,
     "op10_urlfilter": urlfilter.op10_urlfilter,
+    "op11_tokenids": tokenids.op11_tokenids,
 }
 
 ORACLE: dict[str, str] = {
