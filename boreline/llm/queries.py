@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, substring, tokenids, toxicity, urlfilter, warc
+from boreline.llm import bpe, decontam, fingerprint, licenses, linededup, minhash, repair, resample, substring, tokenids, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_linededup": linededup.op9_linededup,
     "op10_urlfilter": urlfilter.op10_urlfilter,
     "op11_tokenids": tokenids.op11_tokenids,
+    "op12_resample": resample.op12_resample,
+    "op13_repair": repair.op13_repair,
 }
 
 ORACLE: dict[str, str] = {
@@ -27,4 +29,6 @@ ORACLE: dict[str, str] = {
     "op4_licenses": licenses.ORACLE,
     "op9_linededup": linededup.ORACLE,
     "op10_urlfilter": urlfilter.ORACLE,
+    "op12_resample": resample.ORACLE,
+    "op13_repair": repair.ORACLE,
 }
