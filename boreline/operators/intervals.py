@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import slot
@@ -81,6 +81,20 @@ def overlap_counts(windows: DataFrame, group: str, ident: str, start: str, end:
     return counted.unionByName(odd)
 
 
+def merged_intervals(windows: DataFrame, group: str, start: str, end: str) -> DataFrame:
+    """The stretches of time that a group's windows cover: what overlaps or touches becomes one.
+
+    A point lies in exactly one of them, or in none. Windows with a null or
+    reversed end cover nothing. A group's windows, not its readings, are put
+    in order by one task.
+    """
+    line = Window.partitionBy(group).orderBy(start, end)
+    reach = F.max(end).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    w = windows.where(F.col(start) <= F.col(end)).select(group, start, end).distinct()
+    w = w.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1)).withColumn("_stretch", F.sum("_new").over(line))
+    return w.groupBy(group, "_stretch").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_stretch")
+
+
 def overlapping(windows: DataFrame, start: str, end: str, from_time, to_time) -> DataFrame:
     """Windows that touch the given range; both ends are inclusive."""
     return windows.where((F.col(start) <= to_time) & (F.col(end) >= from_time))

@@ -221,12 +221,18 @@ def _(spark, d):
 
 
 def _bounds(w: DataFrame) -> DataFrame:
-    """The range of every stage; a chart shows each with its context."""
+    """The range of every stage; a chart shows all of them with their context, each reading once."""
     return w.select("name", F.col("stage_start_ts").alias("start_time"), F.col("stage_end_ts").alias("end_time"))
 
 
+# Every stage's own range, for what is shown; ranges that meet as one, for the ends that are pinned.
 BOUNDS_SQL = """
-bnd AS (SELECT name, stage_start_ts - INTERVAL 720 MINUTE AS f, stage_end_ts + INTERVAL 720 MINUTE AS t FROM win)"""
+rng AS (SELECT name, stage_start_ts - INTERVAL 720 MINUTE AS f, stage_end_ts + INTERVAL 720 MINUTE AS t FROM win),
+bnd AS (
+  SELECT a.name, a.f, MIN(z.t) AS t
+  FROM (SELECT DISTINCT name, f FROM rng x WHERE NOT EXISTS (SELECT 1 FROM rng y WHERE y.name = x.name AND y.f < x.f AND y.t >= x.f)) a
+  JOIN (SELECT DISTINCT name, t FROM rng x WHERE NOT EXISTS (SELECT 1 FROM rng y WHERE y.name = x.name AND y.t > x.t AND y.f <= x.t)) z ON z.name = a.name AND z.t >= a.f
+  GROUP BY 1, 2)"""
 ANCHOR_SQL = f"""
 SELECT name || ':context_start:' || {text('f')}, name, f, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 0.0, CAST(0 AS BIGINT) FROM bnd
 UNION ALL SELECT name || ':context_end:' || {text('t')}, name, t, NULL, NULL, NULL, NULL, 0.0, 0 FROM bnd"""
@@ -235,7 +241,7 @@ UNION ALL SELECT name || ':context_end:' || {text('t')}, name, t, NULL, NULL, NU
 @bound("context_window", sql("stg win", f"""
 SELECT t.name || ':' || {text('t.record_ts')} AS telemetry_point_id, t.name AS well_name, t.record_ts AS "timestamp", CAST(w.stage_num_td AS DOUBLE) AS stage_num,
        t.rate_slurry, t.press_mainline, t.prop_conc_inline AS selected_concentration, CAST(NULL AS DOUBLE) AS context_anchor, CAST(1 AS BIGINT) AS records_in_bucket
-FROM tel t JOIN bnd b ON b.name = t.name AND t.record_ts BETWEEN b.f AND b.t
+FROM (SELECT * FROM tel t WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = t.name AND t.record_ts BETWEEN b.f AND b.t)) t
 LEFT JOIN win w ON w.name = t.name AND t.record_ts BETWEEN w.stage_start_ts AND w.stage_end_ts
 UNION ALL {ANCHOR_SQL}""", BOUNDS_SQL))
 def _(spark, d):
@@ -291,11 +297,11 @@ SELECT * FROM (
 SELECT name || ':' || {text('bucket_ts')} AS telemetry_point_id, name AS well_name, bucket_ts AS "timestamp", CAST(NULL AS DOUBLE) AS stage_num,
        {r('AVG(rate_slurry)')} AS rate_slurry, {r('AVG(press_mainline)')} AS press_mainline, {r('AVG(prop_conc_blend_denso)')} AS selected_concentration,
        CAST(NULL AS DOUBLE) AS context_anchor, COUNT(*) AS records_in_bucket
-FROM (SELECT t.*, time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, record_ts, TIMESTAMP '1970-01-01') AS bucket_ts FROM tel t JOIN bnd b ON b.name = t.name AND t.record_ts BETWEEN b.f AND b.t)
+FROM (SELECT t.*, time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, record_ts, TIMESTAMP '1970-01-01') AS bucket_ts FROM tel t WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = t.name AND t.record_ts BETWEEN b.f AND b.t))
 GROUP BY name, bucket_ts
 UNION ALL {ANCHOR_SQL}
 UNION ALL SELECT w.name || ':stage_break:' || {text('stage_end_ts + INTERVAL 1 MILLISECOND')}, w.name, stage_end_ts + INTERVAL 1 MILLISECOND, NULL, NULL, NULL, NULL, NULL, 0
-FROM win w JOIN bnd b ON b.name = w.name AND w.stage_end_ts >= b.f AND w.stage_end_ts < b.t)""", BOUNDS_SQL))
+FROM win w WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = w.name AND w.stage_end_ts >= b.f AND w.stage_end_ts < b.t))""", BOUNDS_SQL))
 def _(spark, d):
     w = tv.stage_index(spark, d, with_site=False)
     out = reports.pad_chart(tv.readings(spark, d), w, _bounds(w), 720, None, requested="rollup_120s", bucket_seconds=BUCKET_SECONDS)
@@ -1132,9 +1138,9 @@ def _(spark, d):
 
 @bound("segmentation_chart", sql("win hidx", f"""
 SELECT t.name || ':' || {text('t.record_ts')} AS telemetry_point_id, t.name AS well_name, t.record_ts AS "timestamp", t.rate_slurry, t.press_mainline, t.prop_conc_blend_auger AS selected_concentration,
-       CAST(NULL AS DOUBLE) AS context_anchor, CAST(1 AS BIGINT) AS records_in_bucket FROM tel t JOIN bnd b ON b.name = t.name AND t.record_ts >= b.f AND t.record_ts < b.t
+       CAST(NULL AS DOUBLE) AS context_anchor, CAST(1 AS BIGINT) AS records_in_bucket FROM tel t WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = t.name AND t.record_ts >= b.f AND t.record_ts < b.t)
 UNION ALL SELECT x.name || ':line_break:' || {text('x.ts + INTERVAL 1 MILLISECOND')}, x.name, x.ts + INTERVAL 1 MILLISECOND, NULL, NULL, NULL, NULL, 0
-FROM (SELECT name, stage_end_ts AS ts FROM win UNION SELECT name, stage_end_ts FROM hidx) x JOIN bnd b ON b.name = x.name AND x.ts >= b.f AND x.ts < b.t
+FROM (SELECT name, stage_end_ts AS ts FROM win UNION SELECT name, stage_end_ts FROM hidx) x WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = x.name AND x.ts >= b.f AND x.ts < b.t)
 UNION ALL SELECT name || ':context_start:' || {text('f')}, name, f, NULL, NULL, NULL, 0.0, 0 FROM bnd UNION ALL SELECT name || ':context_end:' || {text('t')}, name, t, NULL, NULL, NULL, 0.0, 0 FROM bnd""", BOUNDS_SQL))
 def _(spark, d):
     w = tv.stage_index(spark, d, with_site=False)
@@ -1144,7 +1150,7 @@ def _(spark, d):
 
 @bound("history_chart", sql("hist win", f"""
 SELECT h.name || ':' || CAST(stage_num AS VARCHAR) || ':' || {text('datetime_fmt')} AS telemetry_point_id, h.name AS well_name, datetime_fmt AS "timestamp", stage_num, rate_slurry, press_mainline,
-       prop_conc_blend_denso, records_in_bucket FROM hist h JOIN bnd b ON b.name = h.name AND datetime_fmt BETWEEN b.f AND b.t""", BOUNDS_SQL))
+       prop_conc_blend_denso, records_in_bucket FROM hist h WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = h.name AND datetime_fmt BETWEEN b.f AND b.t)""", BOUNDS_SQL))
 def _(spark, d):
     return reports.history_chart(tv.history(spark, d), _bounds(tv.stage_index(spark, d, with_site=False)), 720)
 
@@ -1226,13 +1232,13 @@ def _(spark, d):
 
 BREAK_SQL = f"""
 SELECT w.name || ':stage_break:' || {text('stage_end_ts + INTERVAL 1 MILLISECOND')}, w.name, stage_end_ts + INTERVAL 1 MILLISECOND, NULL, NULL, NULL, NULL, NULL, 0
-FROM win w JOIN bnd b ON b.name = w.name AND w.stage_end_ts >= b.f AND w.stage_end_ts < b.t"""
+FROM win w WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = w.name AND w.stage_end_ts >= b.f AND w.stage_end_ts < b.t)"""
 
 
 @bound("pad_chart_raw", sql("stg win", f"""
 SELECT t.name || ':' || {text('t.record_ts')} AS telemetry_point_id, t.name AS well_name, t.record_ts AS "timestamp", CAST(w.stage_num_td AS DOUBLE) AS stage_num,
        t.rate_slurry, t.press_mainline, t.prop_conc_target AS selected_concentration, CAST(NULL AS DOUBLE) AS context_anchor, CAST(1 AS BIGINT) AS records_in_bucket
-FROM tel t JOIN bnd b ON b.name = t.name AND t.record_ts BETWEEN b.f AND b.t
+FROM (SELECT * FROM tel t WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = t.name AND t.record_ts BETWEEN b.f AND b.t)) t
 LEFT JOIN win w ON w.name = t.name AND t.record_ts BETWEEN w.stage_start_ts AND w.stage_end_ts
 UNION ALL {ANCHOR_SQL} UNION ALL {BREAK_SQL}""", BOUNDS_SQL))
 def _(spark, d):
@@ -1242,9 +1248,9 @@ def _(spark, d):
 
 @bound("segmentation_rollup_chart", sql("win hidx", f"""
 SELECT t.name || ':' || {text('t.bucket_ts')} AS telemetry_point_id, t.name AS well_name, t.bucket_ts AS "timestamp", rate_slurry_avg AS rate_slurry, press_mainline_avg AS press_mainline,
-       prop_conc_inline_avg AS selected_concentration, CAST(NULL AS DOUBLE) AS context_anchor, records_in_bucket FROM roll t JOIN bnd b ON b.name = t.name AND t.bucket_ts >= b.f AND t.bucket_ts < b.t
+       prop_conc_inline_avg AS selected_concentration, CAST(NULL AS DOUBLE) AS context_anchor, records_in_bucket FROM roll t WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = t.name AND t.bucket_ts >= b.f AND t.bucket_ts < b.t)
 UNION ALL SELECT x.name || ':line_break:' || {text('x.ts + INTERVAL 1 MILLISECOND')}, x.name, x.ts + INTERVAL 1 MILLISECOND, NULL, NULL, NULL, NULL, 0
-FROM (SELECT name, stage_end_ts AS ts FROM win UNION SELECT name, stage_end_ts FROM hidx) x JOIN bnd b ON b.name = x.name AND x.ts >= b.f AND x.ts < b.t
+FROM (SELECT name, stage_end_ts AS ts FROM win UNION SELECT name, stage_end_ts FROM hidx) x WHERE EXISTS (SELECT 1 FROM rng b WHERE b.name = x.name AND x.ts >= b.f AND x.ts < b.t)
 UNION ALL SELECT name || ':context_start:' || {text('f')}, name, f, NULL, NULL, NULL, 0.0, 0 FROM bnd UNION ALL SELECT name || ':context_end:' || {text('t')}, name, t, NULL, NULL, NULL, 0.0, 0 FROM bnd""",
     BOUNDS_SQL, "\nroll AS (" + _rollup_sql("tel") + ")"))
 def _(spark, d):

@@ -18,7 +18,7 @@ from ..functions.display import (
     PAD_ANNOTATION_COLORS, PHASE_COLORS, PHASE_OTHER, driver_title, event_title, lookup,
 )
 from ..functions.numbers import minutes_interval
-from ..operators.intervals import interval_join, overlapping
+from ..operators.intervals import interval_join, merged_intervals, overlapping
 from ..operators.islands import label_islands
 from ..operators.joins import attach_labels
 from ..operators.ordered import SLOT_SECONDS
@@ -142,13 +142,13 @@ CHART = ["telemetry_point_id", "well_name", "timestamp", "stage_num", "rate_slur
 
 
 def widened(bounds: DataFrame, context_minutes: float) -> DataFrame:
-    """Bounds of wells or of their stages, widened on both sides."""
+    """Bounds of wells or of their stages, widened on both sides; those of a well that meet are one, so no reading is shown twice."""
     pad = minutes_interval(context_minutes)
-    return bounds.select("name", (F.col("start_time") - pad).alias("_from"), (F.col("end_time") + pad).alias("_to"))
+    return merged_intervals(bounds.select("name", (F.col("start_time") - pad).alias("_from"), (F.col("end_time") + pad).alias("_to")), "name", "_from", "_to")
 
 
 def _in_bounds(rows: DataFrame, bounds: DataFrame, ts: str, half_open: bool = False) -> DataFrame:
-    """Rows within bounds of their well, once for each that holds them.
+    """Rows within bounds of their well, which do not overlap.
 
     The overall range is looked up first (one row) and filtered on as
     literals, so the scan skips files and row groups outside it; the join runs
@@ -162,7 +162,7 @@ def _in_bounds(rows: DataFrame, bounds: DataFrame, ts: str, half_open: bool = Fa
 
 
 def anchors(bounds: DataFrame) -> DataFrame:
-    """Two rows per bounds that pin the chart's ends."""
+    """Two rows per stretch of time that pin the chart's ends."""
     ends = F.explode(F.array(F.struct(F.lit("context_start").alias("w"), F.col("_from").alias("t")), F.struct(F.lit("context_end").alias("w"), F.col("_to").alias("t"))))
     e = bounds.select("name", ends.alias("_e"))
     return e.select(
