@@ -26,11 +26,13 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     selector = np.zeros(n, np.int8)
+    padded = np.concatenate((values, np.zeros(SELECTORS[0][0], np.uint64)))
     fit = np.arange(n)
     for k in range(len(SELECTORS), 0, -1):  # from few wide numbers to many narrow ones: what fits one fits those before it
         count, bits = SELECTORS[k - 1]
-        wide = values >= np.uint64(1 << bits)
-        if wide.any():
+        if len(fit) * count < n:  # few places are left: look at those only
+            fit = fit[(padded[fit[:, None] + np.arange(count)] < np.uint64(1 << bits)).all(axis=1)]
+        elif (wide := values >= np.uint64(1 << bits)).any():
             before = np.zeros(n + count, np.int32)
             np.cumsum(wide, out=before[1 : n + 1])
             before[n + 1 :] = before[n]
@@ -45,7 +47,6 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts = np.array(starts)
     chosen = selector[starts]
     words = chosen.astype(np.uint64) << _HIGH
-    padded = np.concatenate((values, np.zeros(SELECTORS[0][0], np.uint64)))
     for k in np.unique(chosen):
         rows = np.nonzero(chosen == k)[0]
         if k == 0:

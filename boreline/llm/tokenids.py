@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boreline.llm import simple8b
-from boreline.llm.bpe import FIND, byte_alphabet, default_vocabulary
+from boreline.llm.bpe import default_vocabulary
 from boreline.llm.rows import STEP, table, text_of
 from boreline.session import stored, work_path
 
@@ -43,76 +43,90 @@ BLOCK_IDS = 1 << 16
 #: A file is closed when it has so many ids or documents; its footer is held in memory until then.
 FILE_IDS, FILE_DOCS = 1 << 25, 200_000
 END_ID = 2
-#: Units and pieces kept with their ids in one Python worker; beyond it new ones are encoded each time.
-CACHED_UNITS, CACHED_PIECES = 600_000, 300_000
-#: Longer units are not kept.
-LONG_UNIT = 256
+#: Units, or characters of units, that make a generation full, and units that are encoded by one call.
+CACHED_UNITS, CACHED_CHARS, JOINED = 250_000, 8 << 20, 2_000
 TRAILER = struct.Struct("<6q8s")
 
 SPACES = re.compile(r" \s|\s ").search
 #: Between two characters that are no white space, a single space always begins a pre-token.
 CUTS = re.compile(r"(?<=\S) (?=\S)").split
-#: Characters whose classes no version of Unicode has changed: their pieces can be told without the library.
-SETTLED = re.compile(r"[\x00-ɏ]*").fullmatch
 
 
-class Pieces(dict):
-    """Packed ids of the pre-tokens seen, by the library."""
+class Units:
+    """Ids of texts by the library, which is asked once for what stands between two single spaces.
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.stand_ins = {b: c for c, b in byte_alphabet().items()}
-
-    def __missing__(self, piece: str) -> bytes:
-        # A pre-token needs the model only, which reads stand-ins of bytes.
-        found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.stand_ins))
-        packed = array("I", [t.id for t in found]).tobytes()
-        if len(self) < CACHED_PIECES and len(piece) <= LONG_UNIT:
-            self[piece] = packed
-        return packed
-
-    def ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-
-class Units(dict):
-    """Packed ids of what stands between two single spaces, with the space before it."""
+    What it says is kept in a young and an old generation; when the young one
+    is full, the old one is forgotten.
+    """
 
     def __init__(self, content: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        tokenizer = Tokenizer.from_str(content)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        self.pieces = Pieces(tokenizer)
+        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         spec = json.loads(content)
         pre = spec.get("pre_tokenizer") or {}
-        self.added = [a["content"] for a in spec.get("added_tokens", ())]
+        added = {a["id"]: a["content"] for a in spec.get("added_tokens", ())}
         loose = any(a.get(k) for a in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip"))
-        #: Whether a text may be cut at spaces: only for files whose pre-tokens are known to end there.
-        self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not loose and not any(re.search(r"\s", a) for a in self.added)
-
-    def __missing__(self, unit: str) -> bytes:
-        packed = self.whole(" " + unit)
-        if len(self) < CACHED_UNITS and len(unit) <= LONG_UNIT:
-            self[unit] = packed
-        return packed
-
-    def whole(self, text: str) -> bytes:
-        if SETTLED(text) and not any(a in text for a in self.added):
-            return b"".join(map(self.pieces.__getitem__, FIND(text)))
-        return self.pieces.ids(text)
-
-    def ids(self, text: str) -> bytes:
-        """The ids of a text as unsigned 32-bit integers."""
+        #: Whether a text may be cut at spaces: only for files whose pre-tokens are known to begin there.
+        self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not loose and not any(re.search(r"\s", a) for a in added.values())
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Bytes of each token: one for each character of its name in a byte-level vocabulary.
+        self.sizes = np.zeros(max(names.values()) + 1, np.int64)
+        for name, i in names.items():
+            self.sizes[i] = len(added[i].encode()) if i in added else len(name)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.chars = 0
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as unsigned 32-bit integers."""
         if not self.cuts:
-            return self.pieces.ids(text)
-        first, *others = CUTS(text) if SPACES(text) else text.split(" ")
-        if not first and others:  # the text begins with a space
-            first, others = " " + others[0], others[1:]
-        return self.whole(first) + b"".join(map(self.__getitem__, others))
+            return self._library(texts)
+        firsts, others = [], []
+        for text in texts:
+            first, *rest = CUTS(text) if SPACES(text) else text.split(" ")
+            if not first and rest:  # the text begins with a space
+                first, rest = " " + rest[0], rest[1:]
+            firsts.append(first)
+            others.append(rest)
+        self._learn(set().union(*others))
+        get = self.young.__getitem__
+        return [first + b"".join(map(get, rest)) for first, rest in zip(self._library(firsts), others, strict=True)]
+
+    def _learn(self, units: set[str]) -> None:
+        """Afterwards the young generation has all these units."""
+        if len(self.young) >= CACHED_UNITS or self.chars >= CACHED_CHARS:
+            self.old, self.young, self.chars = self.young, {}, 0
+        young, old = self.young, self.old
+        new = [u for u in units if u not in young]
+        if old:
+            young.update((u, old[u]) for u in new if u in old)
+            new = [u for u in new if u not in old]
+        self.chars += sum(map(len, new))
+        # A unit with white space at its ends, or spaces within, would be cut elsewhere if it were joined with others.
+        alone = [u for u in new if not u or " " in u or u[0].isspace() or u[-1].isspace()]
+        young.update(zip(alone, self._library([" " + u for u in alone]), strict=True))
+        joined = list(set(new).difference(alone)) if alone else new
+        for k in range(0, len(joined), JOINED):
+            self._joined(joined[k : k + JOINED])
+
+    def _joined(self, units: list[str]) -> None:
+        """Many units by one call: each begins with a space, where a pre-token begins; the bytes of the tokens tell them apart."""
+        text = " " + " ".join(units)
+        ids = np.frombuffer(self._library([text])[0], "<u4")
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
+        reached = np.cumsum(self.sizes[ids])
+        cuts = np.searchsorted(reached, ends) + 1
+        if len(ends) != len(units) or cuts[-1] != len(ids) or (reached[cuts - 1] != ends).any():
+            raise ValueError("the vocabulary's tokens do not cover their texts byte by byte")
+        packed, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        self.young.update(zip(units, [packed[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
 
 
 @lru_cache(maxsize=1)
@@ -286,10 +300,10 @@ def write_ids(df: DataFrame, vocabulary_path: str, folder: str, key: str = "doc_
         for batch in batches:
             for start in range(0, batch.num_rows, STEP):
                 part = batch.slice(start, STEP)
-                for doc, value in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), units.of(part.column(1).to_pylist()), strict=True):
                     if writer is None:
                         writer = Writer(f"{name}-{len(done):03d}-{uuid.uuid4().hex[:8]}.s8b")
-                    writer.add(doc, units.ids(value) + end)
+                    writer.add(doc, ids + end)
                     if writer.full():
                         done.append(writer.close())
                         writer = None

@@ -49,7 +49,15 @@ def units():
 @given(st.lists(st.sampled_from([*" \n\t\x1c\x85\xa0aé'sZ1.,🙂日<|>", "<|endoftext|>", " the", "  "]), max_size=60).map("".join))
 @settings(max_examples=300, deadline=None)
 def test_units_are_encoded_like_whole_texts(library, units, text):
-    assert np.frombuffer(units.ids(text), "<u4").tolist() == library(text)
+    texts = [text, "x" + text, text[::-1]]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in units.of(texts)] == [library(t) for t in texts]
+
+
+def test_forgotten_units_do_not_change_ids(library, units, monkeypatch):
+    monkeypatch.setattr(tokenids, "CACHED_UNITS", 5)
+    for k in range(6):
+        text = " ".join(f"word{j} the" for j in range(k, k + 6))
+        assert np.frombuffer(units.of([text])[0], "<u4").tolist() == library(text)
 
 
 def test_a_file_is_read_by_range(tmp_path):
