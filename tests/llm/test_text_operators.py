@@ -185,3 +185,34 @@ def test_frequent_values_are_fields_too(spark, docs):
     rows = [(20 * i + j, f"Login accepted for user {a} from host {b}x\n{a}{b}") for i, a in enumerate(names) for j, b in enumerate(names)]
     got = linededup.without_recurring_lines(docs(rows)).collect()
     assert len(got) == 400 and all(r.n_dropped == 1 and " " not in r.text for r in got)
+
+
+@pytest.mark.parametrize("n", [99, 110, 1_000])
+def test_fields_do_not_depend_on_the_number_of_documents(spark, docs, n):
+    names = [f"{c}ob" for c in "bcdfghjkl"]
+    rows = [(k, f"Login accepted for user {names[k % 9]} host {names[k // 9 % 9]} port {names[k // 81 % 9]}\nown{'x' * k} words{'y' * k}") for k in range(n)]
+    assert all(r.n_dropped == 1 for r in linededup.without_recurring_lines(docs(rows)).collect())
+
+
+def test_long_lines_recur_by_their_wording(spark, docs):
+    notice = "please note that " * 8 + "until 2024"
+    rows = [(k, f"{notice.replace('2024', str(2000 + k))}\n{'x' * k} own{'y' * k}") for k in range(50)] + [(90, notice + " and more\nown z text")]
+    assert {(r.doc_id, r.n_dropped) for r in linededup.without_recurring_lines(docs(rows)).collect()} == {*((k, 1) for k in range(50)), (90, 0)}
+
+
+def test_documents_of_recurring_lines_keep_the_first_of_each(spark, docs):
+    two = "the first line of all\n\nand a second one"
+    log = "a line of a log\n" * 3_000 + "its usual end"
+    rows = [(k, two) for k in range(50, 0, -1)] + [(100 + k, log) for k in range(11)] + [(200, "the first line of all\nbut also other words")] + [(None, two)] * 2
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in linededup.without_recurring_lines(docs(rows)).collect()}
+    assert got.pop(1) == (2, 0, two) and got.pop(200) == (2, 1, "but also other words")
+    assert got.pop(100) == (3_001, 2_999, "a line of a log\nits usual end")
+    assert all(v == ((2, 2, "") if k is None or k < 100 else (3_001, 3_001, "")) for k, v in got.items()) and len(got) == 60
+    whole = linededup.without_recurring_lines(docs(rows), keep_copies=True)
+    assert [(r.doc_id, r.n_dropped) for r in whole.where("n_dropped > 0").collect()] == [(200, 1)]
+
+
+def test_very_many_dropped_lines(spark, docs):
+    rows = [(k, "\n".join(f"line {'abc'[j % 3]} {j % 977}" for j in range(60_000)) + f"\nown {'x' * k} end") for k in range(10)]
+    got = linededup.without_recurring_lines(docs(rows)).collect()
+    assert {(r.n_lines, r.n_dropped) for r in got} == {(60_001, 60_000)} and {r.text for r in got} == {f"own {'x' * k} end" for k in range(10)}
