@@ -23,19 +23,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines whose template recurs; ``n_chars`` follows."""
-    out = linededup.without_recurring_lines(docs)
+    """Every document, without the lines that recur; ``n_chars`` follows. Documents of such lines alone are whole copies, which the next stage sees to."""
+    out = linededup.without_recurring_lines(docs, keep_copies=True)
     changed = F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", changed).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group, and all without an id."""
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("again"))
+    kept = stored(kept, "kept")
+    # Rows of a key that stands alone need no second look; of the others, one of those that are equal in text stays.
+    alone = docs.join(kept.where("not again"), "doc_id", "left_semi")
     copy = fresh(docs, "copy")
     first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang"))
-    named = docs.join(stored(kept, "kept"), "doc_id", "left_semi").withColumn(copy, first).where(F.col(copy) == 1)
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null").select(*docs.columns))
+    named = docs.join(kept.where("again"), "doc_id", "left_semi").withColumn(copy, first).where(F.col(copy) == 1)
+    return alone.unionByName(named.drop(copy)).unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
