@@ -40,14 +40,14 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         selector[fit] = k
         if not len(fit):
             break
-    steps, at, starts = HELD[selector].tolist(), 0, []
+    steps, at, starts = HELD[selector].astype(np.uint8).tobytes(), 0, []
     while at < n:
         starts.append(at)
         at += steps[at]
     starts = np.array(starts)
     chosen = selector[starts]
     words = chosen.astype(np.uint64) << _HIGH
-    for k in np.unique(chosen):
+    for k in np.flatnonzero(np.bincount(chosen, minlength=16)):
         rows = np.nonzero(chosen == k)[0]
         if k == 0:
             words[rows] = np.arange(len(rows), dtype=np.uint64)
@@ -65,7 +65,7 @@ def decode(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     held = HELD[selector]
     starts = np.cumsum(held) - held
     out = np.zeros(int(held.sum()) if len(held) else 0, np.uint64)
-    for k in np.unique(selector):
+    for k in np.flatnonzero(np.bincount(selector, minlength=16)):
         rows = np.nonzero(selector == k)[0]
         body = words[rows] & LOW60
         if k == 0:
