@@ -1,15 +1,20 @@
-"""Row labels from a user function, and the values the function is given.
+"""Row labels from a user's rule, and the values the rule is given.
 
-The label rules themselves belong to the caller: this module sorts a stage's
-rows, hands them over and collects one label per row.
+The rules themselves belong to the caller. A rule that looks at one row is a
+Column; one that needs the rows before it is a ``Fold``, which gets a stage in
+parts and carries what it must remember; one that needs a whole stage at once
+is a function of its sorted rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from abc import ABC, abstractmethod
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +27,29 @@ from .stages import sampling_gaps
 DESIGN_MARKERS = ["MID_TRIAL", "MID"]
 LOW_MARKERS = ["LOW", "PRE_LOW"]
 
-Labeller = Callable[[pd.DataFrame], pd.Series]
+@dataclass(frozen=True)
+class Trimmed:
+    """Labels of the rows from position ``start`` to ``end`` of what the labeller was given; the other rows are not written."""
+
+    labels: Sequence
+    start: int
+    end: int
+
+
+class Fold(ABC):
+    """A labeller that reads a stage once, in order, and holds no more of it than its state."""
+
+    @abstractmethod
+    def start(self) -> Any:
+        """The state before a stage's first row."""
+
+    @abstractmethod
+    def step(self, state: Any, rows: pd.DataFrame) -> tuple[Any, Any]:
+        """Labels of the next rows of the stage (one each, ``Trimmed``, or None for none of them) and the state behind them."""
+
+
+Labels = Sequence | pd.Series | Trimmed | None
+Labeller = Callable[[pd.DataFrame], Labels] | Fold | Column
 
 
 def design_medians(markers: DataFrame) -> DataFrame:
@@ -48,60 +75,120 @@ def sampling_step(df: DataFrame, ts: str = "record_ts", slot_seconds: float = SL
     return df.select(*STAGE).distinct().join(steps, STAGE, "left").select(*STAGE, F.coalesce("_step", F.lit(1.0)).alias("sampling_step"))
 
 
+def _labelled(part: pd.DataFrame, labels: Labels) -> pd.DataFrame | None:
+    """The rows that got labels, null as ``NA``."""
+    if labels is None:
+        return None
+    if isinstance(labels, Trimmed):
+        if not 0 <= labels.start <= labels.end < len(part):
+            raise ValueError(f"labels of the rows {labels.start} to {labels.end} of {len(part)}")
+        part, labels = part.iloc[labels.start : labels.end + 1], labels.labels
+    labels = pd.Series(labels)
+    if len(labels) != len(part):
+        raise ValueError("a labeller must return one label per row")
+    return part.assign(substage=labels.astype(object).where(labels.notna(), "NA").astype(str).to_numpy())
+
+
+def _parts(batches: Iterator[pd.DataFrame], group: list[str]) -> Iterator[tuple[pd.DataFrame, bool]]:
+    """The runs of one group in each batch, and whether a run begins its group."""
+    last = None
+    for batch in batches:
+        if batch.empty:
+            continue
+        keys = batch[group]
+        changed = ~((keys == keys.shift()) | (keys.isna() & keys.shift().isna())).all(axis=1).to_numpy()
+        first = tuple(None if pd.isna(v) else v for v in keys.iloc[0])
+        changed[0] = True
+        starts = changed.nonzero()[0].tolist()
+        for start, end in zip(starts, [*starts[1:], len(batch)]):
+            yield batch.iloc[start:end].reset_index(drop=True), start > 0 or first != last
+        last = tuple(None if pd.isna(v) else v for v in keys.iloc[-1])
+
+
 def label_stages(df: DataFrame, labeller: Labeller, context_rows: int = 0, ts: str = TIME, slot_seconds: float | None = None) -> DataFrame:
-    """Call ``labeller`` on sorted rows and add its labels as ``substage``; null becomes ``NA``.
-
-    By default it is called once for each stage, with all of its rows. A
-    labeller that is declared local, one whose label of a row depends on
-    ``context_rows`` rows on either side only, may be given ``slot_seconds``:
-    a stage is then handed over in time slots, each with those rows around it,
-    so a very long stage is labelled by many tasks. The labeller returns one
-    label per row it is given; labels of context rows are discarded. Spark
-    sorts the rows of a task, so stages reach Python in order, many to an
-    Arrow batch.
+    """Add the labels of a rule as ``substage``; null becomes ``NA``.
+
+    A Column is computed where the rows are. Other labellers get a stage's
+    rows in order; Spark deals stages out and sorts the rows of a task, so they
+    reach Python many to an Arrow batch. A ``Fold`` gets them as the batches
+    come and nothing is held back, so a stage may be longer than a task's
+    memory. A function is called once for each stage, with all of its rows;
+    if it is declared local, one whose label of a row depends on
+    ``context_rows`` rows on either side only, it may be given
+    ``slot_seconds``: a stage is then handed over in time slots, each with
+    those rows around it, and labels of context rows are discarded.
+
+    A labeller returns one label per row it is given, ``Trimmed`` labels of
+    some of them (then only those rows are returned), or None: a stage
+    without labels is left out. A local function of slots labels every row.
     """
+    own = df.drop("substage")
+    if isinstance(labeller, Column):
+        return own.withColumn("substage", F.coalesce(labeller.cast("string"), F.lit("NA")))
+    schema = T.StructType([*own.schema.fields, T.StructField("substage", T.StringType())])
+    names = schema.names
+    if isinstance(labeller, Fold):
+
+        def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            state = None
+            for part, begins in _parts(batches, STAGE):
+                if begins:
+                    state = labeller.start()
+                labels, state = labeller.step(state, part)
+                done = _labelled(part, labels)
+                if done is not None:
+                    yield done[names]
+
+        return own.repartition(*STAGE).sortWithinPartitions(*STAGE, ts).mapInPandas(fold, schema)
     if slot_seconds is None:
-        haloed = df.drop("substage").withColumn(SLOT, F.lit(0)).withColumn(HALO, F.lit(0))
+        haloed = own.withColumn(SLOT, F.lit(0)).withColumn(HALO, F.lit(0))
     else:
-        haloed = with_halo(df.drop("substage"), STAGE, ts, before=context_rows, after=context_rows, slot_seconds=slot_seconds)
-    schema = T.StructType([*[f for f in haloed.schema.fields if f.name not in (HALO, SLOT)], T.StructField("substage", T.StringType())])
-    names = [f.name for f in schema.fields]
+        haloed = with_halo(own, STAGE, ts, before=context_rows, after=context_rows, slot_seconds=slot_seconds)
     group = [*STAGE, SLOT]
 
-    def labelled(rows: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
-        parts = []
-        for start, end in zip(starts, [*starts[1:], len(rows)]):
-            part = rows.iloc[start:end].reset_index(drop=True)
-            labels = pd.Series(labeller(part))
-            if len(labels) != len(part):
-                raise ValueError("a labeller must return one label per row")
-            parts.append(labels)
-        labels = pd.concat(parts, ignore_index=True)
-        rows = rows.assign(substage=labels.astype(object).where(labels.notna(), "NA").astype(str).to_numpy())
-        return rows.loc[rows[HALO] == 0, names]
-
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []  # the parts of the last group, which may go on in the next batch
-        for batch in batches:
-            if batch.empty:
-                continue
-            changed = (batch[group] != batch[group].shift()).any(axis=1).to_numpy()
-            changed[0] = not held or (held[-1][group].iloc[-1] != batch[group].iloc[0]).any()
-            starts = changed.nonzero()[0].tolist()
-            if starts and held:
-                held.append(batch.iloc[: starts[0]])
-                yield labelled(pd.concat(held, ignore_index=True), [0])
+        held: list[pd.DataFrame] = []  # the parts of one group, which may go on in the next batch
+        ready: list[pd.DataFrame] = []
+        size = 0
+
+        def label() -> None:
+            part = held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+            labels = labeller(part)
+            if slot_seconds is not None and (labels is None or isinstance(labels, Trimmed)):
+                raise ValueError("a labeller of slots must label every row")
+            done = _labelled(part, labels)
+            if done is not None:
+                ready.append(done.loc[done[HALO] == 0, names])
+
+        for part, begins in _parts(batches, group):
+            if begins and held:
+                label()
                 held = []
-            if len(starts) > 1:
-                first = starts[0]
-                yield labelled(batch.iloc[first : starts[-1]].reset_index(drop=True), [s - first for s in starts[:-1]])
-            held.append(batch.iloc[starts[-1] if starts else 0 :])
+                size += len(ready[-1]) if ready else 0
+                if size >= 10_000:
+                    yield pd.concat(ready, ignore_index=True)
+                    ready, size = [], 0
+            held.append(part)
         if held:
-            yield labelled(pd.concat(held, ignore_index=True), [0])
+            label()
+        if ready:
+            yield pd.concat(ready, ignore_index=True)
 
     return haloed.repartition(*group).sortWithinPartitions(*group, ts).mapInPandas(call, schema)
 
 
+def with_stage_facts(df: DataFrame, ts: str = TIME) -> DataFrame:
+    """Add ``stage_first_ts``, ``stage_last_ts``, ``stage_rows`` and ``stage_max_rate``.
+
+    What a rule must know of a whole stage, counted with map-side combine and
+    joined on, so that the rule itself can be a Column or a ``Fold``.
+    """
+    facts = df.groupBy(*STAGE).agg(
+        F.min(ts).alias("stage_first_ts"), F.max(ts).alias("stage_last_ts"), F.count(F.lit(1)).alias("stage_rows"), F.max("rate_slurry").alias("stage_max_rate")
+    )
+    return df.join(facts.toDF("_name", "_stage", *facts.columns[2:]), F.col("name").eqNullSafe(F.col("_name")) & F.col("stage_num_td").eqNullSafe(F.col("_stage"))).drop("_name", "_stage")
+
+
 def restart_positions(labels: DataFrame, markers: DataFrame, ts: str = TIME) -> DataFrame:
     """Where a stage starts again after its first end.
 

@@ -6,15 +6,17 @@ import re
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import labelling, ordinals, stages
+from ..operators.intervals import interval_join
 from ..operators.joins import active_runs
+from ..operators.labelling import Fold, Trimmed
 from ..session import stored, work_path
 from ..sources import catalog, reads, testviews as tv, writes
 from ..sources.testviews import BUCKET_SECONDS, GAP_SECONDS, LONG_GAP_SECONDS
-from ..streaming import live
+from ..streaming import live, merged, sessions
 from . import flows
 from .bound import (
     ANOM_SQL, ROLLUP_COLUMNS, STATS, _rollup_sql, DESIGN_SQL, EVENT_SQL, FIRST, GRID_SQL, LATE_SQL, LIMITS, LINE_COLUMNS, ORDINAL_SQL, ORDINAL_WINDOW, SCORE_VALUES, SCORE_VIEWS, SLOT, SMARK,
@@ -143,6 +145,61 @@ def design_labeller(rows: pd.DataFrame) -> pd.Series:
     return labels.mask(rows["inferred_design_rate"].isna(), None)
 
 
+def marker_column() -> Column:
+    """What ``marker_labeller`` says, as a Column: it looks at one row only."""
+    names = F.when(F.col("press_mainline") >= 800, "MID_TRIAL")
+    for low, name in ((600, "MID"), (400, "LOW"), (200, "PRE")):
+        names = names.when(F.col("press_mainline") >= low, name)
+    return names.otherwise("PRE_LOW")
+
+
+def design_column() -> Column:
+    """What ``design_labeller`` says, as a Column."""
+    design = F.col("inferred_design_rate")
+    named = F.when(F.col("press_mainline") < 200, "stage_end").when(F.col("rate_slurry") >= 0.9 * design, "design").otherwise("ramp_up")
+    return F.when(design.isNotNull(), named)
+
+
+class Records(Fold):
+    """Names the rows of a stage's highest rate so far. Rows before the first one that flows are not written, and stages that never flow are left out."""
+
+    def start(self) -> float:
+        return 0.0
+
+    def step(self, state: float, rows: pd.DataFrame) -> tuple[Trimmed | None, float]:
+        so_far = rows["rate_slurry"].cummax().clip(lower=state)
+        flows_ = (so_far > 0).to_numpy()
+        if not flows_.any():
+            return None, state
+        before = so_far.shift(fill_value=state)
+        labels = pd.Series("below", index=rows.index).mask(rows["rate_slurry"] > before, "record")
+        first = int(flows_.argmax())
+        return Trimmed(labels.iloc[first:], first, len(rows) - 1), float(so_far.iloc[-1])
+
+
+@bound("label_hook_fold", sql("long", """
+SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN rate_slurry - 50 > COALESCE(before, 0) THEN 'record' ELSE 'below' END AS substage
+FROM (SELECT *, GREATEST(MAX(rate_slurry - 50) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  MAX(rate_slurry - 50) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts ROWS UNBOUNDED PRECEDING) AS so_far FROM long)
+WHERE so_far > 0"""))
+def _(spark, d):
+    """A labeller with memory that writes part of each stage, over rates above 50."""
+    rows = tv.staged(spark, d, LONG_GAP_SECONDS).withColumn("rate_slurry", F.col("rate_slurry") - 50)
+    return flows.label_rows(rows, Records()).select("name", "stage_num_td", "datetime_fmt", "substage")
+
+
+@bound("label_hook_facts", sql("long", """
+SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN n IS NULL THEN 'last' WHEN p IS NULL THEN 'first' WHEN rate_slurry = top THEN 'peak' ELSE 'inside' END AS substage
+FROM (SELECT *, LAG(record_ts) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p, LEAD(record_ts) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS n,
+  MAX(rate_slurry) OVER (PARTITION BY name, stage_num_td) AS top FROM long)"""))
+def _(spark, d):
+    """A rule that knows its stage's ends and highest rate, as a Column."""
+    rows = labelling.with_stage_facts(tv.staged(spark, d, LONG_GAP_SECONDS).withColumn("datetime_fmt", F.col("record_ts")))
+    t = F.col("datetime_fmt")
+    rule = F.when(t == F.col("stage_last_ts"), "last").when(t == F.col("stage_first_ts"), "first").when(F.col("rate_slurry") == F.col("stage_max_rate"), "peak").otherwise("inside")
+    return labelling.label_stages(rows, rule).select("name", "stage_num_td", "datetime_fmt", "substage")
+
+
 @bound("label_hook", sql("long", """
 SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN n IS NULL THEN 'last' WHEN rate_slurry = top THEN 'peak' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage
 FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p, LEAD(record_ts) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS n,
@@ -192,7 +249,7 @@ afr AS (SELECT t.name, a.stage_num_td, t.record_ts AS datetime_fmt, t.rate_slurr
 @bound("live_stage_flow", sql("stg", "SELECT * FROM two", *REPAIR, AFTER_ROWS, _two_pass_sql("afr")))
 def _(spark, d):
     rows = tv.readings(spark, d)
-    out = flows.live_stage_flow(tv.first_batch(rows), tv.second_batch(rows), _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller)
+    out = flows.live_stage_flow(tv.first_batch(rows), tv.second_batch(rows), _first_windows(rows), GAP_SECONDS, marker_column(), design_column())
     return out["labels"].select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
@@ -385,15 +442,54 @@ def _(spark, d):
     return live.merged_rows(spark, root, first.schema).select("record_ts", "name", "id", "rate_slurry")
 
 
+def _late_parts(rows: DataFrame) -> list[DataFrame]:
+    """Three parts by time, each with readings that belong to the ones before."""
+    t, late = F.col("record_ts"), F.abs(F.hash("id")) % 10
+    lo, hi = (reads.time_literal(c) for c in ("2024-01-10", "2024-01-20"))
+    when = F.when(t < lo, 0).when(t < hi, 1).otherwise(2)
+    turn = F.least(F.lit(2), when + F.when(late < 2, 1).when(late < 3, 2).otherwise(0))
+    return [rows.where(turn == k) for k in range(3)]
+
+
 @bound("stream_sessions", sql("stg", "SELECT id, name, record_ts, stage_num_td FROM stg"))
 def _(spark, d):
+    """Three in ten readings come one or two batches late; all are in their stages at the end."""
     rows = tv.readings(spark, d).select(*FEED)
-    cuts = ["2024-01-10", "2024-01-20"]
-    t = F.col("record_ts")
-    lo, hi = (reads.time_literal(c) for c in cuts)
     root = work_path(spark, "sessions")
-    _feed(spark, rows, [rows.where(t < lo), rows.where((t >= lo) & (t < hi)), rows.where(t >= hi)], lambda s: live.sessions(s, root, GAP_SECONDS))
-    return spark.read.parquet(f"{root}/assigned").select("id", "name", "record_ts", "stage_num_td")
+    _feed(spark, rows, _late_parts(rows), lambda s: sessions.sessions(s, root, GAP_SECONDS))
+    index = sessions.stage_index(spark, root)
+    return interval_join(rows, index, "record_ts", "stage_start_ts", "stage_end_ts").select("id", "name", "record_ts", "stage_num_td")
+
+
+@bound("stream_stage_index", sql("win", "SELECT name, stage_num_td, stage_start_ts, stage_end_ts FROM win"))
+def _(spark, d):
+    """The stream begins with the index of the first batch and goes on with the second, whose readings lie among those of the first."""
+    rows = tv.readings(spark, d).select(*FEED)
+    first = stored(stages.stage_windows(tv.first_batch(tv.readings(spark, d)), GAP_SECONDS).select("name", "stage_num_td", "stage_start_ts", "stage_end_ts"), "first-index")
+    root = work_path(spark, "stage-index")
+    second = tv.second_batch(tv.readings(spark, d)).select(*FEED)
+    _feed(spark, rows, [second], lambda s: sessions.sessions(s, root, GAP_SECONDS, index=first))
+    return sessions.stage_index(spark, root, first).select("name", "stage_num_td", "stage_start_ts", "stage_end_ts")
+
+
+LIVE_TEL = "(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry + CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS rate_slurry, press_mainline FROM stg)"
+
+
+@bound("stream_live", sql("win wells", """
+SELECT two.name, two.stage_num_td, two.datetime_fmt, two.substage, w.sample_count AS stage_rows, x.sample_count AS well_rows FROM two
+JOIN win w ON w.name = two.name AND w.stage_num_td = two.stage_num_td JOIN wells x ON x.name = two.name""", _two_pass_sql(LIVE_TEL)))
+def _(spark, d):
+    """One stream keeps readings, stages, labels and wells: late readings, and half of them sent again with another rate."""
+    rows = tv.telemetry(spark, d)
+    parts = _late_parts(rows)
+    again = rows.where("event_type = 'view'")
+    parts[2] = parts[2].where("event_type <> 'view'").unionByName(again.withColumn("rate_slurry", F.col("rate_slurry") + 1))
+    root = work_path(spark, "live")
+    _feed(spark, rows, parts, lambda s: merged.live_tables(s, root, GAP_SECONDS, marker_column(), design_column()))
+    tables = {name: merged.read_live(spark, root, name, rows.schema) for name in ("labels", "windows", "wells")}
+    stages_ = tables["windows"].select("name", "stage_num_td", F.col("sample_count").alias("stage_rows"))
+    wells = tables["wells"].select("name", F.col("sample_count").alias("well_rows"))
+    return tables["labels"].join(stages_, ["name", "stage_num_td"]).join(wells, "name").select("name", "stage_num_td", "datetime_fmt", "substage", "stage_rows", "well_rows")
 
 
 @bound("stream_rollup", sql("tel", _rollup_sql("tel")))

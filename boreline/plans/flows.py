@@ -38,7 +38,7 @@ def _readings(df: DataFrame) -> DataFrame:
 READING_KEY = ["created_ts", "record_ts", "name"]
 
 
-def _one_per_key(old: DataFrame, new: DataFrame) -> DataFrame:
+def one_per_key(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old and new readings, each key once: a resent reading takes the place of the stored one.
 
     Grouped by the whole reading key, so no well's rows meet in one task.
@@ -69,11 +69,11 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
 
     known = windows.join(touched, STAGE, "left_semi").select(*STAGE, "stage_start_ts", "stage_end_ts")
     before = _rows_in(stored_rows, known)
-    rebuilt = stages.windows_of_assigned(_one_per_key(before, assigned))
+    rebuilt = stages.windows_of_assigned(one_per_key(before, assigned))
     kept = windows.join(repair, "name", "left_anti").join(touched, STAGE, "left_anti")
     out = kept.unionByName(rebuilt, allowMissingColumns=True)
     if not repair.isEmpty():
-        every = _one_per_key(_readings(stored_rows), _readings(batch)).join(repair, "name", "left_semi")
+        every = one_per_key(_readings(stored_rows), _readings(batch)).join(repair, "name", "left_semi")
         out = out.unionByName(stages.stage_windows(every, gap_seconds), allowMissingColumns=True)
     return {"windows": out, "repair_wells": repair, "assigned": assigned}
 
@@ -114,7 +114,7 @@ def live_stage_flow(
     changed = after.join(windows.select(*STAGE, *same), [*STAGE, *same], "left_anti")
     stages.check_no_overlaps(after.join(changed.select("name").distinct(), "name", "left_semi"))
     spans = changed.select(*STAGE, "stage_start_ts", "stage_end_ts")
-    rows = stored(_one_per_key(_rows_in(stored_rows, spans), _rows_in(batch, spans)), "affected")
+    rows = stored(one_per_key(_rows_in(stored_rows, spans), _rows_in(batch, spans)), "affected")
     markers = stored(label_rows(rows, marker, context_rows, slot_seconds), "markers")
     ready = rows.select("name", "stage_num_td", F.col("record_ts").alias(TIME), *stages.WINDOW_MEASURES)
     labels = labelling.two_pass_labels(ready, markers, labeller, context_rows, slot_seconds=slot_seconds)

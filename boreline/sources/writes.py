@@ -8,10 +8,13 @@ valid; runs replace their own partition only.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import _parse_datatype_string
 
 from ..operators.joins import keep_last, latest_per_key
 from ..session import remove_path, stored
@@ -74,13 +77,83 @@ def upsert_folder(spark: SparkSession, path: str, new: DataFrame, keys: list[str
     touched.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
 
 
-def prune_folder(spark: SparkSession, path: str, schema: T.StructType, partition: str) -> None:
-    """Delete the versions of which no partition is the newest any more; no reader may be at work."""
-    commits = read_or_empty(spark, f"{path}/commits", T.StructType([schema[partition], T.StructField("version", T.LongType())]))
-    newest = commits.groupBy(partition).agg(F.max("version").alias("version")).select("version").distinct()
-    for row in commits.select("version").distinct().join(newest, "version", "left_anti").toLocalIterator():
+@dataclass(frozen=True)
+class Change:
+    """New rows of one table: one row per key replaces the old ones with that key. With ``order`` the last of a key counts, without it all."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    partition: str
+    order: tuple[str, ...] = ()
+
+
+COMMITS = "table string, part string, version bigint"
+
+
+def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType, partition: str) -> DataFrame:
+    """A table kept by ``commit_tables`` as of the last commit."""
+    commits = read_or_empty(spark, f"{root}/commits", _parse_datatype_string(COMMITS)).where(F.col("table") == table)
+    live = commits.groupBy(F.col("part").alias(partition)).agg(F.max("version").alias("version"))
+    data = read_or_empty(spark, f"{root}/{table}/data", T.StructType([*[f for f in schema.fields if f.name != partition], T.StructField("version", T.LongType()), schema[partition]]))
+    return data.join(live, [partition, "version"], "left_semi").select(*schema.names)
+
+
+def commit_tables(spark: SparkSession, root: str, changes: dict[str, Change]) -> None:
+    """Upsert into several tables below ``root`` by one commit.
+
+    Each table's touched partitions are written whole under a new version. One
+    small file, written last, makes the partitions of all tables the valid
+    ones: readers see all of the changes or none, a crash at any point leaves
+    the tables as they were, and a replay writes the same version again.
+    Partitions are strings. One writer at a time.
+    """
+    last = read_or_empty(spark, f"{root}/commits", _parse_datatype_string(COMMITS)).agg(F.max("version")).first()[0]
+    version = 0 if last is None else last + 1
+    touched = None
+    for table, change in changes.items():
+        new = stored(change.rows, f"commit-{table}")
+        parts = new.select(change.partition).distinct()
+        old = read_table(spark, root, table, new.schema, change.partition).join(parts, change.partition, "left_semi")
+        merged = upsert_by_key(old, new, list(change.keys), list(change.order) or None)
+        merged.hint("rebalance", change.partition).write.mode("overwrite").partitionBy(change.partition).parquet(f"{root}/{table}/data/version={version}")
+        named = parts.select(F.lit(table).alias("table"), F.col(change.partition).alias("part"))
+        touched = named if touched is None else touched.unionByName(named)
+    touched.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/version={version}")
+
+
+def prune_tables(spark: SparkSession, root: str, behind: int = 1) -> None:
+    """Delete the data of versions that none of the last ``behind`` + 1 commits needs."""
+    commits = read_or_empty(spark, f"{root}/commits", _parse_datatype_string(COMMITS)).cache()
+    last = commits.agg(F.max("version")).first()[0]
+    needed = None
+    for back in range(behind + 1):
+        then = commits.where(F.col("version") <= F.lit(last) - back).groupBy("table", "part").agg(F.max("version").alias("version")).select("table", "version")
+        needed = then if needed is None else needed.union(then)
+    needed = needed.distinct()
+    for row in commits.select("table", "version").distinct().join(needed, ["table", "version"], "left_anti").toLocalIterator():
+        remove_path(spark, f"{root}/{row.table}/data/version={row.version}")
+    for row in commits.select("version").distinct().join(needed.select("version"), "version", "left_anti").toLocalIterator():
+        remove_path(spark, f"{root}/commits/version={row.version}")
+    commits.unpersist()
+
+
+def prune_folder(spark: SparkSession, path: str, schema: T.StructType, partition: str, behind: int = 0) -> None:
+    """Delete the versions of which no partition is the newest any more.
+
+    ``behind`` keeps what was newest that many versions ago too, for readers
+    that began before the last writes; with 0 no reader may be at work.
+    """
+    commits = read_or_empty(spark, f"{path}/commits", T.StructType([schema[partition], T.StructField("version", T.LongType())])).cache()
+    last = commits.agg(F.max("version")).first()[0]
+    newest = None
+    for back in range(behind + 1):
+        then = commits.where(F.col("version") <= F.lit(last) - back).groupBy(partition).agg(F.max("version").alias("version")).select("version")
+        newest = then if newest is None else newest.union(then)
+    # Versions, not rows: as many as writes since the last pruning.
+    for row in commits.select("version").distinct().join(newest.distinct(), "version", "left_anti").toLocalIterator():
         remove_path(spark, f"{path}/commits/version={row.version}")
         remove_path(spark, f"{path}/data/version={row.version}")
+    commits.unpersist()
 
 
 def replace_entity(old: DataFrame, new: DataFrame, entity: str = "name") -> DataFrame:

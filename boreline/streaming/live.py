@@ -1,9 +1,7 @@
-"""Live ingest, gap stages across batches, and a live roll-up.
+"""Live ingest and a live roll-up.
 
-State that must outlive a batch is a small table kept per batch number below
-the job's folder: batch N reads the state of the batch before it and writes its
-own. Outputs are keyed upserts or folders per batch, so a batch that is replayed
-after a failure overwrites its own rows and nothing is counted twice.
+Outputs are keyed upserts, so a batch that is replayed after a failure
+overwrites its own rows and nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -15,13 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clean import blank_to
 from ..operators import rollup as batch_rollup
-from ..operators import stages
-from ..session import remove_path
-from ..sources.writes import read_folder, upsert_folder
+from ..sources.writes import prune_folder, read_folder, upsert_folder
 
 BUCKET_KEY = ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"]
-STATES_KEPT = 3
-STATE = "name string, last_record_ts timestamp_ntz, last_stage bigint"
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -50,11 +44,13 @@ def ingest(stream: DataFrame, root: str, keys: list[str], order: list[str], day_
     Only the days a batch touches are rewritten; a finer ``day_format`` makes
     those folders smaller. Among rows of one key the newest batch wins, and
     within a batch the last by ``order``; replaying a batch changes nothing.
+    Versions that were out of date before the batch are deleted.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        keyed = batch.where(F.col("name").isNotNull() & F.col("record_ts").isNotNull())
-        upsert_folder(batch.sparkSession, f"{root}/readings", keyed.withColumn("day", F.date_format("record_ts", day_format)), keys, "day", order)
+        keyed = batch.where(F.col("name").isNotNull() & F.col("record_ts").isNotNull()).withColumn("day", F.date_format("record_ts", day_format))
+        upsert_folder(batch.sparkSession, f"{root}/readings", keyed, keys, "day", order)
+        prune_folder(batch.sparkSession, f"{root}/readings", keyed.schema, "day", behind=1)
 
     return _drain(stream, f"{root}/checkpoint", handle, every=every)
 
@@ -63,39 +59,6 @@ def merged_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
     return read_folder(spark, f"{root}/readings", T.StructType([*schema.fields, T.StructField("day", T.StringType())]), "day").drop("day")
 
 
-def _batch_state(spark: SparkSession, root: str, number: int) -> DataFrame:
-    if number == 0:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{root}/state/batch={number - 1}")
-
-
-def sessions(stream: DataFrame, root: str, gap_seconds: float, every: str | None = None) -> StreamingQuery:
-    """Number gap stages across batches.
-
-    Rows at or before their well's last reading are late; they are set aside
-    under ``late`` for the repair flow, which works on the stored history. A
-    batch is cut on (well, slot) aggregates, so a well that fills the batch is
-    still spread over all tasks.
-    """
-
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        state = _batch_state(spark, root, number)
-        rows = batch.where(F.col("name").isNotNull() & F.col("record_ts").isNotNull())
-        split = stages.split_late(rows, state)
-        split.where("is_late").drop("is_late").write.mode("overwrite").parquet(f"{root}/late/batch={number}")
-        assigned = stages.assign_stages(split.where(~F.col("is_late")).drop("is_late"), gap_seconds, prior=state)
-        assigned.write.mode("overwrite").parquet(f"{root}/assigned/batch={number}")
-        written = spark.read.schema(assigned.schema).parquet(f"{root}/assigned/batch={number}")
-        fresh = written.groupBy("name").agg(F.max("record_ts").alias("last_record_ts"), F.max("stage_num_td").alias("last_stage"))
-        newest = state.unionByName(fresh).groupBy("name").agg(F.max("last_record_ts").alias("last_record_ts"), F.max("last_stage").alias("last_stage"))
-        newest.write.mode("overwrite").parquet(f"{root}/state/batch={number}")
-        if number >= STATES_KEPT:  # a replayed batch reads the state before it, no older one
-            remove_path(spark, f"{root}/state/batch={number - STATES_KEPT}")
-
-    return _drain(stream, f"{root}/checkpoint", handle, every=every)
-
-
 def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int, every: str | None = None) -> StreamingQuery:
     """Time buckets kept current, with every column of the batch roll-up.
 
@@ -111,7 +74,9 @@ def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int,
     shaped = batch_rollup.bucket_columns(buckets.withColumn("bucket_ts", F.col("_w.start").cast("timestamp_ntz")), bucket_seconds)
 
     def handle(batch: DataFrame, number: int) -> None:
-        upsert_folder(batch.sparkSession, f"{root}/buckets", batch.withColumn("day", F.date_format("bucket_ts", "yyyy-MM-dd")), BUCKET_KEY, "day")
+        dated = batch.withColumn("day", F.date_format("bucket_ts", "yyyy-MM-dd"))
+        upsert_folder(batch.sparkSession, f"{root}/buckets", dated, BUCKET_KEY, "day")
+        prune_folder(batch.sparkSession, f"{root}/buckets", dated.schema, "day", behind=1)
 
     return _drain(shaped, f"{root}/checkpoint", handle, mode="update", every=every)
 
