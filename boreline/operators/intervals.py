@@ -9,6 +9,39 @@ from ..functions.numbers import slot
 from .ordered import SLOT, prefix_sums
 
 BUCKET_SECONDS = 86_400.0
+#: Nodes of the tree that a long window is cut into, less one.
+NODES = 32
+
+
+def window_nodes(windows: DataFrame, start: str, end: str, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+    """The windows with the nodes of a binary tree over time that cover them: ``_level`` and ``_node``.
+
+    A node of level k is 2^k buckets wide. Each window is cut on the lowest
+    level on which it needs no more than ``NODES`` + 1 nodes, so a window that
+    ends in the year 9999 costs no more rows than one of a month.
+    """
+    first, last = slot(start, bucket_seconds), slot(end, bucket_seconds)
+    level = F.greatest(F.lit(0), F.ceil(F.log2((last - first + 1) / F.lit(float(NODES))))).cast("int")
+    cut = windows.where(F.col(start) <= F.col(end)).select("*", first.alias("_first"), last.alias("_last"), level.alias("_level"))
+    node = F.explode(F.sequence(F.call_function("shiftright", F.col("_first"), F.col("_level")), F.call_function("shiftright", F.col("_last"), F.col("_level"))))
+    return cut.withColumn("_node", node).drop("_first", "_last")
+
+
+def _join_on_nodes(points: DataFrame, windows: DataFrame, ts: str, start: str, end: str, how: str, bucket_seconds: float, on: str) -> DataFrame:
+    nodes = window_nodes(windows.select("*", F.col(start).alias("_from"), F.col(end).alias("_to")), start, end, bucket_seconds).withColumnRenamed(on, "_on")
+    # One row: the levels that any window is on, 64 at most.
+    levels = nodes.agg(F.collect_set("_level").alias("_levels"))
+    asked = points.crossJoin(F.broadcast(levels)).withColumn("_at", F.explode("_levels")).withColumn("_in", F.call_function("shiftright", slot(ts, bucket_seconds), F.col("_at")))
+    match = (F.col(on) == F.col("_on")) & (F.col("_at") == F.col("_level")) & (F.col("_in") == F.col("_node")) & F.col(ts).between(F.col("_from"), F.col("_to"))
+    found = asked.join(nodes, match).drop("_levels", "_at", "_in", "_level", "_node", "_on", "_from", "_to")
+    if how == "inner":
+        return found
+    if how != "left":
+        raise ValueError(f"no {how} join of intervals")
+    # Points of one name and time lie in the same windows, so those without any are known by name and time.
+    held = found.select(F.col(on).alias("_on"), F.col(ts).alias("_at")).distinct()
+    alone = points.join(held, (F.col(on) == F.col("_on")) & (F.col(ts) == F.col("_at")), "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True)
 
 
 def interval_join(
@@ -20,13 +53,20 @@ def interval_join(
     how: str = "inner",
     bucket_seconds: float = BUCKET_SECONDS,
     on: str = "name",
+    open_ended: bool = False,
 ) -> DataFrame:
     """Points with the windows that hold them; both ends are inclusive.
 
     Windows are repeated once per time bucket they touch and the join runs on
     (entity, bucket) with the range as residual, so a large entity is spread
-    over many tasks and a point only meets windows of its own bucket.
+    over many tasks and a point only meets windows of its own bucket. This is
+    for windows cut from readings, which span what the readings span. Windows
+    that may be as long as they like are ``open_ended``: they are cut into
+    nodes of a tree instead, and a point asks one node of each level that
+    windows are on, most often one or two.
     """
+    if open_ended:
+        return _join_on_nodes(points, windows, ts, start, end, how, bucket_seconds, on)
     touched = F.explode(F.sequence(slot(start, bucket_seconds), slot(end, bucket_seconds)))
     spread = windows.select("*", F.col(start).alias("_from"), F.col(end).alias("_to"), touched.alias("_bucket")).withColumnRenamed(on, "_on")
     placed = points.withColumn("_point_bucket", slot(ts, bucket_seconds))

@@ -323,7 +323,18 @@ def _(spark, d):
 SELECT t.id, t.name, t.record_ts, a.annotation_id FROM tel t JOIN ann a ON a.name = t.name AND t.record_ts >= a.start_time AND t.record_ts <= a.end_time"""))
 def _(spark, d):
     a = tv.annotations(spark, d).select("name", "annotation_id", "start_time", "end_time")
-    return intervals.interval_join(tv.readings(spark, d).select("id", "name", "record_ts"), a, "record_ts", "start_time", "end_time").select("id", "name", "record_ts", "annotation_id")
+    return intervals.interval_join(tv.readings(spark, d).select("id", "name", "record_ts"), a, "record_ts", "start_time", "end_time", open_ended=True).select("id", "name", "record_ts", "annotation_id")
+
+
+@bound("open_ended_join", sql("tel ann", """
+SELECT t.id, t.name, t.record_ts, a.annotation_id FROM tel t LEFT JOIN ann a
+ON a.name = t.name AND t.record_ts >= a.start_time AND t.record_ts <= CASE WHEN a.name LIKE '%7' THEN TIMESTAMP '9999-12-31' ELSE a.end_time END"""))
+def _(spark, d):
+    """Readings with their annotations, where some wells' annotations never end."""
+    until = F.when(F.col("name").endswith("7"), reads.time_literal("9999-12-31")).otherwise(F.col("end_time"))
+    a = tv.annotations(spark, d).select("name", "annotation_id", "start_time", until.alias("end_time"))
+    rows = tv.readings(spark, d).select("id", "name", "record_ts")
+    return intervals.interval_join(rows, a, "record_ts", "start_time", "end_time", "left", open_ended=True).select("id", "name", "record_ts", "annotation_id")
 
 
 @bound("attach_labels", sql("tel mark", """

@@ -273,3 +273,76 @@ def test_a_cursor_gets_past_rows_of_one_time(spark):
             break
         seen += [r["id"] for r in page.collect()]
     assert seen == ["0", "1", "2", "3", "4", "z"]
+
+
+def test_open_ended_windows(spark):
+    """Windows of any length against brute force; one that never ends costs few rows."""
+    ends = [at(5), at(86_400 * 40), at(86_400 * 900), datetime(9999, 12, 31), at(-10), None]
+    rows = [("a" if k % 3 else None, k, at(3_600 * k * 7), e) for k, e in enumerate(ends * 6)]
+    windows = spark.createDataFrame(rows, "name string, w int, s timestamp_ntz, e timestamp_ntz")
+    points = [("a" if k % 5 else "b", at(50_000 * k - 200_000)) for k in range(120)] + [(None, at(0)), ("a", None), ("a", at(5)), ("a", at(5))]
+    df = spark.createDataFrame(points, "name string, t timestamp_ntz")
+    want = [(n, t, w) for n, t in points for m, w, s, e in rows if n is not None and n == m and t is not None and e is not None and s <= t <= e]
+    got = [tuple(r) for r in intervals.interval_join(df, windows, "t", "s", "e", open_ended=True).select("name", "t", "w").collect()]
+    assert sorted(got) == sorted(want) and want
+    held = {(n, t) for n, t, _ in want}
+    left = [tuple(r) for r in intervals.interval_join(df, windows, "t", "s", "e", "left", open_ended=True).select("name", "t", "w").collect()]
+    assert sorted(map(repr, left)) == sorted(map(repr, want + [(n, t, None) for n, t in points if (n, t) not in held]))
+    assert intervals.window_nodes(windows.where("w = 3"), "s", "e").count() < 60
+    none = windows.limit(0)
+    assert intervals.interval_join(df, none, "t", "s", "e", open_ended=True).count() == 0
+    assert intervals.interval_join(df, none, "t", "s", "e", "left", open_ended=True).count() == len(points)
+
+
+def test_charts_show_a_reading_once(spark):
+    rows = readings(spark, ("a", 0), ("a", 60), ("a", 9_000), ("a", 9_060), ("b", 0)).withColumns({c: F.lit(1.0) for c in ("prop_conc_target", "prop_conc_blend_auger", "prop_conc_inline")})
+    index = stages.stage_windows(rows, 3600)
+    bounds = index.select("name", F.col("stage_start_ts").alias("start_time"), F.col("stage_end_ts").alias("end_time"))
+    raw = reports.pad_chart(rows, index, bounds, 720, requested="raw").collect()
+    ids = [r.telemetry_point_id for r in raw]
+    assert len(ids) == len(set(ids)) and sum(r.records_in_bucket for r in raw) == 5
+    bucketed = reports.pad_chart(rows, index, bounds, 720, requested="rollup_120s").collect()
+    assert sum(r.records_in_bucket for r in bucketed) == 5 and sum(r.context_anchor is not None for r in bucketed) == 4
+    near = reports.pad_chart(rows, index, bounds, 30, requested="raw").collect()  # two ranges that do not meet
+    assert sum(r.context_anchor is not None for r in near) == 6 and sum(r.records_in_bucket for r in near) == 5
+
+
+def test_a_fold_reads_a_stage_in_parts(spark):
+    class Counter(labelling.Fold):
+        """Labels each row with its number in the stage; fails if it is given much at once."""
+
+        def start(self):
+            return 0
+
+        def step(self, state, rows):
+            assert len(rows) <= 100
+            labels = [str(state + k) for k in range(len(rows))]
+            keep = [k for k in range(len(rows)) if state + k < 950]
+            return (labelling.Trimmed([labels[k] for k in keep], keep[0], keep[-1]) if keep else None), state + len(rows)
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(1_000).select(F.lit("a").alias("name"), F.when(F.col("id") < 990, 1).cast("bigint").alias("stage_num_td"), (F.lit(T0) + F.make_dt_interval(secs=F.col("id"))).alias("datetime_fmt"), F.col("id"))
+        got = {(r.stage_num_td, r.id): r.substage for r in labelling.label_stages(df, Counter()).collect()}
+        assert got == {**{(1, k): str(k) for k in range(950)}, **{(None, 990 + k): str(k) for k in range(10)}}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_labellers_may_trim_or_skip_a_stage(spark):
+    rows = [(n, s, at(k)) for n in "ab" for s in (1, 2) for k in range(5)]
+    df = spark.createDataFrame(rows, "name string, stage_num_td bigint, datetime_fmt timestamp_ntz")
+
+    def labeller(part):
+        if part["name"].iloc[0] == "b":
+            return None
+        return labelling.Trimmed(["x", None, "z"], 1, 3) if part["stage_num_td"].iloc[0] == 2 else ["w"] * len(part)
+
+    got = sorted((r.name, r.stage_num_td, r.datetime_fmt, r.substage) for r in labelling.label_stages(df, labeller).collect())
+    assert got == [("a", 1, at(k), "w") for k in range(5)] + [("a", 2, at(1), "x"), ("a", 2, at(2), "NA"), ("a", 2, at(3), "z")]
+    with pytest.raises(Exception, match="one label per row"):
+        labelling.label_stages(df, lambda part: ["x"]).collect()
+    column = labelling.label_stages(df, F.when(F.col("stage_num_td") == 1, "one"))
+    assert {(r.stage_num_td, r.substage) for r in column.collect()} == {(1, "one"), (2, "NA")}
+    assert "Exchange" not in column._jdf.queryExecution().executedPlan().toString()
