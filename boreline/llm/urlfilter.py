@@ -3,7 +3,8 @@
 A list is a log of dated entries (a host or a host with a path prefix, listed
 or unlisted). An entry is valid from its date to the next one of its target:
 the log becomes validity intervals. A capture asks for each target that could
-cover it: its host, the host's parent domains, and its path prefixes.
+cover it: its host, the host's parent domains, and the prefixes of its path;
+of these only those that are as deep as some entry of the list.
 
 Captures and entries meet in (target, time slot), never in a whole target: the
 last entry before a slot is carried into it from a table of slots, and within
@@ -21,8 +22,6 @@ from boreline.session import stored
 
 #: Width of a time slot in seconds.
 SLOT = 6 * 3600
-#: Parent domains and path prefixes that are asked for.
-PARENTS, PREFIXES = 4, 3
 
 
 def host_of(url: Column) -> Column:
@@ -37,14 +36,30 @@ def path_of(url: Column) -> Column:
     return F.when(path == "", "/").otherwise(path)
 
 
-def targets_of(url: Column) -> Column:
-    """What could list this URL, most specific first: host with prefixes of its path, host, parent domains of two labels at least."""
-    host, path = host_of(url), path_of(url)
-    labels = F.split(host, r"\.")
-    steps = F.split(path, "/")
-    prefixes = [F.when(F.size(steps) > k, F.concat(host, F.array_join(F.slice(steps, 1, k + 1), "/"), F.when(F.size(steps) > k + 1, F.lit("/")).otherwise(F.lit("")))) for k in range(PREFIXES, 0, -1)]
-    parents = [F.when(F.size(labels) >= k + 2, F.array_join(F.slice(labels, k + 1, 100), ".")) for k in range(PARENTS + 1)]
-    return F.when(host != "", F.array_distinct(F.filter(F.array(*prefixes, host, *parents[1:]), lambda t: t.isNotNull()))).otherwise(F.array().cast("array<string>"))
+def depths_of(target: Column) -> Column:
+    """How deep an entry is: ``slashes`` in it, or none and ``labels`` of its host."""
+    slashes = F.length(target) - F.length(F.replace(target, F.lit("/")))
+    return F.struct(slashes.alias("slashes"), F.when(slashes == 0, F.size(F.split(target, r"\."))).otherwise(0).alias("labels"))
+
+
+def asked_targets(captures: DataFrame, depths: DataFrame, url: str) -> DataFrame:
+    """The captures with ``rank`` and ``target`` of what could list them, most specific first.
+
+    That is the host with prefixes of the path, the host, and its parent
+    domains of two labels at least. ``depths`` is one row, ``slashes`` and
+    ``labels``, with the depths that the list has: a row for each depth, so
+    that a URL of very many steps asks for no more than the list can answer.
+    """
+    split = captures.withColumns({"_host": host_of(F.col(url)), "_steps": F.split(path_of(F.col(url)), "/")}).withColumn("_labels", F.split("_host", r"\.")).crossJoin(F.broadcast(depths))
+    last = F.size("_steps") - 1
+    slashes = lambda k: k + F.when(k < last, 1).otherwise(0)
+    ks = F.filter(F.sequence(last, F.lit(1), F.lit(-1)), lambda k: F.array_contains("slashes", slashes(k)))
+    prefixes = F.transform(ks, lambda k: F.concat("_host", F.array_join(F.slice("_steps", F.lit(1), k + 1), "/"), F.when(k < last, "/").otherwise("")))
+    own = F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_labels") - 2)), lambda k: F.array_contains("labels", F.size("_labels") - k))
+    hosts = F.transform(own, lambda k: F.array_join(F.slice("_labels", k + 1, F.size("_labels")), "."))
+    targets = F.when((F.col("_host") != "") & F.col("slashes").isNotNull(), F.concat(prefixes, hosts)).otherwise(F.array().cast("array<string>"))
+    named = split.select(*captures.columns, targets.alias("_targets"))
+    return named.select(*captures.columns, F.posexplode_outer("_targets").alias("rank", "target"))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -72,7 +87,8 @@ def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: st
     own time on, that instant included.
     """
     valid = stored(intervals(entries), "list-intervals")
-    asked = captures.select(F.col(key).alias("key"), F.col(fetched).alias("at"), F.posexplode_outer(targets_of(F.col(url))).alias("rank", "target"))
+    deep = valid.select(depths_of(F.col("target")).alias("d")).agg(F.collect_set("d.slashes").alias("slashes"), F.collect_set("d.labels").alias("labels"))
+    asked = asked_targets(captures.select(F.col(key).alias("key"), F.col(fetched).alias("at"), F.col(url).alias("url")), deep, "url").drop("url")
     asked = stored(asked.withColumn("slot", F.floor(F.unix_timestamp("at") / SLOT)), "captures")
 
     log = valid.withColumn("slot", F.floor(F.unix_timestamp("valid_from") / SLOT))
@@ -84,8 +100,8 @@ def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: st
     carried = slots.select("target", "slot", F.last("last", ignorenulls=True).over(before).alias("carried"))
     carried = stored(carried.where("carried is not null"), "carried")
 
-    opening = carried.select("target", "slot", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("int").alias("rank"), F.col("carried.valid_from").alias("at"), F.col("carried").alias("entry"), F.lit(0).alias("turn"))
-    own = log.select("target", "slot", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("int").alias("rank"), F.col("valid_from").alias("at"), F.struct("valid_from", "listed", "valid_to").alias("entry"), F.lit(0).alias("turn"))
+    opening = carried.select("target", "slot", F.lit(None).cast(asked.schema["key"].dataType).alias("key"), F.lit(None).cast("int").alias("rank"), F.col("carried.valid_from").alias("at"), F.col("carried").alias("entry"), F.lit(0).alias("turn"))
+    own = log.select("target", "slot", F.lit(None).cast(asked.schema["key"].dataType).alias("key"), F.lit(None).cast("int").alias("rank"), F.col("valid_from").alias("at"), F.struct("valid_from", "listed", "valid_to").alias("entry"), F.lit(0).alias("turn"))
     query = asked.where("target is not null and slot is not null").select("target", "slot", "key", "rank", "at", F.lit(None).cast(own.schema["entry"].dataType).alias("entry"), F.lit(1).alias("turn"))
     met = opening.unionByName(own).unionByName(query)
     order = Window.partitionBy("target", "slot").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
@@ -119,7 +135,7 @@ def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(captures, entries)
 
 
-#: The same as plain joins; a target of a URL is its host, a parent domain, or the host with up to three path steps.
+#: The same as plain joins; a target of a URL is its host, a parent domain, or the host with a prefix of the path.
 ORACLE = r"""
 WITH parts AS (
   SELECT page_id, url, regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '\.$', '') AS host,
@@ -135,9 +151,9 @@ log AS (
 valid AS (SELECT target, listed, moment AS valid_from, lead(moment) OVER (PARTITION BY target ORDER BY moment) AS valid_to FROM log),
 steps AS (SELECT *, string_split(path, '/') AS s, string_split(host, '.') AS l FROM fetched WHERE host <> ''),
 asked AS (
-  SELECT page_id, moment, host || array_to_string(s[1:k + 1], '/') || CASE WHEN len(s) > k + 1 THEN '/' ELSE '' END AS target, 3 - k AS rank FROM steps, (VALUES (1), (2), (3)) AS v(k) WHERE len(s) > k
-  UNION ALL SELECT page_id, moment, host, 3 FROM steps
-  UNION ALL SELECT page_id, moment, array_to_string(l[k + 1:], '.'), 3 + k FROM steps, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(l) >= k + 2),
+  SELECT page_id, moment, host || array_to_string(s[1:k + 1], '/') || CASE WHEN len(s) > k + 1 THEN '/' ELSE '' END AS target, -k AS rank FROM (SELECT *, unnest(range(1, len(s))) AS k FROM steps)
+  UNION ALL SELECT page_id, moment, host, 0 FROM steps
+  UNION ALL SELECT page_id, moment, array_to_string(l[k + 1:], '.'), k FROM (SELECT *, unnest(range(1, len(l) - 1)) AS k FROM steps)),
 hits AS (
   SELECT a.page_id, a.target, a.rank, v.valid_from FROM asked a JOIN valid v ON a.target = v.target
   WHERE v.listed AND a.moment >= v.valid_from AND (v.valid_to IS NULL OR a.moment < v.valid_to)),

@@ -52,6 +52,33 @@ def test_intervals(spark):
     assert got["bad.com", at(5)] == (True, at(9, 3)) and got["bad.com", at(9, 20)] == (True, None) and got["both.net", at(5)] == (True, None)
 
 
-@pytest.mark.parametrize(("url", "want"), [("http://a.b.c.d/x/y/z/w?q#f", ["a.b.c.d/x/y/z/", "a.b.c.d/x/y/", "a.b.c.d/x/", "a.b.c.d", "b.c.d", "c.d"]), ("HTTP://A.b", ["a.b/", "a.b"]), ("http:///x", []), ("", [])])
+URLS = [("http://a.b.c.d/x/y/z/w?q#f", ["a.b.c.d/x/y/z/w", "a.b.c.d/x/y/z/", "a.b.c.d/x/y/", "a.b.c.d/x/", "a.b.c.d", "b.c.d", "c.d"]), ("HTTP://A.b", ["a.b/", "a.b"]), ("http:///x", []), ("", [])]
+
+
+@pytest.mark.parametrize(("url", "want"), URLS)
 def test_targets(spark, url, want):
-    assert spark.range(1).select(urlfilter.targets_of(F.lit(url)).alias("t")).first().t == want
+    def asked(slashes, labels):
+        depths = spark.range(1).select(F.lit(slashes).cast("array<int>").alias("slashes"), F.lit(labels).cast("array<int>").alias("labels"))
+        found = urlfilter.asked_targets(spark.range(1).select(F.lit(url).alias("url")), depths, "url").collect()
+        return [r.target for r in sorted(found, key=lambda r: r.rank or 0) if r.target is not None]
+
+    assert asked(list(range(20)), list(range(20))) == want
+    assert asked([2], [3]) == [t for t in want if t.count("/") == 2 or ("/" not in t and t.count(".") == 2)]
+
+
+def test_deep_entries_and_hosts(spark):
+    """Prefixes of any length and parents of any host, against every way to cut a URL."""
+    path = "/".join(f"s{k}" for k in range(12))
+    host = ".".join(f"h{k}" for k in range(9)) + ".example.com"
+    entries = [(f"deep.org/{path}/", at(1), True), ("deep.org/s0/s1/s2/s3/", at(2), True), ("example.com", at(1), True), ("com", at(1), True), ("h3.h4.h5.h6.h7.h8.example.com", at(1), True)]
+    captures = [(1, f"http://deep.org/{path}/x.html", at(3)), (2, "http://deep.org/s0/s1/s2/s3/e.html", at(3)), (3, f"http://{host}/", at(3)), (4, "http://deep.org/s0/s1/s2/s3", at(3)), (5, "http://deep.org/" + "a/" * 3_000, at(3))]
+    assert judged(spark, captures, entries) == {
+        1: (True, entries[0][0], at(1), 2), 2: (True, entries[1][0], at(2), 1), 3: (True, entries[4][0], at(1), 2), 4: (False, None, None, 0), 5: (False, None, None, 0),
+    }
+
+
+def test_other_keys_and_clashing_columns(spark):
+    rows = [("a", "http://bad.com/x", at(6)), ("a", "http://bad.com/x", at(6)), (None, "http://bad.com/x", at(6)), ("b", "http://fine.com", at(6))]
+    captures = spark.createDataFrame(rows, "page_id string, url string, fetched_at timestamp").withColumns({c: F.lit("x") for c in "key rank slashes labels at match target active blocked _host".split()})
+    entries = spark.createDataFrame(LIST, "target string, at timestamp, listed boolean").withColumns({c: F.lit("x") for c in "slot key slashes valid_to".split()})
+    assert {r.page_id: (r.blocked, r.active) for r in urlfilter.judge(captures, entries).collect()} == {"a": (True, 1), None: (True, 1), "b": (False, 0)}
