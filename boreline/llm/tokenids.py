@@ -44,7 +44,7 @@ BLOCK_IDS = 1 << 16
 FILE_IDS, FILE_DOCS = 1 << 25, 200_000
 END_ID = 2
 #: Units, or characters of units, that make a generation full, and units that are encoded by one call.
-CACHED_UNITS, CACHED_CHARS, JOINED = 450_000, 12 << 20, 2_000
+CACHED_UNITS, CACHED_CHARS, JOINED = 600_000, 16 << 20, 2_000
 TRAILER = struct.Struct("<6q8s")
 
 SPACES = re.compile(r" \s|\s ").search
