@@ -500,3 +500,27 @@ def _(spark, d):
     root = work_path(spark, "stream-rollup")
     _feed(spark, first, [first, second], lambda s: live.rollup(s, root, BUCKET_SECONDS, 60 * 86_400))
     return show(live.current_buckets(spark, root, first.schema), *ROLLUP_COLUMNS, *STATS, rounded=tuple(s for s in STATS if s.endswith("_avg")))
+
+
+@bound("stream_rollup_late", sql("tel", _rollup_sql("tel")))
+def _(spark, d):
+    """The newest readings come first and the oldest last, far behind any watermark; some come twice."""
+    columns = ["record_ts", "created_ts", "name", "id", "api_num", "fleet_name", "pad_name", *catalog.MEASURE_COLUMNS]
+    rows = tv.telemetry(spark, d).select(*columns)
+    parts = _late_parts(rows)[::-1]
+    parts[1] = parts[1].unionByName(parts[0].where("rate_slurry > 50"))
+    root = work_path(spark, "late-rollup")
+    _feed(spark, rows, parts, lambda s: live.rollup(s, root, BUCKET_SECONDS, 86_400))
+    return show(live.current_buckets(spark, root, rows.schema), *ROLLUP_COLUMNS, *STATS, rounded=tuple(s for s in STATS if s.endswith("_avg")))
+
+
+@bound("late_readings", sql("tel", f"""
+SELECT CAST(1 AS BIGINT) AS batch, name, time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, record_ts, TIMESTAMP '1970-01-01') AS bucket_ts, COUNT(*) AS readings FROM tel WHERE event_id % 10 >= 8
+GROUP BY 1, 2, 3 HAVING time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, MIN(record_ts), TIMESTAMP '1970-01-01') < (SELECT MAX(record_ts) FROM tel WHERE event_id % 10 < 8) - INTERVAL 1 DAY"""))
+def _(spark, d):
+    """What the second batch has of more than a day before the newest reading of the first."""
+    columns = ["record_ts", "created_ts", "name", "id", "api_num", "fleet_name", "pad_name", *catalog.MEASURE_COLUMNS]
+    rows = tv.telemetry(spark, d)
+    root = work_path(spark, "late-readings")
+    _feed(spark, rows.select(*columns), [tv.first_batch(rows).select(*columns), tv.second_batch(rows).select(*columns)], lambda s: live.rollup(s, root, BUCKET_SECONDS, 86_400))
+    return live.late_buckets(spark, root)

@@ -6,16 +6,20 @@ overwrites its own rows and nothing is counted twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import _parse_datatype_string
 
-from ..functions.clean import blank_to
+from ..functions.numbers import slot_start
+from ..operators import joins
 from ..operators import rollup as batch_rollup
-from ..sources.writes import prune_folder, read_folder, upsert_folder
+from ..session import stored
+from ..sources.writes import Change, commit_tables, prune_folder, prune_tables, read_folder, read_table, upsert_folder
 
-BUCKET_KEY = ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"]
+READING_KEY = ["created_ts", "record_ts", "name"]
+NEWEST = "record_ts timestamp_ntz, part string"
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -59,29 +63,66 @@ def merged_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
     return read_folder(spark, f"{root}/readings", T.StructType([*schema.fields, T.StructField("day", T.StringType())]), "day").drop("day")
 
 
-def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: int, every: str | None = None) -> StreamingQuery:
-    """Time buckets kept current, with every column of the batch roll-up.
+LATE = "batch bigint, name string, bucket_ts timestamp_ntz, readings bigint, day string"
 
-    Buckets older than the watermark are closed: rows that come later still
-    are for ``lookback_refresh``, which rolls up the stored readings. Each
-    batch upserts only the buckets it changed.
+
+def _bucket_day(column: str = "bucket_ts") -> Column:
+    return F.date_format(column, "yyyy-MM-dd")
+
+
+def apply_buckets(spark: SparkSession, root: str, batch: DataFrame, bucket_seconds: int, late_seconds: float, number: int = 0) -> None:
+    """One batch of readings into the stored readings and their buckets, by one commit.
+
+    A batch makes the (bucket, well) pairs that it has readings of dirty; these
+    are rolled up again from their stored readings, however old they are, and
+    take the place of what they were. Of the readings only the days of dirty
+    buckets are read. Pairs that are ``late_seconds`` behind the newest reading
+    there was before the batch are listed with their number of readings.
+    """
+    rows = stored(batch.where(F.col("name").isNotNull() & F.col("record_ts").isNotNull()).withColumn("day", F.date_format("record_ts", "yyyy-MM-dd")), "bucket-batch")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+    history = read_table(spark, root, "readings", schema, "day")
+    dirty = stored(rows.groupBy(slot_start("record_ts", bucket_seconds).alias("bucket_ts"), "name").agg(F.count(F.lit(1)).alias("readings")), "dirty-buckets")
+    ends = F.array("bucket_ts", F.col("bucket_ts") + F.make_dt_interval(secs=F.lit(float(bucket_seconds))))
+    days = dirty.select(F.explode(F.transform(F.sequence(F.to_date(ends[0]), F.to_date(ends[1])), lambda d: F.date_format(d, "yyyy-MM-dd"))).alias("day")).distinct()
+    touched = history.join(days, "day", "left_semi").withColumn("bucket_ts", slot_start("record_ts", bucket_seconds))
+    old = touched.join(dirty, ["bucket_ts", "name"], "left_semi").select(*rows.columns)
+    buckets = batch_rollup.tumbling_rollup(joins.keep_last(old, joins.latest_per_key(rows, READING_KEY, [*READING_KEY, "id"]), READING_KEY), bucket_seconds)
+    newest = read_table(spark, root, "newest", _parse_datatype_string(NEWEST), "part").agg(F.max("record_ts")).first()[0]
+    changes = {
+        "readings": Change(rows, tuple(READING_KEY), "day", (*READING_KEY, "id")),
+        "buckets": Change(buckets.withColumn("day", _bucket_day()), ("bucket_seconds", "bucket_ts", "name"), "day"),
+        "newest": Change(rows.agg(F.greatest(F.max("record_ts"), F.lit(newest).cast("timestamp_ntz")).alias("record_ts")).withColumn("part", F.lit("all")), ("part",), "part"),
+    }
+    if newest is not None:
+        behind = F.col("bucket_ts") < F.lit(newest).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(float(late_seconds)))
+        late = dirty.where(behind).select(F.lit(number).cast("bigint").alias("batch"), "name", "bucket_ts", "readings", _bucket_day().alias("day"))
+        changes["late"] = Change(late, ("batch", "name", "bucket_ts"), "day")
+    commit_tables(spark, root, changes)
+
+
+def rollup(stream: DataFrame, root: str, bucket_seconds: int, late_seconds: float, every: str | None = None) -> StreamingQuery:
+    """Time buckets kept current, with every column of the batch roll-up; no reading is too old to count.
+
+    Read them with ``current_buckets``, and with ``late_buckets`` those that
+    came more than ``late_seconds`` late. Resent readings take the place of
+    the stored ones and replayed batches change nothing.
     """
-    timed = stream.where(F.col("name").isNotNull()).withColumn("_t", F.col("record_ts").cast("timestamp")).withWatermark("_t", f"{late_seconds} seconds")
-    buckets = timed.groupBy(
-        F.window("_t", f"{bucket_seconds} seconds").alias("_w"),
-        blank_to("fleet_name").alias("fleet_name"), blank_to("pad_name").alias("pad_name"), "name",
-    ).agg(*batch_rollup.bucket_values())
-    shaped = batch_rollup.bucket_columns(buckets.withColumn("bucket_ts", F.col("_w.start").cast("timestamp_ntz")), bucket_seconds)
 
     def handle(batch: DataFrame, number: int) -> None:
-        dated = batch.withColumn("day", F.date_format("bucket_ts", "yyyy-MM-dd"))
-        upsert_folder(batch.sparkSession, f"{root}/buckets", dated, BUCKET_KEY, "day")
-        prune_folder(batch.sparkSession, f"{root}/buckets", dated.schema, "day", behind=1)
+        if not batch.isEmpty():
+            apply_buckets(batch.sparkSession, root, batch, bucket_seconds, late_seconds, number)
+            prune_tables(batch.sparkSession, root)
 
-    return _drain(shaped, f"{root}/checkpoint", handle, mode="update", every=every)
+    return _drain(stream, f"{root}/checkpoint", handle, every=every)
 
 
 def current_buckets(spark: SparkSession, root: str, feed: T.StructType) -> DataFrame:
     """The buckets as they stand; ``feed`` is the schema of the readings."""
     shape = batch_rollup.tumbling_rollup(spark.createDataFrame([], feed), 1).schema
-    return read_folder(spark, f"{root}/buckets", T.StructType([*shape.fields, T.StructField("day", T.StringType())]), "day").drop("day")
+    return read_table(spark, root, "buckets", T.StructType([*shape.fields, T.StructField("day", T.StringType())]), "day").drop("day")
+
+
+def late_buckets(spark: SparkSession, root: str) -> DataFrame:
+    """``batch, name, bucket_ts, readings`` of what came late."""
+    return read_table(spark, root, "late", _parse_datatype_string(LATE), "day").drop("day")
