@@ -59,6 +59,97 @@ def tumbling_rollup(df: DataFrame, bucket_seconds: int) -> DataFrame:
     return bucket_columns(rows.groupBy("bucket_ts", "fleet_name", "pad_name", "name").agg(*bucket_values()), bucket_seconds)
 
 
+# --- pyramid of roll-ups -----------------------------------------------------
+
+PYRAMID_KEY = ["bucket_seconds", "bucket_ts", "fleet_name", "pad_name", "name"]
+
+
+def _first_of(column: str = "record_ts") -> Column:
+    created = F.col("created_ts")
+    return F.struct(F.col(column), created.isNull().alias("none"), created, F.col("id"), F.struct(*MEASURE_COLUMNS).alias("reading"))
+
+
+def base_level(df: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Buckets as sums, non-null counts, extremes, and first and last reading: what larger buckets can be merged from."""
+    rows = df.where(F.col("record_ts").isNotNull() & F.col("name").isNotNull()).withColumns(
+        {"bucket_ts": slot_start("record_ts", bucket_seconds), "fleet_name": blank_to("fleet_name"), "pad_name": blank_to("pad_name"), "bucket_seconds": F.lit(int(bucket_seconds))}
+    )
+    return rows.groupBy(*PYRAMID_KEY).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(m).alias(f"{m}_{s}") for m in MEASURE_COLUMNS for s, f in (("sum", F.sum), ("cnt", F.count), ("min", F.min), ("max", F.max))],
+        F.min(_first_of()).alias("opening"),
+        F.max(_first_of()).alias("closing"),
+    )
+
+
+def next_level(level: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Buckets of a multiple of the width, merged from those of one level."""
+    wide = level.withColumns({"bucket_ts": slot_start("bucket_ts", bucket_seconds), "bucket_seconds": F.lit(int(bucket_seconds))})
+    return wide.groupBy(*PYRAMID_KEY).agg(
+        F.sum("n").alias("n"),
+        *[f(f"{m}_{s}").alias(f"{m}_{s}") for m in MEASURE_COLUMNS for s, f in (("sum", F.sum), ("cnt", F.sum), ("min", F.min), ("max", F.max))],
+        F.min("opening").alias("opening"),
+        F.max("closing").alias("closing"),
+    )
+
+
+def pyramid(df: DataFrame, widths: list[int]) -> DataFrame:
+    """Mergeable buckets of every width, each level made from the one below; readings are read once.
+
+    Each width is a multiple of the one before it.
+    """
+    if any(b % a for a, b in zip(widths, widths[1:])):
+        raise ValueError("each width must be a multiple of the one before it")
+    level = base_level(df, widths[0])
+    out = level
+    for width in widths[1:]:
+        level = next_level(level, width)
+        out = out.unionByName(level)
+    return out
+
+
+def refreshed_levels(old: DataFrame, base: DataFrame, widths: list[int]) -> DataFrame:
+    """The buckets of all levels that change when ``base`` replaces buckets of the lowest one.
+
+    ``old`` holds all levels. Of each level only the parents of what changed
+    below are merged again, from the children they have.
+    """
+    changed, out = base, base
+    for below, width in zip(widths, widths[1:]):
+        own = [c for c in PYRAMID_KEY if c != "bucket_seconds"]
+        parent = slot_start("bucket_ts", width)
+        touched = changed.select(parent.alias("_parent"), "name", "fleet_name", "pad_name").distinct()
+        kept = old.where(F.col("bucket_seconds") == below).join(changed.select(*own), own, "left_anti")
+        kept = kept.withColumn("_parent", parent).join(touched, ["_parent", "name", "fleet_name", "pad_name"], "left_semi").drop("_parent")
+        changed = next_level(kept.unionByName(changed), width)
+        out = out.unionByName(changed)
+    return out
+
+
+def pyramid_values(levels: DataFrame) -> DataFrame:
+    """Buckets as charts read them: counts, and average, extremes, first and last of each measure."""
+    return levels.select(
+        *PYRAMID_KEY,
+        F.col("opening.record_ts").alias("first_record_ts"),
+        F.col("closing.record_ts").alias("last_record_ts"),
+        F.col("n").alias("records_in_bucket"),
+        *[
+            c
+            for m in MEASURE_COLUMNS
+            for c in (
+                (F.col(f"{m}_sum") / F.nullif(F.col(f"{m}_cnt"), F.lit(0))).alias(f"{m}_avg"), F.col(f"{m}_min"), F.col(f"{m}_max"),
+                F.col(f"opening.reading.{m}").alias(f"{m}_first"), F.col(f"closing.reading.{m}").alias(f"{m}_last"),
+            )
+        ],
+    )
+
+
+def level_for(levels: DataFrame, span_seconds: float, widths: list[int], points: int = 2_000) -> DataFrame:
+    """The finest level that shows a span with no more than ``points`` buckets, or the coarsest one."""
+    fit = [w for w in widths if span_seconds / w <= points] or widths[-1:]
+    return levels.where(F.col("bucket_seconds") == fit[0])
+
+
 def bucket_average(df: DataFrame, bucket_seconds: int, measures: list[str]) -> DataFrame:
     """Mean of the measures and row count per (well, bucket)."""
     return df.groupBy("name", slot_start("record_ts", bucket_seconds).alias("bucket_ts")).agg(

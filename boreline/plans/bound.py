@@ -174,6 +174,37 @@ def _(spark, d):
     return signatures.population_signature(signed, "v1", ["name", "stage_num_td"], "source_signature")
 
 
+PATH = ["fleet_name", "pad_name", "name"]
+_TREE_SUMS = ", ".join(f"CAST(SUM(CAST(CAST('0x' || substr(m, {1 + 15 * k}, 15) AS BIGINT) AS HUGEINT)) % {1 << 60} AS BIGINT) AS d{k}" for k in range(2))
+
+
+@bound("signature_tree", sql("tel", "\nUNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS level, {', '.join(c if i < k else f'CAST(NULL AS VARCHAR) AS {c}' for i, c in enumerate(PATH))}, COUNT(*) AS rows, {_TREE_SUMS} FROM mem" + (f" GROUP BY {', '.join(PATH[:k])}" if k else "")
+    for k in range(4)), f"\nmem AS (SELECT fleet_name, pad_name, name, md5(id || '|' || {text('record_ts')} || '|' || event_type) AS m FROM tel)"))
+def _(spark, d):
+    """Signatures of all readings, by fleet, pad and well; the second batch moves the tree of the first along its own paths."""
+    rows = tv.telemetry(spark, d).select(*PATH, "id", "record_ts", "event_type", "event_id")
+    signed = ["id", "record_ts", "event_type"]
+    old = signatures.signature_tree(tv.first_batch(rows), PATH, signed)
+    wells = tv.second_batch(rows).select(*PATH).distinct()
+    leaves = signatures.signature_tree(rows.join(wells, PATH, "left_semi"), PATH, signed).where(F.col("level") == len(PATH))
+    before = old.where(F.col("level") == len(PATH)).join(wells, PATH, "left_semi")
+    moved = signatures.moved_tree(old, before, leaves, PATH)
+    keys = ["level", *PATH]
+    gone = moved.select(*[F.col(c).alias(f"m_{c}") for c in keys])
+    kept = old.join(gone, signatures.same_key([(c, f"m_{c}") for c in keys]), "left_anti")
+    return kept.unionByName(moved).select(*keys, *signatures.TREE)
+
+
+@bound("changed_by_tree", sql("tel", """
+SELECT fleet_name, pad_name, name, CASE WHEN COUNT(*) FILTER (event_id % 10 < 8) = 0 THEN 'added' ELSE 'changed' END AS change FROM tel GROUP BY 1, 2, 3 HAVING COUNT(*) FILTER (event_id % 10 >= 8) > 0"""))
+def _(spark, d):
+    """The wells that a batch changed, found by descending two trees."""
+    rows = tv.telemetry(spark, d).select(*PATH, "id", "record_ts", "event_type", "event_id")
+    signed = ["id", "record_ts", "event_type"]
+    return signatures.changed_entities(signatures.signature_tree(tv.first_batch(rows), PATH, signed), signatures.signature_tree(rows, PATH, signed), PATH)
+
+
 # --- P: projections, filters, predicates -----------------------------------
 
 
@@ -448,6 +479,27 @@ def _(spark, d):
     return show(rollup.tumbling_rollup(tv.telemetry(spark, d), BUCKET_SECONDS), *ROLLUP_COLUMNS, *STATS, rounded=tuple(s for s in STATS if s.endswith("_avg")))
 
 
+WIDTHS = [BUCKET_SECONDS, 6 * BUCKET_SECONDS, 24 * BUCKET_SECONDS]
+PYRAMID_STATS = ["rate_slurry_avg", "rate_slurry_min", "rate_slurry_max", "rate_slurry_first", "rate_slurry_last", "press_mainline_avg"]
+
+
+@bound("rollup_pyramid", sql("tel", "\nUNION ALL ".join(f"""
+SELECT CAST({width} AS INTEGER) AS bucket_seconds, time_bucket(INTERVAL {width} SECOND, record_ts, TIMESTAMP '1970-01-01') AS bucket_ts, COALESCE(NULLIF(fleet_name, ''), 'Unknown') AS fleet_name, pad_name, name,
+       COUNT(*) AS records_in_bucket, {r('AVG(rate_slurry)')} AS rate_slurry_avg, MIN(rate_slurry) AS rate_slurry_min, MAX(rate_slurry) AS rate_slurry_max,
+       arg_min(rate_slurry, record_ts) AS rate_slurry_first, arg_max(rate_slurry, record_ts) AS rate_slurry_last, {r('AVG(press_mainline)')} AS press_mainline_avg
+FROM tel GROUP BY 2, 3, 4, 5""" for width in WIDTHS)))
+def _(spark, d):
+    """Three widths of the first batch, refreshed where the second one has readings."""
+    rows = tv.telemetry(spark, d)
+    old = rollup.pyramid(tv.first_batch(rows), WIDTHS)
+    bucket = slot_start("record_ts", WIDTHS[0])
+    dirty = tv.second_batch(rows).select(bucket.alias("_b"), F.col("name").alias("_name")).distinct()
+    base = rollup.base_level(rows.join(dirty, (bucket == F.col("_b")) & (F.col("name") == F.col("_name")), "left_semi"), WIDTHS[0])
+    fresh = rollup.refreshed_levels(old, base, WIDTHS)
+    now = old.join(fresh.select(*rollup.PYRAMID_KEY), rollup.PYRAMID_KEY, "left_anti").unionByName(fresh)
+    return show(rollup.pyramid_values(now), *rollup.PYRAMID_KEY, "records_in_bucket", *PYRAMID_STATS, rounded=("rate_slurry_avg", "press_mainline_avg"))
+
+
 @bound("bucket_average", sql("tel", f"""
 SELECT name, time_bucket(INTERVAL {BUCKET_SECONDS} SECOND, record_ts, TIMESTAMP '1970-01-01') AS bucket_ts, {r('AVG(rate_slurry)')} AS rate_slurry,
        {r('AVG(press_mainline)')} AS press_mainline, COUNT(*) AS records_in_bucket FROM tel GROUP BY 1, 2"""))

@@ -11,7 +11,7 @@ from boreline.functions.clean import blank_to, name_family, normal_label, number
 from boreline.functions.numbers import round_half_up, slot
 from boreline.operators import anomaly, intervals, islands, joins, labelling, ordered, rollup, scores, stages
 from boreline.plans import flows, reports
-from boreline.sources import catalog, reads, writes
+from boreline.sources import catalog, reads, signatures, writes
 
 T0 = datetime(2024, 1, 1)
 
@@ -346,3 +346,32 @@ def test_labellers_may_trim_or_skip_a_stage(spark):
     column = labelling.label_stages(df, F.when(F.col("stage_num_td") == 1, "one"))
     assert {(r.stage_num_td, r.substage) for r in column.collect()} == {(1, "one"), (2, "NA")}
     assert "Exchange" not in column._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_signature_tree_finds_what_changed(spark):
+    path, schema = ["fleet", "well"], "fleet string, well string, v int"
+    rows = [(f, w, k) for f in ("x", "y", None) for w in ("a", "b") for k in range(5)]
+    old = signatures.signature_tree(spark.createDataFrame(rows, schema), path, ["v"])
+    again = signatures.signature_tree(spark.createDataFrame(rows[::-1], schema).repartition(5), path, ["v"])
+    assert sorted(map(repr, old.collect())) == sorted(map(repr, again.collect())) and old.count() == 1 + 3 + 6
+    assert signatures.changed_entities(old, again, path).count() == 0
+    changed = [r for r in rows if r[:2] != ("y", "b")] + [(None, "a", 4), ("x", "c", 1)]
+    new = signatures.signature_tree(spark.createDataFrame(changed, schema), path, ["v"])
+    got = {tuple(r) for r in signatures.changed_entities(old, new, path).collect()}
+    assert got == {("y", "b", "lost"), (None, "a", "changed"), ("x", "c", "added")}
+    keys = F.concat_ws("|", F.coalesce("fleet", F.lit("-")), "well").isin("y|b", "-|a", "x|c") & (F.col("level") == 2)
+    moved = signatures.moved_tree(old, old.where(keys), new.where(keys), path)
+    after = {tuple(r)[:3]: tuple(r) for r in old.collect()} | {tuple(r)[:3]: tuple(r) for r in moved.collect()}
+    assert {r for r in after.values() if r[3]} == {tuple(r) for r in new.collect()}
+
+
+def test_a_pyramid_is_made_of_multiples(spark):
+    rows = readings(spark, ("a", 0, 1), ("a", 119, 3), ("a", 120, 5), ("a", 3_700, 9), ("b", 86_399, 2)).withColumns({c: F.lit(None).cast("string") for c in ("fleet_name", "pad_name", "api_num")})
+    rows = rows.withColumns({m: F.lit(None).cast("double") for m in catalog.MEASURE_COLUMNS if m not in rows.columns})
+    levels = rollup.pyramid_values(rollup.pyramid(rows, [120, 3_600, 86_400]))
+    got = {(r.bucket_seconds, r.name, r.bucket_ts): (r.records_in_bucket, r.rate_slurry_avg, r.rate_slurry_last) for r in levels.collect()}
+    assert got[86_400, "a", at(0)] == (4, 4.5, 9.0) and got[3_600, "a", at(0)] == (3, 3.0, 5.0) and got[120, "a", at(0)] == (2, 2.0, 3.0) and len(got) == 3 + 1 + 2 + 1 + 1 + 1
+    assert levels.where("prop_conc_target_avg is not null").count() == 0
+    assert {r.bucket_seconds for r in rollup.level_for(levels, 86_400, [120, 3_600, 86_400], 100).collect()} == {3_600}
+    with pytest.raises(ValueError, match="multiple"):
+        rollup.pyramid(rows, [120, 500])
