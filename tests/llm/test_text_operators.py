@@ -76,33 +76,74 @@ def test_parts_count_like_the_whole():
         fingerprint.PART = kept
 
 
-PASSAGE = "this passage of many words was put into two documents. it has a second sentence that is long enough too. and a third one which ends here with words."
+PASSAGE = "this passage of many words was put into two documents. it has a second sentence that is long enough too, and goes on for a while. and a third one which ends here with some more words than before."
+
+
+def sentences(text):
+    """Spans of the sentences of every line, character by character."""
+    out, start = [], None
+    for k, c in enumerate(text + "\n"):
+        if start is None:
+            if not c.isspace():
+                start = k
+        elif c == "\n":
+            out.append((start, k))
+            start = None
+        if start is not None and c in ".!?" and (text + "\n")[k + 1].isspace() or start is not None and c in "\u3002\uff01\uff1f" and (text + "\n")[k + 1] not in "\u3002\uff01\uff1f":
+            out.append((start, k + 1))
+            start = None
+    return out
+
+
+def passages_by_hand(rows, least=substring.MIN_CHARS):
+    """(key, start, end, first key) of the runs of sentences that stand elsewhere before."""
+    places = {}
+    for key, text in sorted(set(rows)):
+        for n, (a, b) in enumerate(sentences(text)):
+            places.setdefault(" ".join(text[a:b].lower().split()), []).append((key, a, b, n))
+    out = set()
+    for key, text in set(rows):
+        run = []
+        for a, b in [*sentences(text), (None, None)]:
+            unit = a is not None and " ".join(text[a:b].lower().split())
+            first = unit is not False and min(places[unit])
+            if unit is not False and first[:2] != (key, a):
+                run.append((a, b, len(unit), first[0]))
+            elif run:
+                if sum(r[2] for r in run) + len(run) - 1 >= least:
+                    out.add((key, run[0][0], run[-1][1], run[0][3]))
+                run = []
+    return out
 
 
 def test_passages(spark, docs, odd_rows):
+    verse = "\n".join(f"line {k} of a verse\nis short" for k in range(9))
+    chinese = "\u8fd9\u662f\u4e00\u4e2a\u6bb5\u843d" * 30
     rows = [(1, f"Intro one\n{PASSAGE}\nend"), (2, f"other words before {PASSAGE} and more behind it"), (3, f"A line\n{PASSAGE.upper()}"), (4, "short line\nshort line"), (4, "short line\nshort line"), (5, PASSAGE.replace(" ", "   ")), (5, PASSAGE.replace(" ", "   ")), (None, PASSAGE)]
+    rows += [(6, verse), (7, f"before\n{verse}\nafter"), (8, chinese), (9, f"x\n{chinese}"), (10, "it has a second sentence that is long enough too, and goes on for a while."), (11, None), (12, "")]
     got = substring.repeated_passages(docs(rows)).collect()
-    texts = dict(rows)
-    assert {(r.doc_id, r.kind) for r in got} == {(2, "sentence"), (3, "line"), (5, "line")}
-    assert all(r.first_doc_id == 1 for r in got)
-    inner = sorted(texts[2][r.start : r.end] for r in got if r.doc_id == 2)
-    assert inner == ["and a third one which ends here with words.", "it has a second sentence that is long enough too."]
-    cut = {r.doc_id: r.text for r in substring.without_passages(docs(rows[:3]), substring.repeated_passages(docs(rows[:3]))).collect()}
-    assert cut[1] == texts[1] and cut[3] == "A line\n" and "second sentence" not in cut[2] and cut[2].startswith("other words before")
-    assert substring.repeated_passages(docs(odd_rows)).count() == 0
+    texts = {k: t for k, t in rows if k is not None and t}
+    assert {(r.doc_id, r.start, r.end, r.first_doc_id) for r in got} == passages_by_hand(list(texts.items()))
+    found = {r.doc_id: texts[r.doc_id][r.start : r.end] for r in got}
+    assert set(found) == {2, 3, 5, 7, 9} and found[7] == verse and found[9] == chinese and found[2].startswith("it has") and found[2].endswith("before.")
+    assert {r.doc_id: r.units for r in got}[3] == 3
+    cut = {r.doc_id: r.text for r in substring.without_passages(docs(rows), substring.repeated_passages(docs(rows))).collect()}
+    assert cut[1] == texts[1] and cut[3] == "A line\n" and cut[7] == "before\n\nafter" and cut[11] is None and "second sentence" not in cut[2] and cut[10] == texts[10]
     assert substring.repeated_passages(docs([])).count() == 0
+    odd = [(k, t) for k, t in odd_rows if k is not None and t]
+    assert {(r.doc_id, r.start, r.end, r.first_doc_id) for r in substring.repeated_passages(docs(odd_rows)).collect()} == passages_by_hand(odd)
+
+
+def test_rows_of_one_key_are_told_apart(spark, docs):
+    rows = [(1, PASSAGE), (2, f"own words here\n{PASSAGE}"), (2, f"none of it here, but words of the same number\n{PASSAGE}\nend")]
+    cut = sorted(r.text for r in substring.without_passages(docs(rows), substring.repeated_passages(docs(rows))).collect())
+    assert cut == ["none of it here, but words of the same number\n\nend", "own words here\n", PASSAGE]
 
 
 def test_passages_are_brute_force(spark, sf_dir):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    places = {}
-    for key, text in rows:
-        for start, end, kind, _ in substring.units(text):
-            places.setdefault(" ".join(text[start:end].lower().split()), []).append((key, start, end, kind))
-    gone = {p for owners in places.values() for p in owners if p[:2] != min(owners)[:2]}
-    lines = [p for p in gone if p[3] == "line"]
-    gone = {p for p in gone if p[3] == "line" or not any(q[0] == p[0] and q[1] <= p[1] and p[2] <= q[2] for q in lines)}
-    assert {(r.doc_id, r.start, r.end, r.kind) for r in substring.op7_substring(spark, sf_dir).collect()} == gone and gone
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {(r.doc_id, r.start, r.end, r.first_doc_id) for r in substring.op7_substring(spark, sf_dir).collect()}
+    assert got == passages_by_hand(rows) and got
 
 
 ITEM = "Anna buys 12 apples for 3 dollars in Paris and then sells 5 apples for 20 dollars, how much money is left for Anna?"
