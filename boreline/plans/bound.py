@@ -13,7 +13,7 @@ from ..functions.clean import (
 )
 from ..functions.display import EVENT_COLORS, EVENT_OTHER, band_color, lookup
 from ..functions.numbers import round_half_up, slot_start
-from ..operators import anomaly, intervals, islands, joins, labelling, ordinals, presence, rollup, scores, stages
+from ..operators import anomaly, intervals, islands, joins, labelling, machines, orderstats, ordinals, presence, rollup, scores, stages
 from ..operators.anomaly import Limits
 from ..session import stored, use_utc
 from ..sources import catalog, reads, signatures, testviews as tv, writes
@@ -982,6 +982,24 @@ def _(spark, d):
     return labelling.restart_positions(tv.labels(spark, d), tv.marker_labels(spark, d))
 
 
+@bound("machine_restarts", sql("lab mark", """
+SELECT name, stage_num_td, stage_end_at, MIN(datetime_fmt) AS restart_at FROM tl p WHERE substage = 'PRE'
+  AND EXISTS (SELECT 1 FROM tl x WHERE x.name = p.name AND x.stage_num_td = p.stage_num_td AND x.substage IN ('LOW', 'PRE_LOW') AND x.datetime_fmt < p.datetime_fmt)
+  AND EXISTS (SELECT 1 FROM tl x WHERE x.name = p.name AND x.stage_num_td = p.stage_num_td AND x.substage = 'MID_TRIAL' AND x.datetime_fmt > p.datetime_fmt)
+GROUP BY 1, 2, 3""", RESTART_SQL))
+def _(spark, d):
+    """The restart search as a state machine, its slots on many tasks."""
+    keys = ["name", "stage_num_td", "datetime_fmt"]
+    markers = tv.marker_labels(spark, d).select(*keys, F.col("substage").alias("marker"))
+    return machines.restarts(tv.labels(spark, d).select(*keys, "substage").join(markers, keys), slot_seconds=SLOT)
+
+
+@bound("machine_runs", sql("long", "SELECT name, stage_num_td, record_ts, mask, kept FROM m2", MASK_SQL))
+def _(spark, d):
+    """Runs of three rows at least, by a machine that counts from both sides."""
+    return machines.long_runs(_masked(spark, d).select("name", "stage_num_td", "record_ts", "mask"), ["name", "stage_num_td"], "record_ts", "mask", 3, "kept", SLOT)
+
+
 PARTS_SQL = """
 med AS (SELECT name, stage_num_td, CASE WHEN median(rate_slurry) > 0 THEN median(rate_slurry) END AS design_rate_d FROM mark WHERE substage IN ('MID_TRIAL', 'MID') GROUP BY 1, 2),
 lng AS (SELECT name, stage_num_td, MAX(sample_count) AS longest FROM (""" + _islands_sql("(SELECT name, stage_num_td, datetime_fmt, substage IN ('design', 'slurry') AS d FROM lab)", "name, stage_num_td", "datetime_fmt", "d") + """) WHERE d GROUP BY 1, 2),
@@ -1040,6 +1058,28 @@ def _(spark, d):
     return scores.population_scores(stored(_parts(spark, d), "parts")).select("name", "stage_num_td", "top_driver", *[shown(c) for c in SCORE_VALUES])
 
 
+@bound("population_update", f"""
+WITH now AS (SELECT o_orderkey, o_totalprice AS price, CAST(o_custkey AS DOUBLE) AS load, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END AS part FROM orders),
+ranked AS (SELECT o_orderkey, 100.0 * percent_rank() OVER (ORDER BY price) AS rank_price, 100.0 * percent_rank() OVER (ORDER BY load DESC) AS rank_load FROM now),
+partial AS (SELECT o_orderkey, 100.0 * percent_rank() OVER (ORDER BY part DESC) AS rank_part FROM now WHERE part IS NOT NULL)
+SELECT r.o_orderkey, {r('rank_price')} AS rank_price, {r('rank_load')} AS rank_load, {r('COALESCE(rank_part, 0)')} AS rank_part FROM ranked r LEFT JOIN partial s ON s.o_orderkey = r.o_orderkey
+WHERE r.o_orderkey % 4 = 0 OR r.o_orderkey % 7 = 0""")
+def _(spark, d):
+    """A population of orders, of which a quarter comes later and a seventh changes its price: ranks of those, from the counts that they move."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("double")
+    now = tv.table(spark, d, "orders").select("o_orderkey", price.alias("price"), F.col("o_custkey").cast("double").alias("load"), F.when(key % 3 == 0, price).alias("part"))
+    old = now.where(key % 4 != 0).withColumn("price", F.when(key % 7 == 0, F.col("price") * 2 + 1).otherwise(F.col("price")))
+    parts = {"price": True, "load": False, "part": False}
+    cuts = orderstats.range_cuts(old, list(parts))
+    counts = stored(orderstats.value_counts(old, list(parts), cuts), "counts")
+    totals = stored(orderstats.range_totals(counts), "totals")
+    batch = now.where((key % 4 == 0) | (key % 7 == 0))
+    moved = stored(orderstats.moved_counts(counts, old.where(key % 7 == 0), batch, list(parts), cuts), "moved")
+    totals = orderstats.moved_totals(totals, counts, moved)
+    ranks = orderstats.member_ranks(batch, ["o_orderkey"], parts, orderstats.with_moved(counts, moved), totals, cuts)
+    return show(ranks, "o_orderkey", *[f"rank_{p}" for p in parts], rounded=tuple(f"rank_{p}" for p in parts))
+
+
 _BAND = "CASE WHEN AVG(composite_score) >= 70 THEN '#2A9D6F' WHEN AVG(composite_score) >= 45 THEN '#E6A23C' ELSE '#D9534F' END"
 
 

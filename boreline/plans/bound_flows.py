@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import labelling, ordinals, stages
+from ..operators import labelling, ordinals, rollup, stages
 from ..operators.intervals import interval_join
 from ..operators.joins import active_runs
 from ..operators.labelling import Fold, Trimmed
@@ -17,7 +17,7 @@ from ..session import stored, work_path
 from ..sources import catalog, reads, testviews as tv, writes
 from ..sources.testviews import BUCKET_SECONDS, GAP_SECONDS, LONG_GAP_SECONDS
 from ..streaming import live, merged, sessions
-from . import flows
+from . import flows, runs
 from .bound import (
     ANOM_SQL, ROLLUP_COLUMNS, STATS, _rollup_sql, DESIGN_SQL, EVENT_SQL, FIRST, GRID_SQL, LATE_SQL, LIMITS, LINE_COLUMNS, ORDINAL_SQL, ORDINAL_WINDOW, SCORE_VALUES, SCORE_VIEWS, SLOT, SMARK,
     SUMMARY_SQL, WELL_COLUMNS, _events, _ordinal_windows_sql, bound, show, shown,
@@ -524,3 +524,86 @@ def _(spark, d):
     root = work_path(spark, "late-readings")
     _feed(spark, rows.select(*columns), [tv.first_batch(rows).select(*columns), tv.second_batch(rows).select(*columns)], lambda s: live.rollup(s, root, BUCKET_SECONDS, 86_400))
     return live.late_buckets(spark, root)
+
+
+# --- runs that are taken up again --------------------------------------------
+
+
+def _until_done(first: DataFrame, every: DataFrame, run) -> None:
+    """Runs over part of the source until nothing is due, then over all of it."""
+    for rows in (first, every):
+        while run(rows):
+            pass
+
+
+def _ordinal_run(spark, d) -> tuple[str, dict[str, DataFrame]]:
+    """Ordinals of every well whose markers changed, some wells a run; returns the folder and empty frames of the tables' shapes."""
+    root = work_path(spark, "ordinal-run")
+    markers, telemetry = stored(tv.marker_labels(spark, d, GAP_SECONDS), "markers"), stored(tv.readings(spark, d), "telemetry")
+
+    def compute(rows: DataFrame, names: DataFrame) -> dict[str, DataFrame]:
+        return flows.ordinal_flow(rows, telemetry.join(names, "name", "left_semi"))
+
+    most = markers.select("name").distinct().count() // 2 + 1
+    first = markers.where(F.col("datetime_fmt") < reads.time_literal("2024-01-20"))
+    columns = ["stage_num_td", "datetime_fmt", "substage"]
+    _until_done(first, markers, lambda rows: runs.run_changed_wells(spark, root, rows, columns, compute, "ordinals-v1", "2024-01-31", most))
+    return root, compute(markers.limit(0), markers.select("name").limit(0))
+
+
+@bound("ordinal_run", sql("stg", "SELECT name, datetime_fmt, ordinal_provisional, ordinal_confirmed, ordinal_continuous FROM ord", SMARK, ORDINAL_SQL))
+def _(spark, d):
+    root, shapes = _ordinal_run(spark, d)
+    return runs.read_run(spark, root, "rows", shapes["rows"].schema).select("name", "datetime_fmt", "ordinal_provisional", "ordinal_confirmed", "ordinal_continuous")
+
+
+@bound("ordinal_index_run", sql("stg", "\nUNION ALL ".join(_ordinal_windows_sql(layer) for layer in ordinals.LAYERS), SMARK, ORDINAL_SQL))
+def _(spark, d):
+    root, shapes = _ordinal_run(spark, d)
+    return show(runs.read_run(spark, root, "windows", shapes["windows"].schema), *ORDINAL_WINDOW, rounded=("avg_rate_slurry", "avg_press_mainline"))
+
+
+@bound("row_label_run", sql("stg", """
+SELECT name, stage_num_td, record_ts AS datetime_fmt, CASE WHEN p IS NULL THEN 'NA' WHEN n IS NULL THEN 'last' WHEN rate_slurry = top THEN 'peak' WHEN rate_slurry > p THEN 'up' WHEN rate_slurry < p THEN 'down' ELSE 'flat' END AS substage
+FROM (SELECT *, LAG(rate_slurry) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS p, LEAD(record_ts) OVER (PARTITION BY name, stage_num_td ORDER BY record_ts) AS n,
+  MAX(rate_slurry) OVER (PARTITION BY name, stage_num_td) AS top FROM stg)"""))
+def _(spark, d):
+    """Labels of the wells whose readings changed, some wells a run."""
+    rows = stored(tv.readings(spark, d), "readings")
+    root = work_path(spark, "label-run")
+
+    def compute(own: DataFrame, names: DataFrame) -> dict[str, DataFrame]:
+        return {"labels": flows.label_rows(stages.assign_stages(own, GAP_SECONDS), trend_labeller)}
+
+    most = rows.select("name").distinct().count() // 2 + 1
+    _until_done(tv.first_batch(rows), rows, lambda part: runs.run_changed_wells(spark, root, part, ["id", "record_ts"], compute, "rows-v2", "2024-01-31", most))
+    shape = compute(rows.limit(0), rows.select("name"))["labels"].schema
+    return runs.read_run(spark, root, "labels", shape).select("name", "stage_num_td", "datetime_fmt", "substage")
+
+
+@bound("recompute_run", sql("win wells", f"SELECT {', '.join(f'w.{c}' for c in BATCH_WINDOW)}, x.sample_count AS well_rows FROM win w JOIN wells x ON x.name = w.name"))
+def _(spark, d):
+    """Windows, labels and index of the wells whose readings changed, some wells a run."""
+    rows = stored(tv.telemetry(spark, d), "readings")
+    root = work_path(spark, "recompute-run")
+    none = stages.stage_windows(rows.limit(0), GAP_SECONDS)
+
+    def compute(own: DataFrame, names: DataFrame) -> dict[str, DataFrame]:
+        out = flows.recompute_flow(own, names, none, GAP_SECONDS, marker_column(), design_column())
+        return {"windows": out["fresh"], "wells": out["wells"], "labels": out["labels"]}
+
+    most = rows.select("name").distinct().count() // 2 + 1
+    _until_done(tv.first_batch(rows), rows, lambda part: runs.run_changed_wells(spark, root, part, ["id", "record_ts"], compute, "stages-v1", "2024-01-31", most))
+    shapes = {"windows": none.schema, "wells": rollup.well_index(rows.limit(0)).schema}
+    wells = runs.read_run(spark, root, "wells", shapes["wells"]).select("name", F.col("sample_count").alias("well_rows"))
+    return runs.read_run(spark, root, "windows", shapes["windows"]).select(*BATCH_WINDOW).join(wells, "name").select(*BATCH_WINDOW, "well_rows")
+
+
+@bound("backfill_run", sql("tel", _rollup_sql("tel")))
+def _(spark, d):
+    """A roll-up of everything, a few days a run, each run from the stored cursor."""
+    rows = tv.telemetry(spark, d)
+    root = work_path(spark, "backfill")
+    while runs.run_backfill(spark, root, rows, BUCKET_SECONDS, 24, 12):
+        pass
+    return show(runs.read_buckets(spark, root, rows.schema), *ROLLUP_COLUMNS, *STATS, rounded=tuple(s for s in STATS if s.endswith("_avg")))

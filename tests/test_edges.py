@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from boreline.functions.clean import blank_to, name_family, normal_label, number_text
 from boreline.functions.numbers import round_half_up, slot
-from boreline.operators import anomaly, intervals, islands, joins, labelling, ordered, rollup, scores, stages
+from boreline.operators import anomaly, intervals, islands, joins, labelling, machines, ordered, rollup, scores, stages
 from boreline.plans import flows, reports
 from boreline.sources import catalog, reads, signatures, writes
 
@@ -375,3 +375,27 @@ def test_a_pyramid_is_made_of_multiples(spark):
     assert {r.bucket_seconds for r in rollup.level_for(levels, 86_400, [120, 3_600, 86_400], 100).collect()} == {3_600}
     with pytest.raises(ValueError, match="multiple"):
         rollup.pyramid(rows, [120, 500])
+
+
+def test_a_machine_over_slots_equals_one_over_rows(spark):
+    import random
+
+    rng = random.Random(4)
+    steps = tuple(tuple(rng.randrange(5) for _ in range(4)) for _ in range(5))
+    rows = [(n, None if rng.random() < 0.02 else at(rng.randrange(40_000)), k, None if rng.random() < 0.05 else rng.randrange(6)) for n in ("a", "b", None) for k in range(300)]
+    df = spark.createDataFrame(rows, "name string, t timestamp_ntz, id int, s int").repartition(7)
+    for reverse in (False, True):
+        want = {}
+        for n in ("a", "b", None):
+            state = 2
+            own = sorted((r for r in rows if r[0] == n), key=lambda r: (r[1] is not None, r[1] or T0, r[2]), reverse=reverse)
+            for _, _, k, s in own:
+                before = state
+                state = steps[state][s] if s is not None and s < 4 else state
+                want[n, k] = (before, state)
+        out = machines.run_machine(df, machines.Machine(steps, 2), F.col("s"), ["name"], "t", ["id"], 600.0, reverse)
+        assert out.columns == [*df.columns, machines.BEFORE, machines.AFTER]
+        assert {(r.name, r.id): (r.state_before, r.state_after) for r in out.collect()} == want
+    assert machines.run_machine(df.limit(0), machines.Machine(steps), F.col("s"), ["name"], "t").count() == 0
+    with pytest.raises(ValueError, match="next state"):
+        machines.Machine(((0, 1), (2, 0)))
