@@ -75,7 +75,7 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
     if not repair.isEmpty():
         every = one_per_key(_readings(stored_rows), _readings(batch)).join(repair, "name", "left_semi")
         out = out.unionByName(stages.stage_windows(every, gap_seconds), allowMissingColumns=True)
-    return {"windows": out, "repair_wells": repair, "assigned": assigned}
+    return {"windows": out, "repair_wells": repair, "assigned": assigned, "touched": touched}
 
 
 def _rows_in(rows: DataFrame, windows: DataFrame) -> DataFrame:
@@ -106,12 +106,15 @@ def live_stage_flow(
 ) -> dict[str, DataFrame]:
     """Stages, marker labels and design labels after one batch.
 
-    Only windows that changed are read again and relabelled.
+    Only windows that changed, or that got readings, if only a resent one with
+    another value, are read again and relabelled.
     """
     step = apply_batch(stored_rows, batch, windows, gap_seconds)
     after = stored(step["windows"], "windows")
     same = ["stage_start_ts", "stage_end_ts", "sample_count"]
-    changed = after.join(windows.select(*STAGE, *same), [*STAGE, *same], "left_anti")
+    again = interval_join(batch.join(step["repair_wells"], "name", "left_semi").select("name", "record_ts"), after.select(*STAGE, "stage_start_ts", "stage_end_ts"), "record_ts", "stage_start_ts", "stage_end_ts")
+    moved = after.join(windows.select(*STAGE, *same), [*STAGE, *same], "left_anti").select(*STAGE)
+    changed = after.join(moved.unionByName(step["touched"]).unionByName(again.select(*STAGE)).distinct(), STAGE, "left_semi")
     stages.check_no_overlaps(after.join(changed.select("name").distinct(), "name", "left_semi"))
     spans = changed.select(*STAGE, "stage_start_ts", "stage_end_ts")
     rows = stored(one_per_key(_rows_in(stored_rows, spans), _rows_in(batch, spans)), "affected")
