@@ -3,7 +3,8 @@
 The rules themselves belong to the caller. A rule that looks at one row is a
 Column; one that needs the rows before it is a ``Fold``, which gets a stage in
 parts and carries what it must remember; one that needs a whole stage at once
-is a function of its sorted rows.
+is a function of its sorted rows, or ``Grouped``, which gets many short stages
+by one call.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..session import stored
 from .anomaly import STAGE, TIME
-from .ordered import HALO, SLOT, SLOT_SECONDS, exact_median, with_halo
+from .ordered import HALO, SLOT, SLOT_SECONDS, exact_median, group_starts, with_halo
 from .stages import sampling_gaps
 
 # Marker labels the restart search and the design values look for.
@@ -48,8 +49,19 @@ class Fold(ABC):
         """Labels of the next rows of the stage (one each, ``Trimmed``, or None for none of them) and the state behind them."""
 
 
+#: Number of a row's stage in what a ``Grouped`` labeller is given.
+GROUP = "_group"
+
+
+@dataclass(frozen=True)
+class Grouped:
+    """A labeller of many whole stages at once: ``label`` gets their rows in order, those of a stage with one number as ``_group``, and returns one label per row."""
+
+    label: Callable[[pd.DataFrame], Sequence | pd.Series]
+
+
 Labels = Sequence | pd.Series | Trimmed | None
-Labeller = Callable[[pd.DataFrame], Labels] | Fold | Column
+Labeller = Callable[[pd.DataFrame], Labels] | Fold | Grouped | Column
 
 
 def design_medians(markers: DataFrame) -> DataFrame:
@@ -95,14 +107,33 @@ def _parts(batches: Iterator[pd.DataFrame], group: list[str]) -> Iterator[tuple[
     for batch in batches:
         if batch.empty:
             continue
-        keys = batch[group]
-        changed = ~((keys == keys.shift()) | (keys.isna() & keys.shift().isna())).all(axis=1).to_numpy()
-        first = tuple(None if pd.isna(v) else v for v in keys.iloc[0])
-        changed[0] = True
-        starts = changed.nonzero()[0].tolist()
-        for start, end in zip(starts, [*starts[1:], len(batch)]):
-            yield batch.iloc[start:end].reset_index(drop=True), start > 0 or first != last
-        last = tuple(None if pd.isna(v) else v for v in keys.iloc[-1])
+        begins, last = group_starts(batch, group, last)
+        starts = begins.nonzero()[0].tolist()
+        edges = sorted({0, *starts, len(batch)})
+        for start, end in zip(edges, edges[1:]):
+            yield batch.iloc[start:end].reset_index(drop=True), bool(begins[start])
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], group: list[str]) -> Iterator[pd.DataFrame]:
+    """The same rows, cut where a group begins, with the number of their group."""
+    held: list[pd.DataFrame] = []  # with the last group, which may go on in the next batch
+    last, number = None, 0
+    for batch in batches:
+        if batch.empty:
+            continue
+        begins, last = group_starts(batch, group, last)
+        numbers = number + begins.cumsum()
+        number = int(numbers[-1])
+        batch = batch.assign(**{GROUP: numbers})
+        starts = begins.nonzero()[0]
+        if len(starts):
+            ready = pd.concat([*held, batch.iloc[: starts[-1]]], ignore_index=True)
+            if len(ready):
+                yield ready
+            held, batch = [], batch.iloc[starts[-1] :]
+        held.append(batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def label_stages(df: DataFrame, labeller: Labeller, context_rows: int = 0, ts: str = TIME, slot_seconds: float | None = None) -> DataFrame:
@@ -112,7 +143,9 @@ def label_stages(df: DataFrame, labeller: Labeller, context_rows: int = 0, ts: s
     rows in order; Spark deals stages out and sorts the rows of a task, so they
     reach Python many to an Arrow batch. A ``Fold`` gets them as the batches
     come and nothing is held back, so a stage may be longer than a task's
-    memory. A function is called once for each stage, with all of its rows;
+    memory. A ``Grouped`` labeller is called once for each Arrow batch, with
+    the whole stages that end in it, so that many short stages cost a few calls;
+    a plain function is called once for each stage, with all of its rows;
     if it is declared local, one whose label of a row depends on
     ``context_rows`` rows on either side only, it may be given
     ``slot_seconds``: a stage is then handed over in time slots, each with
@@ -145,6 +178,14 @@ def label_stages(df: DataFrame, labeller: Labeller, context_rows: int = 0, ts: s
     else:
         haloed = with_halo(own, STAGE, ts, before=context_rows, after=context_rows, slot_seconds=slot_seconds)
     group = [*STAGE, SLOT]
+    if isinstance(labeller, Grouped):
+
+        def many(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in _whole_groups(batches, group):
+                done = _labelled(part, labeller.label(part))
+                yield done.loc[done[HALO] == 0, names]
+
+        return haloed.repartition(*group).sortWithinPartitions(*group, ts).mapInPandas(many, schema)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []  # the parts of one group, which may go on in the next batch

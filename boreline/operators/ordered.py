@@ -10,6 +10,8 @@ slots.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +71,18 @@ def in_slot(keys: list[str], ts: str, tie: list[str] | None = None):
     return Window.partitionBy(*keys, SLOT).orderBy(ts, *(tie or []))
 
 
+def group_starts(batch: pd.DataFrame, group: list[str], last: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Which rows of a batch of sorted rows begin a group, and the key of its last row; ``last`` is that of the batch before. Nulls of a key are equal."""
+    begins = np.zeros(len(batch), dtype=bool)
+    ends = []
+    for c in group:
+        codes, _ = pd.factorize(batch[c])  # null is -1
+        begins[1:] |= codes[1:] != codes[:-1]
+        ends.append([None if pd.isna(v) else v for v in batch[c].iloc[[0, -1]]])
+    begins[0] = tuple(e[0] for e in ends) != last
+    return begins, tuple(e[1] for e in ends)
+
+
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.where(F.col(HALO) == 0).drop(HALO, SLOT)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import labelling, ordinals, rollup, stages
 from ..operators.intervals import interval_join
 from ..operators.joins import active_runs
-from ..operators.labelling import Fold, Trimmed
+from ..operators.labelling import GROUP, Fold, Grouped, Trimmed
 from ..session import stored, work_path
 from ..sources import catalog, reads, testviews as tv, writes
 from ..sources.testviews import BUCKET_SECONDS, GAP_SECONDS, LONG_GAP_SECONDS
@@ -131,6 +132,17 @@ def trend_labeller(rows: pd.DataFrame) -> pd.Series:
     return labels
 
 
+def trend_of_stages(rows: pd.DataFrame) -> np.ndarray:
+    """What ``trend_labeller`` says, of many stages by one call."""
+    stage, rate = rows[GROUP], rows["rate_slurry"]
+    first, last = stage != stage.shift(), stage != stage.shift(-1)
+    step = rate.diff()
+    return np.select([first, last, rate == rate.groupby(stage).transform("max"), step > 0, step < 0], [None, "last", "peak", "up", "down"], "flat")
+
+
+TREND = Grouped(trend_of_stages)
+
+
 def marker_labeller(rows: pd.DataFrame) -> pd.Series:
     names = pd.Series("PRE_LOW", index=rows.index)
     for low, name in ((200, "PRE"), (400, "LOW"), (600, "MID"), (800, "MID_TRIAL")):
@@ -233,9 +245,9 @@ LONG_ROWS = "(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry,
 @bound("two_pass_labels", sql("long", "SELECT * FROM two", _two_pass_sql(LONG_ROWS)))
 def _(spark, d):
     rows = tv.staged(spark, d, LONG_GAP_SECONDS)
-    markers = stored(flows.label_rows(rows, marker_labeller), "markers")
+    markers = stored(flows.label_rows(rows, marker_column()), "markers")
     ready = rows.select("name", "stage_num_td", F.col("record_ts").alias("datetime_fmt"), "rate_slurry", "press_mainline")
-    return labelling.two_pass_labels(ready, markers, design_labeller).select("name", "stage_num_td", "datetime_fmt", "substage")
+    return labelling.two_pass_labels(ready, markers, design_column()).select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
 # --- flows -----------------------------------------------------------------
@@ -297,7 +309,7 @@ UNION ALL SELECT o.name, o.record_ts, 'old', 'rows-v2' FROM tel o LEFT JOIN (SEL
 def _(spark, d):
     rows = tv.readings(spark, d)
     previous = rows.select("name", F.col("record_ts").alias("datetime_fmt"), F.lit("old").alias("substage"), F.lit("rows-v2").alias("algorithm_version"))
-    out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, trend_labeller)
+    out = flows.row_label_flow(rows, previous, "incremental", datetime(2024, 1, 31), GAP_SECONDS, TREND)
     return out.select("name", "datetime_fmt", "substage", "algorithm_version")
 
 
@@ -406,7 +418,7 @@ def _(spark, d):
 @bound("recompute_labels", sql("stg", "SELECT * FROM two", _two_pass_sql("(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry, press_mainline FROM stg)")))
 def _(spark, d):
     rows = tv.telemetry(spark, d)
-    out = flows.recompute_flow(rows, rows, _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller)
+    out = flows.recompute_flow(rows, rows, _first_windows(rows), GAP_SECONDS, marker_column(), design_column())
     return out["labels"].select("name", "stage_num_td", "datetime_fmt", "substage")
 
 
@@ -414,7 +426,7 @@ def _(spark, d):
 def _(spark, d):
     """Windows and well index after the recompute of every well, replaced in the tables of the first batch."""
     rows = tv.telemetry(spark, d)
-    out = flows.recompute_flow(rows, rows, _first_windows(rows), GAP_SECONDS, marker_labeller, design_labeller)
+    out = flows.recompute_flow(rows, rows, _first_windows(rows), GAP_SECONDS, marker_column(), design_column())
     return out["windows"].select(*BATCH_WINDOW).join(out["wells"].select("name", F.col("sample_count").alias("well_rows")), "name").select(*BATCH_WINDOW, "well_rows")
 
 
@@ -573,7 +585,7 @@ def _(spark, d):
     root = work_path(spark, "label-run")
 
     def compute(own: DataFrame, names: DataFrame) -> dict[str, DataFrame]:
-        return {"labels": flows.label_rows(stages.assign_stages(own, GAP_SECONDS), trend_labeller)}
+        return {"labels": flows.label_rows(stages.assign_stages(own, GAP_SECONDS), TREND)}
 
     most = rows.select("name").distinct().count() // 2 + 1
     _until_done(tv.first_batch(rows), rows, lambda part: runs.run_changed_wells(spark, root, part, ["id", "record_ts"], compute, "rows-v2", "2024-01-31", most))

@@ -399,3 +399,43 @@ def test_a_machine_over_slots_equals_one_over_rows(spark):
     assert machines.run_machine(df.limit(0), machines.Machine(steps), F.col("s"), ["name"], "t").count() == 0
     with pytest.raises(ValueError, match="next state"):
         machines.Machine(((0, 1), (2, 0)))
+
+
+def test_many_short_stages_are_labelled_by_few_calls(spark):
+    from boreline.plans import bound_flows
+
+    rows = [(n, s, at(7 * s + k), float((s * k) % 3) if k != 1 else None) for n in ("a", "b", None) for s in range(60) for k in range(s % 4 + 1)]
+    df = spark.createDataFrame(rows, "name string, stage_num_td bigint, datetime_fmt timestamp_ntz, rate_slurry double").coalesce(1)
+
+    def labels(labeller):
+        return sorted(map(repr, labelling.label_stages(df, labeller).collect()))
+
+    def all_alike(part):
+        return [str(part[["name", "stage_num_td"]].drop_duplicates().shape[0])] * len(part)
+
+    assert labels(bound_flows.TREND) == labels(bound_flows.trend_labeller)
+    assert any(int(r.substage) > 10 for r in labelling.label_stages(df, labelling.Grouped(all_alike)).collect())
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # a stage goes on over several batches
+    try:
+        assert labels(bound_flows.TREND) == labels(bound_flows.trend_labeller)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+@pytest.mark.parametrize("query", ["recompute_labels", "two_pass_labels"])
+def test_rules_of_one_row_need_no_python(spark, sf_dir, query):
+    from boreline.plans.bound import QUERIES
+
+    assert "MapInPandas" not in QUERIES[query](spark, sf_dir)._jdf.queryExecution().toString()
+
+
+def test_group_starts_across_batches():
+    import pandas as pd
+
+    from boreline.operators.ordered import group_starts
+
+    first, last = group_starts(pd.DataFrame({"n": ["a", "a", None], "s": [1, 2, 2]}), ["n", "s"], None)
+    assert first.tolist() == [True, True, True] and last == (None, 2)
+    second, last = group_starts(pd.DataFrame({"n": [None, None, "b"], "s": [2, 2, 2]}), ["n", "s"], last)
+    assert second.tolist() == [False, False, True] and last == ("b", 2)
