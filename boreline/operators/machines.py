@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..functions.numbers import slot
 from ..session import stored
 from .anomaly import STAGE, TIME
-from .ordered import SLOT, SLOT_SECONDS
+from .ordered import SLOT, SLOT_SECONDS, group_starts
 
 BEFORE, AFTER = "state_before", "state_after"
 
@@ -40,18 +40,6 @@ class Machine:
             raise ValueError("every state needs a next state for every symbol")
 
 
-def _runs(batches: Iterator[pd.DataFrame], group: list[str]) -> Iterator[tuple[pd.DataFrame, bool]]:
-    """Runs of rows of one group, and whether the group goes on from the run before."""
-    last = None
-    for batch in batches:
-        keys = [tuple(None if pd.isna(v) else v for v in row) for row in batch[group].itertuples(index=False)]
-        start = 0
-        for k in range(1, len(keys) + 1):
-            if k == len(keys) or keys[k] != keys[start]:
-                yield batch.iloc[start:k], keys[start] == last
-                last, start = keys[start], k
-
-
 def run_machine(
     df: DataFrame, machine: Machine, symbol: Column, keys: list[str] | None = None, ts: str = TIME, tie: list[str] | None = None, slot_seconds: float = SLOT_SECONDS, reverse: bool = False
 ) -> DataFrame:
@@ -72,41 +60,59 @@ def run_machine(
     order = [F.col(c).desc_nulls_last() if reverse else F.col(c).asc_nulls_first() for c in [ts, *(tie or [])]]
 
     def functions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, now = None, list(range(size))
-        for part, goes_on in _runs(batches, group):
-            if not goes_on:
-                if held is not None:
-                    yield held.assign(to=[now])
-                now = list(range(size))
-            held = part.iloc[:1][group]
-            for s in part["_symbol"].tolist():
+        held, now, last = None, list(range(size)), None
+        for batch in batches:
+            if batch.empty:
+                continue
+            begins, last = group_starts(batch, group, last)
+            starts = begins.nonzero()[0].tolist()
+            symbols, ends, done = batch["_symbol"].tolist(), [*starts, len(batch)], []
+            for s in symbols[: ends[0]]:
                 if s >= 0:
                     now = [steps[q][s] for q in now]
+            for begin, end in zip(starts, ends[1:]):
+                done.append(now)
+                now = list(range(size))
+                for s in symbols[begin:end]:
+                    if s >= 0:
+                        now = [steps[q][s] for q in now]
+            heads = batch.iloc[starts][group]
+            if held is None:
+                done = done[1:]  # nothing came before the first group
+            else:
+                heads = pd.concat([held, heads])
+            if done:
+                yield heads.iloc[: len(done)].assign(to=done)
+            held = heads.iloc[len(done) :]
         if held is not None:
             yield held.assign(to=[now])
 
     def entered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = start
-        for part, goes_on in _runs(batches, keys):
-            if not goes_on:
-                state = start
+        state, last = start, None
+        for batch in batches:
+            if batch.empty:
+                continue
+            begins, last = group_starts(batch, keys, last)
             out = []
-            for to in part["to"].tolist():
+            for first, to in zip(begins.tolist(), batch["to"].tolist()):
+                state = start if first else state
                 out.append(state)
                 state = int(to[state])
-            yield part[group].assign(_entry=out)
+            yield batch[group].assign(_entry=out)
 
     def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = start
-        for part, goes_on in _runs(batches, group):
-            if not goes_on:
-                state = int(part["_entry"].iloc[0])
+        state, last = start, None
+        for batch in batches:
+            if batch.empty:
+                continue
+            begins, last = group_starts(batch, group, last)
             before, after = [], []
-            for s in part["_symbol"].tolist():
+            for first, entry, s in zip(begins.tolist(), batch["_entry"].tolist(), batch["_symbol"].tolist()):
+                state = int(entry) if first else state
                 before.append(state)
                 state = steps[state][s] if s >= 0 else state
                 after.append(state)
-            yield part[shape.names[:-2]].assign(**{BEFORE: before, AFTER: after})
+            yield batch[shape.names[:-2]].assign(**{BEFORE: before, AFTER: after})
 
     named = [T.StructField(c, rows.schema[c].dataType) for c in group]
     lean = rows.select(*group, ts, *(tie or []), "_symbol").repartition(*group).sortWithinPartitions(*group, *order)
