@@ -491,11 +491,11 @@ FROM tel GROUP BY 2, 3, 4, 5""" for width in WIDTHS)))
 def _(spark, d):
     """Three widths of the first batch, refreshed where the second one has readings."""
     rows = tv.telemetry(spark, d)
-    old = rollup.pyramid(tv.first_batch(rows), WIDTHS)
+    old = stored(rollup.pyramid(tv.first_batch(rows), WIDTHS), "pyramid")
     bucket = slot_start("record_ts", WIDTHS[0])
     dirty = tv.second_batch(rows).select(bucket.alias("_b"), F.col("name").alias("_name")).distinct()
     base = rollup.base_level(rows.join(dirty, (bucket == F.col("_b")) & (F.col("name") == F.col("_name")), "left_semi"), WIDTHS[0])
-    fresh = rollup.refreshed_levels(old, base, WIDTHS)
+    fresh = stored(rollup.refreshed_levels(old, stored(base, "base"), WIDTHS), "refreshed")
     now = old.join(fresh.select(*rollup.PYRAMID_KEY), rollup.PYRAMID_KEY, "left_anti").unionByName(fresh)
     return show(rollup.pyramid_values(now), *rollup.PYRAMID_KEY, "records_in_bucket", *PYRAMID_STATS, rounded=("rate_slurry_avg", "press_mainline_avg"))
 

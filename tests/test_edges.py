@@ -439,3 +439,9 @@ def test_group_starts_across_batches():
     assert first.tolist() == [True, True, True] and last == (None, 2)
     second, last = group_starts(pd.DataFrame({"n": [None, None, "b"], "s": [2, 2, 2]}), ["n", "s"], last)
     assert second.tolist() == [False, False, True] and last == ("b", 2)
+
+
+def test_a_pyramid_is_stored_before_it_is_refreshed(spark, sf_dir):
+    from boreline.plans.bound import QUERIES
+
+    assert "events.parquet" not in QUERIES["rollup_pyramid"](spark, sf_dir)._jdf.queryExecution().toString()
