@@ -78,9 +78,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], newest: boo
     return df.groupBy(*keys).agg(row).select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def keep_last(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Union of old and new rows; a new row replaces the old one of its key. Nulls of a key are equal."""
-    fresh = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+def keep_last(old: DataFrame, new: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
+    """Union of old and new rows; a new row replaces the old one of its key. Nulls of a key are equal.
+
+    ``unique`` says that ``new`` has each key once, which saves making its keys distinct.
+    """
+    fresh = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    fresh = fresh if unique else fresh.distinct()
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
     return old.join(fresh, same, "left_anti").unionByName(new, allowMissingColumns=True)
 

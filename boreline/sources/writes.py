@@ -39,10 +39,10 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """Old rows whose key is not in ``new``, and one new row per key."""
+def upsert_by_key(old: DataFrame | None, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Old rows whose key is not in ``new``, and one new row per key; without an old table the new rows alone."""
     fresh = latest_per_key(new, keys, order) if order else new
-    return keep_last(old, fresh, keys)
+    return fresh if old is None else keep_last(old, fresh, keys, unique=bool(order))
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType, partition: str) -> DataFrame:
@@ -70,9 +70,11 @@ def upsert_folder(spark: SparkSession, path: str, new: DataFrame, keys: list[str
         return
     last = read_or_empty(spark, f"{path}/commits", T.StructType([new.schema[partition], T.StructField("version", T.LongType())])).agg(F.max("version")).first()[0]
     version = 0 if last is None else last + 1
-    old = read_folder(spark, path, new.schema, partition).where(F.col(partition).between(F.lit(lo), F.lit(hi)))
     touched = new.select(partition).distinct()
-    merged = upsert_by_key(old.join(touched, partition, "left_semi"), new, keys, order)
+    old = None
+    if last is not None:
+        old = read_folder(spark, path, new.schema, partition).where(F.col(partition).between(F.lit(lo), F.lit(hi))).join(touched, partition, "left_semi")
+    merged = upsert_by_key(old, new, keys, order)
     merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(f"{path}/data/version={version}")
     touched.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
 
@@ -113,7 +115,7 @@ def commit_tables(spark: SparkSession, root: str, changes: dict[str, Change]) ->
     for table, change in changes.items():
         new = stored(change.rows, f"commit-{table}")
         parts = new.select(change.partition).distinct()
-        old = read_table(spark, root, table, new.schema, change.partition).join(parts, change.partition, "left_semi")
+        old = None if last is None else read_table(spark, root, table, new.schema, change.partition).join(parts, change.partition, "left_semi")
         merged = upsert_by_key(old, new, list(change.keys), list(change.order) or None)
         merged.hint("rebalance", change.partition).write.mode("overwrite").partitionBy(change.partition).parquet(f"{root}/{table}/data/version={version}")
         named = parts.select(F.lit(table).alias("table"), F.col(change.partition).alias("part"))

@@ -445,3 +445,11 @@ def test_a_pyramid_is_stored_before_it_is_refreshed(spark, sf_dir):
     from boreline.plans.bound import QUERIES
 
     assert "events.parquet" not in QUERIES["rollup_pyramid"](spark, sf_dir)._jdf.queryExecution().toString()
+
+
+def test_a_first_commit_has_no_old_rows_to_join(spark):
+    new = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), (None, 1, 3)], "name string, k int, v int")
+    first = writes.upsert_by_key(None, new, ["name", "k"], ["v"])
+    assert "Join" not in first._jdf.queryExecution().toString() and sorted(r.v for r in first.collect()) == [2, 3]
+    again = writes.upsert_by_key(first, new.withColumn("v", F.col("v") + 1).where("name is null"), ["name", "k"], ["v"])
+    assert sorted(r.v for r in again.collect()) == [2, 4]
