@@ -159,8 +159,8 @@ def recompute_flow(rows: DataFrame, names: DataFrame, windows: DataFrame, gap_se
     ``windows`` comes with the wells' old windows replaced; the other results
     are the named wells' own, for ``replace_entity``.
     """
-    own = rows.join(names.select("name").distinct(), "name", "left_semi")
-    step = recompute_wells(rows, names, windows, gap_seconds, dry_run=False)
+    own = stored(rows.join(names.select("name").distinct(), "name", "left_semi"), "own")
+    step = recompute_wells(own, own, windows, gap_seconds, dry_run=False)
     assigned = stored(stages.assign_stages(_readings(own), gap_seconds), "assigned")
     markers = stored(label_rows(assigned, marker), "markers")
     ready = assigned.select("name", "stage_num_td", F.col("record_ts").alias(TIME), *stages.WINDOW_MEASURES)
