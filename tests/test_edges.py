@@ -425,6 +425,7 @@ def test_many_short_stages_are_labelled_by_few_calls(spark):
 
 @pytest.mark.parametrize("query", ["recompute_labels", "two_pass_labels"])
 def test_rules_of_one_row_need_no_python(spark, sf_dir, query):
+    import boreline.plans.bound_flows  # noqa: F401  (adds the flows)
     from boreline.plans.bound import QUERIES
 
     assert "MapInPandas" not in QUERIES[query](spark, sf_dir)._jdf.queryExecution().toString()
