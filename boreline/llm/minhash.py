@@ -3,13 +3,16 @@
 1. One pass over the texts gives each document the size and digest of its
    shingle set and a signature of ``bands * rows`` universal hash minima.
    Documents of equal sets are one class from here on.
-2. Classes that share a band are candidates. In each bucket the class with the
-   most company leads; the others are compared with it only: signatures first,
-   then whole sets. This links most groups, without pairs inside a bucket.
-3. Buckets that still hold several components are compared in full, in blocks
-   of bounded size: a block pair gets the whole sets of two blocks and counts
-   all intersections with a matrix product over the shingles that occur more
-   than once in it. It returns at most one link per pair of components.
+2. Classes that share a band are candidates, unless the size of one set alone
+   rules the pair out. In each bucket the class with the most company leads;
+   the others are compared with it only: signatures first, then whole sets.
+   This links most groups, without pairs inside a bucket.
+3. Buckets that still hold several components are compared in full. Those of
+   two classes are pairs: each is compared once, however many bands it shares,
+   and not again if step 2 did it on whole sets. Larger ones are compared in
+   blocks of bounded size: a block pair gets the whole sets of two blocks and
+   counts all intersections with a matrix product over the shingles that occur
+   more than once in it. It returns at most one link per pair of components.
 
 Only a pair that shares no band escapes: (1 - s^rows)^bands for similarity s,
 5e-6 at 0.75. Everything that is linked is linked on whole sets.
@@ -22,7 +25,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boreline.llm.components import components
@@ -36,6 +39,8 @@ PERCENT = 75
 SLACK = 4.5
 #: A block holds about so many classes and shingles at most.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 400_000
+#: Bits of the map of classes whose texts are read again: 2^24, two megabytes.
+MAP_BITS = 24
 #: Words kept with their hash in one Python worker.
 CACHE_ENTRIES = 150_000
 #: Columns of a block's matrix that are multiplied at once.
@@ -124,6 +129,32 @@ def _whole_sets(df: DataFrame, key: str, text: str) -> DataFrame:
     return map_rows(df.select(F.col(key), text_of(text)), "rep bigint, shingles binary", make)
 
 
+def _probable(df: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``rep`` may be in ``reps``: all that are, few others.
+
+    Spares a join the shuffle of the other rows' texts. The bit map has a fixed
+    size whatever the number of reps; the join behind it decides.
+    """
+    place = F.pmod(F.xxhash64("rep"), F.lit(1 << MAP_BITS)) + 1
+    parts = reps.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    marks = np.zeros((1 << MAP_BITS) // 8, np.uint8)
+    for r in parts:
+        size = len(r.bits)
+        marks[(r.part - 1) * size : r.part * size] = np.frombuffer(r.bits, np.uint8)
+
+    @F.pandas_udf("boolean")
+    def marked(places: pd.Series) -> pd.Series:
+        at = places.to_numpy(np.int64) - 1
+        return pd.Series((marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return df.where(F.col("rep").isNotNull()).where(marked(place))
+
+
+def _fits(left: str, right: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough: the smaller one lies in the larger one at best."""
+    return 100 * F.least(left, right) >= percent * F.greatest(left, right)
+
+
 def _agree(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(left, right, assume_unique=True))
     return 100 * both >= percent * (len(left) + len(right) - both)
@@ -185,43 +216,58 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", band
     """
     spark = df.sparkSession
     base = df.select(F.col(key).cast("bigint").alias("rep"), F.col(text).alias("text"))
-    sketch = stored(sketches(base, "rep", "text", bands, rows), "sketches")
-    classes = stored(sketch.where("n_shingles > 0 and rep is not null").groupBy("set_key").agg(F.min("rep").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    full = stored(sketches(base, "rep", "text", bands, rows), "sketches")
+    classes = stored(full.where("n_shingles > 0 and rep is not null").groupBy("set_key").agg(F.min("rep").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    # Signatures are kept once, with the classes, and only until their pairs are known.
+    sketch = stored(full.select("rep", "n_shingles", "set_key"), "slim")
+    drop_stored(spark, full)
+    named = stored(classes.select("set_key", "rep"), "named")
 
     cut = [F.xxhash64(F.lit(k), F.slice("sig", k * rows + 1, rows)) for k in range(bands)]
     banded = classes.select("rep", "n", F.explode(F.array(*cut)).alias("band"))
     shared = stored(banded.groupBy("band").agg(F.count(F.lit(1)).alias("company")).where("company > 1"), "shared-bands")
-    members = stored(banded.join(shared, "band"), "members")
+    together = stored(banded.join(shared, "band"), "together")
+    # Most buckets hold two classes, and many of those are of sizes that cannot be alike.
+    unlike = together.where("company = 2").groupBy("band").agg(F.min("n").alias("least"), F.max("n").alias("most")).where(~_fits("least", "most", percent))
+    members = stored(together.join(unlike.select("band"), "band", "left_anti"), "members")
     company = stored(members.groupBy("rep").agg(F.sum("company").alias("weight")), "company")
-    leaders = stored(members.join(company, "rep").groupBy("band").agg(F.max(F.struct("weight", (-F.col("rep")).alias("low"))).alias("lead")).select("band", (-F.col("lead.low")).alias("v")), "leaders")
-    star = members.join(leaders, "band").where("rep != v").select(F.col("rep").alias("u"), "v").distinct()
+    lead = F.max(F.struct("weight", (-F.col("rep")).alias("low"), F.col("n").alias("lead_n"))).alias("lead")
+    leaders = stored(members.join(company, "rep").groupBy("band").agg(lead).select("band", (-F.col("lead.low")).alias("v"), "lead.lead_n"), "leaders")
+    star = members.join(leaders, "band").where((F.col("rep") != F.col("v")) & _fits("n", "lead_n", percent)).select(F.col("rep").alias("u"), "v").distinct()
 
     signs = classes.select("rep", "sig").join(company.select("rep"), "rep", "left_semi")
     least = percent / 100 - SLACK * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
     same = F.size(F.filter(F.zip_with("left", "right", lambda a, b: a == b), lambda x: x))
     alike = star.join(signs.toDF("u", "left"), "u").join(signs.toDF("v", "right"), "v").where(same >= least * bands * rows).select("u", "v")
     alike = stored(alike, "alike")
-    # Whole sets once for every class that shares a band: the stars read some of them, mixed buckets others.
-    firsts = base.join(classes.join(company, "rep", "left_semi").select("rep"), "rep", "left_semi")
+    # Whole sets once for every class that has company: the stars read some of them, mixed buckets others.
+    firsts = _probable(base, company).join(company.select("rep"), "rep", "left_semi")
     sets = stored(_whole_sets(firsts, "rep", "text"), "sets")
+    for used in (classes, shared, together, leaders):
+        drop_stored(spark, used)
     found = stored(_linked(alike, sets, percent), "links")
     tied = stored(components(found), "tied")
 
     placed = members.join(tied.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("many")).where("low < high")
+    mixed = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("many"), F.min("rep").alias("u"), F.max("rep").alias("v")
+    )
+    mixed = stored(mixed.where("low < high").drop("low", "high"), "mixed")
+    compared = alike.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    lone = mixed.where("many = 2").select("u", "v").distinct().join(compared, ["u", "v"], "left_anti")
+    rest = stored(_linked(lone, sets, percent), "lone-links")
     blocks = F.greatest(F.ceil(F.col("many") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    mixed = stored(mixed.select("band", blocks.alias("blocks")), "mixed")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
-    dealt = placed.join(mixed, "band").withColumn("own", own).select("band", "rep", "component", "own", other.alias("other"))
+    dealt = placed.join(mixed.where("many > 2").select("band", blocks.alias("blocks")), "band").withColumn("own", own).select("band", "rep", "component", "own", other.alias("other"))
     dealt = dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "component")
     filled = dealt.join(sets, "rep").select("band", "i", "j", "rep", "component", "shingles")
     more = stored(filled.groupBy("band", "i", "j").applyInPandas(_links_in_block(percent), "u bigint, v bigint"), "more-links")
-    whole = stored(components(found.unionByName(more)), "components")
+    whole = stored(components(found.unionByName(rest).unionByName(more)), "components")
 
-    home = classes.select("set_key", "rep").join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
+    home = named.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     home = stored(home, "class-components")
-    for used in (classes, shared, members, company, leaders, alike, sets, found, tied, mixed, more, whole):
+    for used in (named, members, company, alike, sets, found, tied, mixed, rest, more, whole):
         drop_stored(spark, used)
     out = sketch.join(home, "set_key", "left").select(
         F.col("rep").alias(key), "n_shingles", F.when(F.col("rep").isNotNull(), F.coalesce("component_id", "rep")).alias("component_id")

@@ -99,3 +99,31 @@ def test_shingles_follow_ascii_space_only():
     assert len(minhash.shingle_set("A b c d e f", hashes)) == 1
     assert (minhash.shingle_set("A B c", hashes) == minhash.shingle_set("a\x0bb C", hashes)).all()
     assert (minhash.shingle_set("É a", hashes) != minhash.shingle_set("é a", hashes)).all()
+
+
+def test_two_classes_of_a_bucket_are_compared_as_a_pair(docs, monkeypatch):
+    """Six in ten shingles in common, or a part of a text: candidates that are not linked, and no reason to fill blocks."""
+
+    def refuse(percent):
+        def found(block):
+            raise AssertionError("a pair was dealt to a block")
+
+        return found
+
+    monkeypatch.setattr(minhash, "_links_in_block", refuse)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:300] + [f"x{k}" for k in range(100)])), (3, " ".join(words[:250]))]
+    rows += [(4, " ".join(f"y{k}" for k in range(300))), (5, " ".join(f"y{k}" for k in range(310)))]
+    rows += [(6, " ".join(f"z{k}" for k in range(300))), (7, " ".join(f"z{k}" for k in range(200)))]
+    pairs = [r for r in rows if r[0] != 3]
+    assert result(minhash.near_duplicates(docs(pairs))) == brute(pairs)
+    monkeypatch.undo()
+    assert result(minhash.near_duplicates(docs(rows))) == brute(rows)
+
+
+def test_only_texts_of_candidates_are_read_again(spark):
+    rows = spark.range(40_000).selectExpr("id AS rep", "'t' AS text").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS rep, 't' AS text"))
+    wanted = spark.range(-5, 400, 7).selectExpr("id AS rep")
+    kept = {r.rep for r in minhash._probable(rows, wanted).collect()}
+    assert {k for k in range(2, 400, 7)} <= kept and len(kept) < 200
+    assert minhash._probable(rows, wanted.limit(0)).count() == 0
