@@ -172,8 +172,8 @@ def anomaly_by_kind(summary: DataFrame) -> DataFrame:
     return totals.select(rows.alias("_r")).select("_r.*")
 
 
-def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
-    """Runs of design rows past each threshold, for every stage, rolling width and threshold.
+def threshold_profiles(labels: DataFrame, stages: DataFrame, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+    """Runs of design rows past the thresholds: one row per stage, rolling width and measure, with a count for each threshold as ``segment_counts``.
 
     A row starts a run for the thresholds its delta has reached and the delta
     of the row just before it had not. So each design row is turned into at
@@ -220,9 +220,21 @@ def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = S
     profile = started.groupBy(*group).agg(F.array(*runs).alias("_runs"))
     family = F.explode(F.array(*[F.struct(F.lit(n).alias("rolling_points"), F.lit(k).alias("threshold_type")) for k, n in families]))
     base = stages.withColumn("_f", family).select(*stages.columns, "_f.*")
+    size = F.when(F.col("threshold_type") == "pressure", len(GRID_PRESSURE)).otherwise(len(GRID_RATE))
+    counts = F.coalesce(F.slice("_runs", F.lit(1), size), F.array_repeat(F.lit(0), size)).cast("array<bigint>")
+    return base.join(profile, group, "left").withColumn("segment_counts", counts).select(*base.columns, "segment_counts")
+
+
+def grid_rows(profiles: DataFrame) -> DataFrame:
+    """A row for each threshold of ``threshold_profiles``, in place of ``segment_counts``."""
     value = F.when(F.col("threshold_type") == "pressure", F.array(*[F.lit(float(v)) for v in GRID_PRESSURE])).otherwise(F.array(*[F.lit(float(v)) for v in GRID_RATE]))
-    placed = base.join(profile, group, "left").select("*", F.posexplode(value).alias("_pos", "threshold_value"))
-    return placed.withColumn("segment_count", F.coalesce(F.get("_runs", F.col("_pos")), F.lit(0)).cast("bigint")).drop("_runs", "_pos")
+    placed = profiles.select("*", F.posexplode(value).alias("_pos", "threshold_value"))
+    return placed.withColumn("segment_count", F.get("segment_counts", F.col("_pos"))).drop("segment_counts", "_pos")
+
+
+def threshold_grid(labels: DataFrame, stages: DataFrame, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+    """Runs of design rows past each threshold, for every stage, rolling width and threshold."""
+    return grid_rows(threshold_profiles(labels, stages, slot_seconds))
 
 
 def trigger_counts(stages: DataFrame, grid: DataFrame, summary: DataFrame, pressure: float, rate: float, rolling_points: int, manifest: DataFrame | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import labelling, ordinals, rollup, stages
+from ..operators import anomaly, labelling, ordinals, rollup, stages
 from ..operators.intervals import interval_join
 from ..operators.joins import active_runs
 from ..operators.labelling import GROUP, Fold, Grouped, Trimmed
@@ -405,14 +405,14 @@ def _(spark, d):
     sources = flows.stage_sources(tv.stage_index(spark, d, gap=LONG_GAP_SECONDS))
     due = stored(sources.withColumn("source_signature", flows.signatures.source_signature(sources, flows.TUNING_VERSION, flows.SOURCE_FIELDS)), "due")
     labels = stored(tv.labels(spark, d), "labels")
-    grid = stored(flows.tuning_flow(labels.limit(0), due.withColumn("source_signature", F.lit("before")), None, "2024-01-30", slot_seconds=SLOT), "grid")
+    grid = stored(flows.tuning_flow(labels.limit(0), due.withColumn("source_signature", F.lit("before")), None, "2024-01-30", slot_seconds=SLOT, packed=True), "grid")
     manifest = flows.tuning_manifest(due.withColumn("source_signature", F.lit("before")), "2024-01-30")
     while True:
-        out = flows.tuning_run(labels, due, manifest, grid, "2024-01-31", due.count() // 2 + 1, slot_seconds=SLOT)
+        out = flows.tuning_run(labels, due, manifest, grid, "2024-01-31", due.count() // 2 + 1, slot_seconds=SLOT, packed=True)
         grid, manifest = out["grid"], out["manifest"]
         if not out["has_more"].first()[0]:
             break
-    return grid.select("name", "stage_num_td", "rolling_points", "threshold_type", "threshold_value", "segment_count")
+    return anomaly.grid_rows(grid).select("name", "stage_num_td", "rolling_points", "threshold_type", "threshold_value", "segment_count")
 
 
 @bound("recompute_labels", sql("stg", "SELECT * FROM two", _two_pass_sql("(SELECT name, stage_num_td, record_ts AS datetime_fmt, rate_slurry, press_mainline FROM stg)")))

@@ -265,12 +265,17 @@ def anomaly_flow(
     return {"labels": tagged(rows), "events": tagged(events), "summary": summary, "manifest": manifest_rows, "has_more": more}
 
 
-def tuning_flow(labels: DataFrame, due: DataFrame, tuned: DataFrame | None, now: datetime | str, version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
-    """Threshold grid of the stages whose source signature is new."""
+def tuning_flow(labels: DataFrame, due: DataFrame, tuned: DataFrame | None, now: datetime | str, version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS, packed: bool = False) -> DataFrame:
+    """Threshold grid of the stages whose source signature is new.
+
+    ``packed`` leaves the counts of a stage, width and measure in one row, to
+    be spread by ``anomaly.grid_rows`` when all runs are done.
+    """
     if tuned is not None:
         due = joins.changed_candidates(due, tuned, {"source_signature": "source_signature"})
     base = due.select("fleet_name", "pad_name", *STAGE, "source_signature")
-    grid = anomaly.threshold_grid(labels.join(due.select(*STAGE), STAGE, "left_semi"), base, slot_seconds)
+    make = anomaly.threshold_profiles if packed else anomaly.threshold_grid
+    grid = make(labels.join(due.select(*STAGE), STAGE, "left_semi"), base, slot_seconds)
     return grid.withColumn("algorithm_version", F.lit(version)).withColumn("updated_at", reads.time_literal(now))
 
 
@@ -289,15 +294,18 @@ def tuning_manifest(done: DataFrame, now: datetime | str, version: str = TUNING_
 
 def tuning_run(
     labels: DataFrame, due: DataFrame, manifest: DataFrame | None, grid: DataFrame | None, now: datetime | str, max_stages: int | None = None,
-    version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS,
+    version: str = TUNING_VERSION, slot_seconds: float = SLOT_SECONDS, packed: bool = False,
 ) -> dict[str, DataFrame]:
-    """One limited tuning run: the grids of changed stages replace the stored ones; returns ``grid``, ``manifest`` and ``has_more``."""
+    """One limited tuning run: the grids of changed stages replace the stored ones; returns ``grid``, ``manifest`` and ``has_more``.
+
+    With ``packed`` the grid that comes in and the one that goes out are packed as ``tuning_flow`` says.
+    """
     if manifest is not None:
         seen = manifest.where((F.col("algorithm_version") == version) & (F.col("status") == "active"))
         due = joins.changed_candidates(due, seen, {"source_signature": "source_signature"})
     due, more = _batch_of(due, max_stages)
     due = stored(due, "due")
-    fresh = stored(tuning_flow(labels, due, None, now, version, slot_seconds), "fresh-grid")
+    fresh = stored(tuning_flow(labels, due, None, now, version, slot_seconds, packed), "fresh-grid")
     done = tuning_manifest(due, now, version)
     return {
         "grid": fresh if grid is None else stored(joins.keep_last(grid, fresh, STAGE), "grid"),

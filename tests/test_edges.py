@@ -454,3 +454,21 @@ def test_a_first_commit_has_no_old_rows_to_join(spark):
     assert "Join" not in first._jdf.queryExecution().toString() and sorted(r.v for r in first.collect()) == [2, 3]
     again = writes.upsert_by_key(first, new.withColumn("v", F.col("v") + 1).where("name is null"), ["name", "k"], ["v"])
     assert sorted(r.v for r in again.collect()) == [2, 4]
+
+
+def test_packed_grid_is_the_same_grid(spark):
+    """A limited run that replaces one stage's grid: 20 packed rows a stage, spread to the 660 of the plain grid."""
+    labels = spark.sql("SELECT 'A' AS name, CAST(s AS BIGINT) AS stage_num_td, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, i) AS datetime_fmt, 'slurry' AS substage, CAST(pmod(i * 37, 11) AS DOUBLE) AS rate_slurry, CAST(pmod(i * 91, 700) AS DOUBLE) AS press_mainline FROM (SELECT explode(sequence(1, 40)) AS i), (SELECT explode(sequence(1, 2)) AS s)")
+    due = spark.sql("SELECT 'f' AS fleet_name, 'p' AS pad_name, 'A' AS name, CAST(s AS BIGINT) AS stage_num_td, 'new' AS source_signature FROM (SELECT explode(sequence(1, 3)) AS s)")
+    before = due.withColumn("source_signature", F.when(F.col("stage_num_td") == 2, "new").otherwise("old"))
+    grids = []
+    for packed in (False, True):
+        old = flows.tuning_flow(labels.limit(0), before, None, "2024-01-01", packed=packed)
+        out = flows.tuning_run(labels, due, flows.tuning_manifest(before, "2024-01-01"), old, "2024-01-02", 1, packed=packed)
+        assert out["has_more"].first()[0]
+        grids.append(out["grid"])
+    assert grids[1].count() == 3 * 20
+    names = sorted(grids[0].columns)
+    plain, spread = (sorted(map(str, g.select(*names).collect())) for g in (grids[0], anomaly.grid_rows(grids[1])))
+    assert plain == spread and len(plain) == 3 * 660
+    assert grids[0].where("segment_count > 0").select("stage_num_td").distinct().collect()[0][0] == 1
