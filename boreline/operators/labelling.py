@@ -234,19 +234,28 @@ def restart_positions(labels: DataFrame, markers: DataFrame, ts: str = TIME) ->
     """Where a stage starts again after its first end.
 
     The restart is the first ``PRE`` row after the first ``stage_end`` that has
-    a low marker between the two and a ``MID_TRIAL`` after it. Found with three
-    grouped minima and maxima, so no stage is ordered in one task.
+    a low marker between the two and a ``MID_TRIAL`` after it. One aggregate
+    with map-side combine leaves the few stages that can have one, and only
+    their rows are looked at again: no stage is ordered in one task, and the
+    rows of the others are not joined at all.
     """
-    end = labels.where(F.col("substage") == "stage_end").groupBy(*STAGE).agg(F.min(ts).alias("stage_end_at"))
-    m = markers.select(*STAGE, ts, F.col("substage").alias("_m"))
-    tail = m.join(end, STAGE).where(F.col(ts) > F.col("stage_end_at"))
-    reach = tail.groupBy(*STAGE).agg(
-        F.min(F.when(F.col("_m").isin(LOW_MARKERS), F.col(ts))).alias("_low"),
-        F.max(F.when(F.col("_m") == "MID_TRIAL", F.col(ts))).alias("_trial"),
+    low, pre, trial = F.col("_m").isin(LOW_MARKERS), F.col("_m") == "PRE", F.col("_m") == "MID_TRIAL"
+    m = markers.select(*STAGE, ts, F.col("substage").alias("_m")).where(low | pre | trial)
+    ends = labels.where(F.col("substage") == "stage_end").select(*STAGE, ts, F.lit(None).cast("string").alias("_m"))
+
+    def last(kind: Column) -> Column:
+        return F.max(F.when(kind, F.col(ts)))
+
+    bounds = ends.unionByName(m).groupBy(*STAGE).agg(
+        F.min(F.when(F.col("_m").isNull(), F.col(ts))).alias("stage_end_at"), last(low).alias("_low"), last(pre).alias("_pre"), last(trial).alias("_trial")
     )
+    end = F.col("stage_end_at")
+    bounds = stored(bounds.where((F.col("_low") > end) & (F.col("_pre") > end) & (F.col("_trial") > end)).select(*STAGE, "stage_end_at", "_trial"), "restart-bounds")
+    tail = m.where(low | pre).join(bounds, STAGE).where((F.col(ts) > end) & (F.col(ts) < F.col("_trial")))
     return (
-        tail.join(reach, STAGE)
-        .where((F.col("_m") == "PRE") & (F.col(ts) > F.col("_low")) & (F.col(ts) < F.col("_trial")))
+        tail.where(pre)
+        .join(tail.where(low).groupBy(*STAGE).agg(F.min(ts).alias("_low")), STAGE)
+        .where(F.col(ts) > F.col("_low"))
         .groupBy(*STAGE)
         .agg(F.first("stage_end_at").alias("stage_end_at"), F.min(ts).alias("restart_at"))
     )
@@ -262,7 +271,7 @@ def two_pass_labels(rows: DataFrame, markers: DataFrame, labeller: Labeller, con
     """
     ready = rows.join(design_medians(markers), STAGE, "left")
     first = stored(label_stages(ready, labeller, context_rows, ts, slot_seconds), "first-pass")
-    restarts = restart_positions(first, markers, ts)
+    restarts = stored(restart_positions(first, markers, ts), "restarts")  # both branches below join it; its size is known by then
     marked = first.join(restarts, STAGE, "left")
     after = marked.where(F.col(ts) >= F.col("restart_at")).drop("stage_end_at", "restart_at")
     second = label_stages(after, labeller, context_rows, ts, slot_seconds)

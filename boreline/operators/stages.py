@@ -116,25 +116,29 @@ def _finish_windows(parts: DataFrame) -> DataFrame:
     )
 
 
-def stage_partials(df: DataFrame, gap_seconds: float, prior: DataFrame | None = None) -> DataFrame:
+def stage_partials(df: DataFrame, gap_seconds: float, prior: DataFrame | None = None, wells: DataFrame | None = None) -> DataFrame:
     """Mergeable aggregates of every stage: sums and non-null counts, not means.
 
     Readings are reduced to (name, slot) before anything is ordered, so the
     only shuffle of row-level data is a combined aggregation, and the stage
-    numbers are found on the slots alone.
+    numbers are found on the slots alone. ``wells`` with a ``name`` each picks
+    wells; where they are too many to broadcast, it is slots that are dealt
+    out by well, not readings.
     """
     slots = (
         df.where(F.col("record_ts").isNotNull())
         .groupBy("name", slot("record_ts", gap_seconds).alias(SLOT))
         .agg(*_window_partials(df))
     )
+    if wells is not None:
+        slots = slots.join(wells, "name", "left_semi")
     numbered = _number_slots(slots, gap_seconds, prior)
     return numbered.groupBy("name", "stage_num_td").agg(*_merge_partials(numbered))
 
 
-def stage_windows(df: DataFrame, gap_seconds: float, prior: DataFrame | None = None) -> DataFrame:
+def stage_windows(df: DataFrame, gap_seconds: float, prior: DataFrame | None = None, wells: DataFrame | None = None) -> DataFrame:
     """One row per gap stage: bounds, counts, last identifiers, mean and max of the measures."""
-    return _finish_windows(stage_partials(df, gap_seconds, prior))
+    return _finish_windows(stage_partials(df, gap_seconds, prior, wells))
 
 
 def windows_of_assigned(df: DataFrame) -> DataFrame:

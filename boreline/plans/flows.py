@@ -61,7 +61,8 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
     state = stages.session_state(windows)
     split = stages.split_late(_readings(batch), state)
     placed = stored(windows_holding(split.where("is_late").drop("is_late"), windows, "record_ts", "stage_start_ts", "stage_end_ts", "stage_num_td"), "late-rows")
-    repair = placed.where(F.col("matches") != 1).select("name").distinct()
+    # Stored, so that plans are made for as many wells as there are: a shuffle by well would leave each well's readings to one task.
+    repair = stored(placed.where(F.col("matches") != 1).select("name").distinct(), "repair-wells")
     late = placed.join(repair, "name", "left_anti").withColumn("stage_num_td", F.col("matched_value")).drop("matches", "matched_value")
     normal = split.where(~F.col("is_late")).drop("is_late").join(repair, "name", "left_anti")
     assigned = stored(stages.assign_stages(normal, gap_seconds, prior=state).unionByName(late), "assigned")
@@ -73,8 +74,8 @@ def apply_batch(stored_rows: DataFrame, batch: DataFrame, windows: DataFrame, ga
     kept = windows.join(repair, "name", "left_anti").join(touched, STAGE, "left_anti")
     out = kept.unionByName(rebuilt, allowMissingColumns=True)
     if not repair.isEmpty():
-        every = one_per_key(_readings(stored_rows), _readings(batch)).join(repair, "name", "left_semi")
-        out = out.unionByName(stages.stage_windows(every, gap_seconds), allowMissingColumns=True)
+        every = one_per_key(_readings(stored_rows), _readings(batch))
+        out = out.unionByName(stages.stage_windows(every, gap_seconds, wells=repair), allowMissingColumns=True)
     return {"windows": out, "repair_wells": repair, "assigned": assigned, "touched": touched}
 
 

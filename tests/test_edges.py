@@ -472,3 +472,32 @@ def test_packed_grid_is_the_same_grid(spark):
     plain, spread = (sorted(map(str, g.select(*names).collect())) for g in (grids[0], anomaly.grid_rows(grids[1])))
     assert plain == spread and len(plain) == 3 * 660
     assert grids[0].where("segment_count > 0").select("stage_num_td").distinct().collect()[0][0] == 1
+
+
+def test_restarts_are_those_of_the_plain_search(spark):
+    """Random stages with repeated rows, equal times and nulls, against the rule read row by row."""
+    import random
+
+    dice = random.Random(7)
+    kinds = [None, "PRE", "PRE", "LOW", "PRE_LOW", "MID_TRIAL", "MID_TRIAL", "MID", "stage_end"]
+    keys = [(n, s) for n in ("a", "b", None) for s in (*range(1, 80), None)]
+    marks = [(n, s, None if dice.random() < 0.05 else at(dice.randrange(12)), dice.choice(kinds)) for n, s in keys for _ in range(dice.randrange(24))]
+    ends = [(n, s, None if dice.random() < 0.1 else at(dice.randrange(5)), dice.choice(["stage_end", "design", None])) for n, s in keys for _ in range(3)]
+    schema = "name string, stage_num_td bigint, datetime_fmt timestamp_ntz, substage string"
+    got = labelling.restart_positions(*[spark.createDataFrame(rows, schema) for rows in (ends, marks)])
+
+    def times(rows, key, *kinds):
+        return [t for n, s, t, k in rows if (n, s) == key and k in kinds and t is not None]
+
+    want = []
+    for key in keys:
+        end = min(times(ends, key, "stage_end"), default=None)
+        if None in key or end is None:
+            continue
+        low = min((t for t in times(marks, key, "LOW", "PRE_LOW") if t > end), default=None)
+        trial = max((t for t in times(marks, key, "MID_TRIAL") if t > end), default=None)
+        starts = [t for t in times(marks, key, "PRE") if low and trial and t > end and low < t < trial]
+        if starts:
+            want.append((*key, end, min(starts)))
+    assert len(want) > 10
+    assert sorted((r["name"], r["stage_num_td"], r["stage_end_at"], r["restart_at"]) for r in got.collect()) == want

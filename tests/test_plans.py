@@ -72,3 +72,33 @@ def test_chart_range_reaches_the_scan(spark, sf_dir, rows):
     bounds = spark.createDataFrame([("W1",)], "name string").select("name", F.lit("2024-01-10").cast("timestamp_ntz").alias("start_time"), F.lit("2024-01-12").cast("timestamp_ntz").alias("end_time"))
     text = plan(reports.chart_window(rows, stages.stage_windows(rows, 3600), bounds, 30))
     assert "GreaterThanOrEqual(ts,2024-01-09T23:30)" in text and "LessThanOrEqual(ts,2024-01-12T00:30)" in text
+
+
+def test_second_pass_joins_stored_restarts_only(spark, rows):
+    """The search for restarts is not made again for each branch, and joins markers with the few stages that can have one, not with labels."""
+    from boreline.operators import labelling
+    from boreline.plans import bound_flows, flows
+
+    staged = stages.assign_stages(rows, tv.LONG_GAP_SECONDS)
+    markers = flows.label_rows(staged, bound_flows.marker_column())
+    ready = staged.select("name", "stage_num_td", F.col("record_ts").alias("datetime_fmt"), "rate_slurry", "press_mainline")
+    first = labelling.label_stages(ready, bound_flows.marker_column())
+    assert "Aggregate" not in plan(labelling.two_pass_labels(ready, markers, bound_flows.design_column()))
+    assert "stage_end)" not in plan(labelling.restart_positions(first, markers))
+
+
+def test_wells_cut_again_are_picked_from_slots(spark, rows):
+    """Where they are too many to broadcast, no readings are dealt out by well."""
+    from boreline.plans import flows
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        old, batch = tv.first_batch(rows), tv.second_batch(rows)
+        step = flows.apply_batch(old, batch, stages.stage_windows(old, tv.GAP_SECONDS), tv.GAP_SECONDS)
+        assert step["repair_wells"].count()
+        lines = step["windows"]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Join LeftSemi, (name#" in line and "stage_num_td" not in line]
+    assert below and all(re.search(r"Aggregate \[name#\d+, (_slot|_groupingexpression)#\d+L\]", line) for line in below)
