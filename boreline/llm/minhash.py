@@ -150,6 +150,16 @@ def _probable(df: DataFrame, reps: DataFrame) -> DataFrame:
     return df.where(F.col("rep").isNotNull()).where(marked(place))
 
 
+def _among(df: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``rep`` is in ``reps``.
+
+    Never by a broadcast: the shuffle sets the Python of ``_probable`` apart
+    from that of the caller. In one task they would need two workers at once,
+    and an executor keeps idle workers with all their memory.
+    """
+    return _probable(df, reps).join(reps.select("rep").hint("merge"), "rep", "left_semi")
+
+
 def _fits(left: str, right: str, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough: the smaller one lies in the larger one at best."""
     return 100 * F.least(left, right) >= percent * F.greatest(left, right)
@@ -241,8 +251,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", band
     alike = star.join(signs.toDF("u", "left"), "u").join(signs.toDF("v", "right"), "v").where(same >= least * bands * rows).select("u", "v")
     alike = stored(alike, "alike")
     # Whole sets once for every class that has company: the stars read some of them, mixed buckets others.
-    firsts = _probable(base, company).join(company.select("rep"), "rep", "left_semi")
-    sets = stored(_whole_sets(firsts, "rep", "text"), "sets")
+    sets = stored(_whole_sets(_among(base, company), "rep", "text"), "sets")
     for used in (classes, shared, together, leaders):
         drop_stored(spark, used)
     found = stored(_linked(alike, sets, percent), "links")

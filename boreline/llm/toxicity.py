@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
@@ -192,37 +194,68 @@ def level_of(times: int, n_words: int) -> int:
     return 2 if 100 * times >= n_words else 1
 
 
+class TermCounts:
+    """Documents that use each word (False) or stem (True): numbers of one flat array, so that a term costs no objects but its text and its place."""
+
+    def __init__(self, width: int):
+        self.width = width
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[bool, dict[str, int]] = {False: {}, True: {}}
+        self.counts = array("q")
+        self.blank = array("q", [0] * self.width)
+
+    def __len__(self) -> int:
+        return sum(map(len, self.places.values()))
+
+    def add(self, term: str, stem: bool, first: int, levels: int) -> None:
+        """One more document in columns ``first`` to ``first + levels``."""
+        places = self.places[stem]
+        start = places.get(term)
+        if start is None:
+            start = places[term] = len(self.counts)
+            self.counts.extend(self.blank)
+        for k in range(start + first, start + first + levels + 1):
+            self.counts[k] += 1
+
+    def batches(self, names: list[str], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(self.counts, np.int64).reshape(-1, self.width)
+        for stem, places in self.places.items():
+            known = iter(places.items())
+            while part := list(islice(known, rows)):
+                found = table[[start // self.width for _, start in part]]
+                columns = [pa.array([t for t, _ in part], pa.string()), pa.array([stem] * len(part), pa.bool_())]
+                columns += [pa.array(np.ascontiguousarray(found[:, k])) for k in range(self.width)]
+                yield pa.RecordBatch.from_arrays(columns, names=["term", "stem", *names])
+
+
 def _term_counts(sample: DataFrame) -> DataFrame:
     """How many toxic and other documents use each word and stem, at each level at least; counted within a task first."""
     names = [f"{kind}{k}" for kind in ("other", "toxic") for k in LEVELS]
 
     def run(batches):
-        counts: dict[tuple[str, bool], list[int]] = {}
+        counts = TermCounts(len(names))
 
         def flush():
-            terms = list(counts)
-            for start in range(0, len(terms), 50_000):
-                part = terms[start : start + 50_000]
-                columns = [pa.array([t for t, _ in part]), pa.array([s for _, s in part])]
-                columns += [pa.array([counts[t][k] for t in part], pa.int64()) for k in range(len(names))]
-                yield pa.RecordBatch.from_arrays(columns, names=["term", "stem", *names])
+            yield from counts.batches(names)
             counts.clear()
 
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = Counter(WORDS.findall(text.lower()))
                 n = words.total()
-                uses: Counter = Counter()
+                whole: Counter = Counter()
+                stems: Counter = Counter()
                 for word, times in words.items():
                     if len(word) >= STEM[0]:
-                        uses[word, False] += times
+                        whole[word] += times
                     for k in STEM:
                         if len(word) > k:
-                            uses[word[:k], True] += times
-                for term, times in uses.items():
-                    row = counts.setdefault(term, [0] * len(names))
-                    for k in range(level_of(times, n) + 1):
-                        row[len(LEVELS) * label + k] += 1
+                            stems[word[:k]] += times
+                for stem, uses in ((False, whole), (True, stems)):
+                    for term, times in uses.items():
+                        counts.add(term, stem, len(LEVELS) * label, level_of(times, n))
                 if len(counts) > 400_000:
                     yield from flush()
         yield from flush()

@@ -127,3 +127,15 @@ def test_only_texts_of_candidates_are_read_again(spark):
     kept = {r.rep for r in minhash._probable(rows, wanted).collect()}
     assert {k for k in range(2, 400, 7)} <= kept and len(kept) < 200
     assert minhash._probable(rows, wanted.limit(0)).count() == 0
+
+
+def test_whole_sets_are_one_python_step_a_task(spark):
+    """Two of them in one task hold two workers at once, and an executor keeps both."""
+    base = spark.createDataFrame([(k, f"text {k}") for k in (*range(-50, 50), 7, None)], "rep bigint, text string")
+    reps = spark.createDataFrame([(k, 2) for k in (-50, 7, 9, 1000)], "rep bigint, weight bigint")
+    sets = minhash._whole_sets(minhash._among(base, reps), "rep", "text")
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    python = plan.index("MapInArrow"), plan.index("ArrowEvalPython")
+    assert python[0] < plan.index("Exchange") < python[1]
+    assert sorted(r.rep for r in sets.collect()) == [-50, 7, 7, 9]

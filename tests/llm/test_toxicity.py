@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +110,29 @@ def test_odd_rows(spark, docs, odd_rows):
 @pytest.mark.parametrize(("times", "words", "level"), [(0, 10, 0), (1, 1, 0), (2, 100, 2), (2, 400, 1), (2, 1000, 0), (100, 10_000, 2)])
 def test_levels(times, words, level):
     assert toxicity.level_of(times, words) == level
+
+
+def test_term_counts_are_right_and_small(spark):
+    """400,000 terms are held in a worker: those took some 100 MB as tuples and lists."""
+    rows = [("Moron morons moron", 1), ("moron", 1), ("moronic", 0), ("", 0), ("xy é", 1)]
+    got = {(r.term, r.stem): tuple(r)[2:] for r in toxicity._term_counts(spark.createDataFrame(rows, "text string, label int")).collect()}
+    want = {}
+    for text, label in rows:
+        words = toxicity.WORDS.findall(text.lower())
+        uses = Counter((w, False) for w in words if len(w) >= toxicity.STEM[0]) + Counter((w[:k], True) for w in words for k in toxicity.STEM if len(w) > k)
+        for term, times in uses.items():
+            for k in range(toxicity.level_of(times, len(words)) + 1):
+                want.setdefault(term, [0] * 6)[3 * label + k] += 1
+    assert got == {t: tuple(c) for t, c in want.items()} and got["moron", False] == (0, 0, 0, 2, 1, 1)
+
+    assert list(toxicity.TermCounts(6).batches(list("abcdef"))) == []
+    tracemalloc.start()
+    counts = toxicity.TermCounts(6)
+    for k in range(100_000):
+        counts.add(f"term{k}", k % 2 == 0, 3, 1)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 22e6
+    table = pa.Table.from_batches(counts.batches(list("abcdef"), 30_000))
+    assert table.num_rows == len(counts) == 100_000
+    assert [sum(table[c].to_pylist()) for c in "abcdef"] == [0, 0, 0, 100_000, 100_000, 0]
