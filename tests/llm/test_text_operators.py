@@ -241,6 +241,35 @@ def test_long_lines_recur_by_their_wording(spark, docs):
     assert {(r.doc_id, r.n_dropped) for r in linededup.without_recurring_lines(docs(rows)).collect()} == {*((k, 1) for k in range(50)), (90, 0)}
 
 
+def test_long_lines_have_templates(spark, docs):
+    def line(k, n):
+        return " ".join(["dear", "reader", "of", f"{chr(97 + k % 26)}ob", *(f"{'xyz'[k % 3] * (k + 1)}" if j % 3 == 0 else f"word{chr(97 + j % 26)}" for j in range(n))])
+
+    # As many tokens and the same leading words, but no token that most have.
+    other = [(k, " ".join(["one", "of", "these", *(f"{chr(97 + k)}{chr(97 + j % 26)}" for j in range(40))])) for k in range(200, 220)]
+    rows = [(k, f"{line(k, 40)}\n{line(k, 3000)}\nown{'x' * k} words{'y' * k}") for k in range(50)] + [(90, f"{line(0, 41)}\nown z text"), *other]
+    got = {(r.doc_id, r.n_dropped, r.text) for r in linededup.without_recurring_lines(docs(rows)).collect()}
+    assert got == {*((k, 2, f"own{'x' * k} words{'y' * k}") for k in range(50)), *((k, 0, t) for k, t in rows[50:])}
+
+
+@pytest.mark.parametrize("voters, places", [(3, 7), (1000, 5), (64, 1024)])
+def test_templates_do_not_depend_on_how_documents_vote(spark, docs, monkeypatch, voters, places):
+    """Against counts of every leaf: tokens that all, 30, 21, 20 or one of 40 documents have."""
+    monkeypatch.setattr(linededup, "VOTERS", voters)
+    monkeypatch.setattr(linededup, "PLACES", places)
+    has = {"a": lambda k: True, "b": lambda k: k % 4, "c": lambda k: k < 21, "d": lambda k: k % 2, "e": lambda k: False}
+    rows, want = [], {}
+    for leaf, kinds in enumerate(["a" * 10 + "d" * 6 + "e" * 16, "a" * 12 + "c" * 5 + "d" * 9 + "e" * 8, "b" * 17 + "e" * 18, "c" * 20 + "d" * 19, "a" * 9 + "bc" * 5 + "de" * 8, "d" * 40, "e" * 41]):
+        lines = [["lead" + chr(97 + leaf), "and", "on", *("word" + chr(97 + j % 26) if has[kind](k) else f"{chr(97 + k % 26)}{chr(97 + k // 26)}q" for j, kind in enumerate(kinds + "e")), "7" if k % 3 else "v"] for k in range(40)]
+        rows += [(100 * leaf + k, " ".join(tokens)) for k, tokens in enumerate(lines)]
+        masked = [["<*>" if t == "7" else t for t in tokens] for tokens in lines]
+        fixed = [next((t for t in column if t != "<*>" and column.count(t) > 20), None) for column in zip(*masked, strict=True)]
+        shown = [[t if t == f else "<*>" for t, f in zip(tokens, fixed, strict=True)] for tokens in masked]
+        want |= {100 * leaf + k: " ".join(t) for k, t in enumerate(shown) if shown.count(t) >= 10 and 2 * t.count("<*>") <= len(t)}
+    got = {r.doc: r.template for r in linededup.recurring_lines(docs(rows)).collect()}
+    assert got == want and {k // 100 for k in want} == {1, 2, 3, 4}
+
+
 def test_documents_of_recurring_lines_keep_the_first_of_each(spark, docs):
     two = "the first line of all\n\nand a second one"
     log = "a line of a log\n" * 3_000 + "its usual end"
