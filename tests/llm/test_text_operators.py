@@ -252,11 +252,12 @@ def test_long_lines_have_templates(spark, docs):
     assert got == {*((k, 2, f"own{'x' * k} words{'y' * k}") for k in range(50)), *((k, 0, t) for k, t in rows[50:])}
 
 
-@pytest.mark.parametrize("voters, places", [(3, 7), (1000, 5), (64, 1024)])
-def test_templates_do_not_depend_on_how_documents_vote(spark, docs, monkeypatch, voters, places):
+@pytest.mark.parametrize("voters, places, sent", [(3, 7, 0), (1000, 5, 10**6), (64, 1024, 10**6)])
+def test_templates_do_not_depend_on_how_documents_vote(spark, docs, monkeypatch, voters, places, sent):
     """Against counts of every leaf: tokens that all, 30, 21, 20 or one of 40 documents have."""
     monkeypatch.setattr(linededup, "VOTERS", voters)
     monkeypatch.setattr(linededup, "PLACES", places)
+    monkeypatch.setattr(linededup, "SENT", sent)
     has = {"a": lambda k: True, "b": lambda k: k % 4, "c": lambda k: k < 21, "d": lambda k: k % 2, "e": lambda k: False}
     rows, want = [], {}
     for leaf, kinds in enumerate(["a" * 10 + "d" * 6 + "e" * 16, "a" * 12 + "c" * 5 + "d" * 9 + "e" * 8, "b" * 17 + "e" * 18, "c" * 20 + "d" * 19, "a" * 9 + "bc" * 5 + "de" * 8, "d" * 40, "e" * 41]):
