@@ -90,3 +90,10 @@ def test_empty_table_passes_every_stage(spark, docs, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         df = stage(spark, df, sf_dir)
     assert df.count() == 0
+
+
+def test_long_lines_that_differ_in_words_are_boilerplate(spark, docs, sf_dir):
+    long = " ".join(["this", "page", "was", "seen", "by", "{}", *(f"word{chr(97 + j)}" for j in range(25)), "{}"])
+    df = docs([(k, f"{long.format('x' * (k + 1), 'y' * (k + 1))}\nown{'z' * k} text{'z' * k}") for k in range(12)])
+    got = corpus_pipeline.drop_boilerplate(spark, df, sf_dir).collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in got} == {(k, f"own{'z' * k} text{'z' * k}", len(f"own{'z' * k} text{'z' * k}")) for k in range(12)}
